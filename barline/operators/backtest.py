@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.functions.scalar import ratio
-from barline.operators.series import LENGTH, POS, block_window, index_series, running_product, with_halo
+from barline.operators.series import (
+    LENGTH, POS, index_series, over_block, running_product, with_halo,
+)
 
 # Trading days a year and the two risk-free rates.
 YEAR_DAYS = 252
@@ -121,7 +123,7 @@ def equity_curve(predictions: DataFrame, fraction: float = 0.8) -> DataFrame:
     rows = strategy_returns(test_rows(predictions, fraction))
     grown = running_product(rows.withColumn("_f", 1 + F.col("strategy_return")), "_f", "equity_after")
     # The product of the rows before is exact even after a total loss.
-    halo = with_halo(grown, 1).withColumn("_b", F.lag("equity_after").over(block_window()))
+    halo = with_halo(grown, 1).withColumn("_b", F.expr(f"lag(equity_after) {over_block()}"))
     return halo.where("own").withColumn("equity", F.coalesce("_b", F.lit(1.0))).drop(
         "own", "blk", "_b", "_f"
     )
@@ -225,8 +227,9 @@ def retrain_summary(metrics: DataFrame) -> DataFrame:
 def lookback_sequences(df: DataFrame, columns: list[str], target: str, rows: int = 60) -> DataFrame:
     """For each row with ``rows`` rows before it: those rows' features in order,
     and the row's own target."""
-    w = block_window().rowsBetween(-rows, -1)
-    framed = with_halo(df, rows).withColumn("sequence", F.collect_list(F.array(*columns)).over(w))
+    before = over_block(f"ROWS BETWEEN {rows} PRECEDING AND 1 PRECEDING")
+    step = f"collect_list(array({', '.join(columns)})) {before}"
+    framed = with_halo(df, rows).withColumn("sequence", F.expr(step))
     kept = framed.where(F.col("own") & (F.col(POS) >= rows))
     return kept.select("symbol", "date", "sequence", F.col(target).alias("label"))
 

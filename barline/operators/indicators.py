@@ -7,196 +7,168 @@ call share a single shuffle on ``(symbol, block)`` and one sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barline.functions.scalar import ratio
 from barline.operators.series import (
-    BLK, BLOCK, KEY, POS, Recurrence, block_of, block_window, decay_blocks, in_block, index_series,
-    smoothing, trailing, warm, with_halo,
+    BLK, BLOCK, BLOCK_OF, KEY, OFFSET, POS, Recurrence, index_series, over_block,
+    over_earlier_blocks, over_trailing, smoothing, warm, with_block, with_halo,
 )
 from barline.schemas import INDICATORS
 
 # Window lengths and band width.
 RSI_ROWS, ATR_ROWS = 14, 14
 FAST, SLOW, SIGNAL = 12, 26, 9
-BAND_ROWS, BAND_WIDTH = 20, 2.0
+BAND_ROWS, BAND_WIDTH, VOLUME_ROWS = 20, 2, 20
 
-_Q_FAST, _Q_SLOW, _Q_SIGNAL = 1 - 2 / (FAST + 1), 1 - 2 / (SLOW + 1), 1 - 2 / (SIGNAL + 1)
-_SIGNAL_START = SLOW - 1
+SIGNAL_START = SLOW - 1
+SIGNAL_ALPHA = 2 / (SIGNAL + 1)
+SIGNAL_Q = 1 - SIGNAL_ALPHA
 
+TRUE_RANGE = "greatest(high - low, abs(high - prev_close), abs(low - prev_close))"
 
-def true_range() -> Column:
-    prev = F.col("prev_close")
-    return F.greatest(
-        F.col("high") - F.col("low"), F.abs(F.col("high") - prev), F.abs(F.col("low") - prev)
-    )
-
-
-def _recurrences() -> dict[str, Recurrence]:
-    pos = F.col(POS)
-    change = F.col("close") - F.col("prev_close")
-    gains = F.when(change > 0, change).otherwise(F.lit(0.0))
-    losses = F.when(change < 0, -change).otherwise(F.lit(0.0))
+RECURRENCES = {
+    "up": smoothing("CASE WHEN close > prev_close THEN close - prev_close ELSE 0D END", 1 / RSI_ROWS),
+    "down": smoothing("CASE WHEN close < prev_close THEN prev_close - close ELSE 0D END", 1 / RSI_ROWS),
+    "fast": smoothing("close", 2 / (FAST + 1)),
+    "slow": smoothing("close", 2 / (SLOW + 1)),
     # The average true range starts with the plain mean of its first rows, so
     # those rows enter together at the last of them.
-    seed_row = F.lit(ATR_ROWS - 1)
-    return {
-        "up": smoothing("up", gains, 1 / RSI_ROWS),
-        "down": smoothing("down", losses, 1 / RSI_ROWS),
-        "fast": smoothing("fast", F.col("close"), 1 - _Q_FAST),
-        "slow": smoothing("slow", F.col("close"), 1 - _Q_SLOW),
-        "atr": Recurrence(
-            "atr", 1 - 1 / ATR_ROWS, true_range() / ATR_ROWS, F.greatest(pos, seed_row)
-        ),
-    }
-
-
-def _echo(q: float, steps: Column) -> Column:
-    """What one unit of a price mean with factor ``q`` adds to the signal mean
-    after ``steps`` further rows."""
-    k = (1 - _Q_SIGNAL) * q / (q - _Q_SIGNAL)
-    return F.lit(k) * (F.pow(F.lit(q), steps) - F.pow(F.lit(_Q_SIGNAL), steps))
-
-
-def _signal_total(r: Recurrence) -> Column:
-    """The part of the signal mean at the block's end that comes through one of
-    the two price means, written as a weighted sum over the block's rows."""
-    pos = F.col(POS)
-    left = F.lit(BLOCK - 1) - in_block()
-    steady = r.gain * _echo(r.q, left + 1) / F.lit(r.q)
-    rest = F.lit(BLOCK - 1 - _SIGNAL_START)
-    opening = F.pow(F.lit(_Q_SIGNAL), rest) + _echo(r.q, rest)
-    early = r.gain * F.pow(F.lit(r.q), F.lit(_SIGNAL_START) - pos) * opening
-    return F.sum(F.when(pos <= _SIGNAL_START, early).otherwise(steady))
+    "atr": Recurrence(
+        1 - 1 / ATR_ROWS, f"{TRUE_RANGE} / {ATR_ROWS}", f"greatest({POS}, {ATR_ROWS - 1})"
+    ),
+}
 
 
-def _carries(bars: DataFrame, rec: dict[str, Recurrence]) -> DataFrame:
-    """State of every recurrence at the end of the block before each block."""
-    totals = bars.groupBy(KEY, block_of().alias(BLK)).agg(
-        *[r.block_total().alias(name) for name, r in rec.items()],
-        (_signal_total(rec["fast"]) - _signal_total(rec["slow"])).alias("signal"),
-    )
-    names = [*rec, "signal"]
-    reach = max(decay_blocks(r.q) for r in rec.values())
-    recent = Window.partitionBy(KEY).orderBy(BLK).rowsBetween(-reach, -1)
-    rows = F.lit(BLOCK)
-
-    def step(acc: Column, x: Column) -> Column:
-        moved = {n: acc[n] * F.lit(r.q**BLOCK) + x[n] for n, r in rec.items()}
-        moved["signal"] = (
-            acc["signal"] * F.lit(_Q_SIGNAL**BLOCK)
-            + acc["fast"] * _echo(_Q_FAST, rows)
-            - acc["slow"] * _echo(_Q_SLOW, rows)
-            + x["signal"]
-        )
-        return F.struct(*[moved[n].alias(n) for n in names])
-
-    start = F.struct(*[F.lit(0.0).alias(n) for n in names])
-    state = F.aggregate(F.collect_list(F.struct(*names)).over(recent), start, step)
-    return totals.select(KEY, BLK, state.alias("_carry"))
-
-
-def _recursive(windowed: DataFrame, carries: DataFrame, rec: dict[str, Recurrence]) -> DataFrame:
-    frame = block_window().rowsBetween(Window.unboundedPreceding, 0)
-    pos = F.col(POS)
-    local_macd = F.col("_fast") - F.col("_slow")
-    # Gains and scale of the signal mean inside its block.
-    share = F.when(pos == _SIGNAL_START, F.lit(1.0)).otherwise(F.lit(1 - _Q_SIGNAL))
-    signal_gain = F.when(pos < _SIGNAL_START, F.lit(0.0)).otherwise(share * local_macd)
-    scaled = signal_gain * F.pow(F.lit(_Q_SIGNAL), -in_block())
-    local_signal = F.pow(F.lit(_Q_SIGNAL), in_block()) * F.sum(scaled).over(frame)
-    joined = windowed.withColumn("_signal", local_signal).join(carries, [KEY, BLK])
-    carry = F.col("_carry")
-    y = {n: F.col(f"_{n}") + r.decayed(carry[n]) for n, r in rec.items()}
-    steps = in_block() + 1
-    signal = (
-        F.col("_signal")
-        + F.pow(F.lit(_Q_SIGNAL), steps) * carry["signal"]
-        + _echo(_Q_FAST, steps) * carry["fast"]
-        - _echo(_Q_SLOW, steps) * carry["slow"]
-    )
-    macd = y["fast"] - y["slow"]
-    signal_rows = SLOW + SIGNAL - 1
-    rsi = F.when(y["down"] == 0, F.lit(100.0)).otherwise(100 - 100 / (1 + y["up"] / y["down"]))
-    return joined.withColumns(
-        {
-            "ema_12": warm(y["fast"], FAST),
-            "rsi_14": warm(rsi, RSI_ROWS),
-            "macd": warm(macd, SLOW),
-            "macd_signal": warm(signal, signal_rows),
-            "macd_hist": warm(macd - signal, signal_rows),
-            "atr_14": F.when(pos >= ATR_ROWS - 1, y["atr"]).otherwise(F.lit(0.0)),
-        }
-    )
+# -- the signal mean, a recurrence over the difference of two others ------------
 
 
-def _frames() -> dict[str, Column]:
-    """Each fixed-length frame once; the columns below share them."""
-    return {
-        "_mean_10": F.avg("close").over(trailing(10)),
-        "_mean_20": F.avg("close").over(trailing(BAND_ROWS)),
-        "_std_20": F.stddev_pop("close").over(trailing(BAND_ROWS)),
-        "_volume_20": F.avg("volume").over(trailing(20)),
-        "_close_5": F.lag("close", 5).over(block_window()),
-    }
+def _echo(r: Recurrence, steps: str) -> str:
+    """What one unit of a price mean adds to the signal mean within ``steps``
+    further rows."""
+    k = SIGNAL_ALPHA * r.q / (r.q - SIGNAL_Q)
+    return f"{k}D * (pow({r.q}D, {steps}) - pow({SIGNAL_Q}D, {steps}))"
 
 
-def _rolled() -> dict[str, Column]:
-    mean, half = F.col("_mean_20"), F.lit(BAND_WIDTH) * F.col("_std_20")
-    usual = F.col("_volume_20")
-    return {
-        "sma_10": warm(F.col("_mean_10"), 10),
-        "sma_20": warm(mean, BAND_ROWS),
-        "bb_upper": warm(mean + half, BAND_ROWS),
-        "bb_lower": warm(mean - half, BAND_ROWS),
-        "bb_width": warm(ratio(half * 2, mean) * 100, BAND_ROWS),
-        "vol_ratio": warm(
-            F.when(usual == 0, F.lit(1.0)).otherwise(ratio(F.col("volume"), usual)), 20
-        ),
-        "return_1d": return_1d(),
-        "return_5d": ratio(F.col("close"), F.col("_close_5")) - 1,
-    }
+def _signal_total(r: Recurrence) -> str:
+    """The part of the signal mean at the block's end that comes through one of
+    the two price means: again a plain weighted sum over the block's rows."""
+    steady = f"{_echo(r, f'({BLOCK} - {OFFSET})')} / {r.q}D"
+    # Rows up to the signal's start act through the price mean at that row.
+    rest = BLOCK - 1 - SIGNAL_START
+    opening = f"pow({r.q}D, {SIGNAL_START} - {POS}) * (pow({SIGNAL_Q}D, {rest}) + {_echo(r, str(rest))})"
+    weight = f"CASE WHEN {POS} <= {SIGNAL_START} THEN {opening} ELSE {steady} END"
+    return f"sum(({r.gain}) * ({weight}))"
 
 
-def return_1d() -> Column:
-    return ratio(F.col("close"), F.col("prev_close")) - 1
+def _carries(bars: DataFrame) -> DataFrame:
+    """State of every recurrence at the end of the block before each block."""
+    rec = RECURRENCES
+    totals = bars.groupBy(KEY, F.expr(BLOCK_OF).alias(BLK)).agg(
+        *[F.expr(f"{r.total()} AS {n}") for n, r in rec.items()],
+        F.expr(f"{_signal_total(rec['fast'])} - {_signal_total(rec['slow'])} AS signal"),
+    )
+    names = [*rec, "signal"]
+    step = {n: f"a.{n} * {r.block_decay}D + x.{n}" for n, r in rec.items()}
+    step["signal"] = (
+        f"a.signal * {SIGNAL_Q**BLOCK}D + a.fast * {_echo(rec['fast'], str(BLOCK))} "
+        f"- a.slow * {_echo(rec['slow'], str(BLOCK))} + x.signal"
+    )
+    zero = ", ".join(f"'{n}', 0D" for n in names)
+    moved = ", ".join(f"'{n}', {step[n]}" for n in names)
+    reach = max(r.reach for r in rec.values())
+    earlier = f"collect_list(struct({', '.join(names)})) {over_earlier_blocks(reach)}"
+    fold = f"aggregate({earlier}, named_struct({zero}), (a, x) -> named_struct({moved}))"
+    return totals.selectExpr(KEY, BLK, f"{fold} AS _carry")
+
+
+def _locals(own: bool) -> list[str]:
+    """Block-local states. With a halo, its rows belong to the block before and
+    add nothing."""
+    out = []
+    for n, r in RECURRENCES.items():
+        if own:
+            r = r._replace(gain=f"CASE WHEN own THEN {r.gain} ELSE 0D END")
+        out.append(f"{r.local()} AS _{n}")
+    return out
+
+
+def _finish(framed: DataFrame, bars: DataFrame) -> DataFrame:
+    """Join the carries and form the recursive indicators."""
+    rec = RECURRENCES
+    gain = (
+        f"CASE WHEN {POS} < {SIGNAL_START} THEN 0D WHEN {POS} = {SIGNAL_START} THEN _fast - _slow "
+        f"ELSE {SIGNAL_ALPHA}D * (_fast - _slow) END"
+    )
+    signal = Recurrence(SIGNAL_Q, gain, POS)
+    joined = framed.selectExpr("*", f"{signal.local()} AS _signal").join(_carries(bars), [KEY, BLK])
+    steps = f"({OFFSET} + 1)"
+    states = {n: r.full(f"_{n}", f"_carry.{n}") for n, r in rec.items()}
+    states["signal"] = (
+        f"{signal.full('_signal', '_carry.signal')} + {_echo(rec['fast'], steps)} * _carry.fast "
+        f"- {_echo(rec['slow'], steps)} * _carry.slow"
+    )
+    kept = [c for c in framed.columns if c not in {f"_{n}" for n in rec}]
+    return joined.selectExpr(*kept, *[f"{y} AS s_{n}" for n, y in states.items()])
+
+
+SIGNAL_ROWS = SLOW + SIGNAL - 1
+RECURSIVE = {
+    "rsi_14": warm("CASE WHEN s_down = 0 THEN 100D ELSE 100 - 100 / (1 + s_up / s_down) END", RSI_ROWS),
+    "macd": warm("s_fast - s_slow", SLOW),
+    "macd_signal": warm("s_signal", SIGNAL_ROWS),
+    "macd_hist": warm("s_fast - s_slow - s_signal", SIGNAL_ROWS),
+    "atr_14": f"CASE WHEN {POS} >= {ATR_ROWS - 1} THEN s_atr ELSE 0D END",
+    "ema_12": warm("s_fast", FAST),
+}
+
+# Each frame once; the columns below share them.
+FRAMES = [
+    f"avg(close) {over_trailing(10)} AS _mean_10",
+    f"avg(close) {over_trailing(BAND_ROWS)} AS _mean_20",
+    f"stddev_pop(close) {over_trailing(BAND_ROWS)} AS _std_20",
+    f"avg(volume) {over_trailing(VOLUME_ROWS)} AS _volume",
+    f"lag(close, 5) {over_block()} AS _close_5",
+]
+ROLLED = {
+    "sma_10": warm("_mean_10", 10),
+    "sma_20": warm("_mean_20", 20),
+    "bb_upper": warm(f"_mean_20 + {BAND_WIDTH} * _std_20", BAND_ROWS),
+    "bb_lower": warm(f"_mean_20 - {BAND_WIDTH} * _std_20", BAND_ROWS),
+    "bb_width": warm(f"try_divide({2 * BAND_WIDTH} * _std_20, _mean_20) * 100", BAND_ROWS),
+    "vol_ratio": warm(
+        "CASE WHEN _volume = 0 THEN 1D ELSE try_divide(volume, _volume) END", VOLUME_ROWS
+    ),
+    "return_1d": "try_divide(close, prev_close) - 1",
+    "return_5d": "try_divide(close, _close_5) - 1",
+}
+
+
+def _named(columns: dict[str, str], names) -> list[str]:
+    return [f"{columns[n]} AS {n}" for n in names]
 
 
 def rolling(bars: DataFrame, *names: str) -> DataFrame:
     """Add fixed-length indicators (all, or those named): Bollinger bands,
     moving averages, volume ratio, returns. One shuffle and no carry; frames
     that no chosen column needs are pruned."""
-    columns = _rolled()
-    framed = with_halo(bars, BAND_ROWS - 1).withColumns(_frames()).where("own")
-    return framed.select(*bars.columns, *[columns[n].alias(n) for n in names or columns])
+    framed = with_halo(bars, BAND_ROWS - 1).selectExpr("*", *FRAMES).where("own")
+    return framed.selectExpr(*bars.columns, *_named(ROLLED, names or ROLLED))
 
 
-def recursive(bars: DataFrame) -> DataFrame:
-    """Add RSI, MACD with signal and histogram, ATR and the 12-row mean."""
-    rec = _recurrences()
-    local = bars.withColumn(BLK, block_of()).withColumns(
-        {f"_{n}": r.local() for n, r in rec.items()}
-    )
-    done = _recursive(local, _carries(bars, rec), rec)
-    return done.select(
-        *bars.columns, "ema_12", "rsi_14", "macd", "macd_signal", "macd_hist", "atr_14"
-    )
+def recursive(bars: DataFrame, *names: str) -> DataFrame:
+    """Add RSI, MACD with signal and histogram, ATR and the 12-row mean (all, or
+    those named)."""
+    framed = with_block(bars).selectExpr("*", *_locals(own=False))
+    return _finish(framed, bars).selectExpr(*bars.columns, *_named(RECURSIVE, names or RECURSIVE))
 
 
 def features(bars: DataFrame) -> DataFrame:
     """Add every indicator and moving average in one pass over the blocks."""
-    rec = _recurrences()
-    # Halo rows belong to the previous block, so they add nothing here.
-    own = {
-        n: r._replace(gain=F.when(F.col("own"), r.gain).otherwise(F.lit(0.0)))
-        for n, r in rec.items()
-    }
-    framed = with_halo(bars, BAND_ROWS - 1).withColumns(
-        {**_frames(), **{f"_{n}": r.local() for n, r in own.items()}}
-    )
-    done = _recursive(framed.where("own"), _carries(bars, rec), rec).withColumns(_rolled())
-    return done.select(*bars.columns, *INDICATORS, "ema_12", "sma_10", "sma_20", "vol_ratio")
+    framed = with_halo(bars, BAND_ROWS - 1).selectExpr("*", *FRAMES, *_locals(own=True))
+    columns = {**ROLLED, **RECURSIVE}
+    names = [*INDICATORS, "ema_12", "sma_10", "sma_20", "vol_ratio"]
+    return _finish(framed.where("own"), bars).selectExpr(*bars.columns, *_named(columns, names))
 
 
 def add_indicators(bars: DataFrame) -> DataFrame:

@@ -39,16 +39,6 @@ def aligned_returns(aligned: DataFrame) -> DataFrame:
     return aligned.where(F.col("rn") > 0).select("symbol", "rn", r.alias("r"))
 
 
-def date_returns(bars: DataFrame, days: int = 252) -> DataFrame:
-    """Returns paired by date instead, over dates every asset has."""
-    recent = bars.where(F.col(POS) >= F.col(LENGTH) - days).where(F.col(POS) > 0)
-    r = F.ln(ratio(F.col("close"), F.col("prev_close")))
-    rows = recent.select("symbol", "date", r.alias("r"))
-    assets = rows.agg(F.count_distinct("symbol").alias("m")).scalar()
-    shared = rows.groupBy("date").agg(F.count(F.lit(1)).alias("_c")).where(F.col("_c") == assets)
-    return rows.join(shared.select("date"), "date").select("symbol", F.col("date").alias("rn"), "r")
-
-
 def annual_mean(returns: DataFrame) -> DataFrame:
     return returns.groupBy("symbol").agg((F.avg("r") * YEAR_DAYS).alias("ann_mean"))
 
@@ -99,7 +89,7 @@ def equal_weights(returns: DataFrame) -> DataFrame:
 
 
 def _covariance_rows(cov: DataFrame) -> DataFrame:
-    row = F.array_sort(F.collect_list(F.struct("asset_j", "cov")))
+    row = F.sort_array(F.collect_list(F.struct("asset_j", "cov")))
     return cov.groupBy(F.col("asset_i").alias("asset")).agg(row["cov"].alias("cov_row"))
 
 
@@ -108,21 +98,20 @@ def portfolio_moments(weights: DataFrame, returns: DataFrame, risk_free: float =
 
     Each weight row meets one covariance row and holds its portfolio's weight
     vector, so the quadratic form costs one join on the asset and no rows
-    beyond the weights themselves. Vectors are as long as the basket.
+    beyond the weights themselves. Vectors are as long as the basket, and the
+    rows stay partitioned by portfolio from the first grouping to the last.
     """
-    vector = F.array_sort(
-        F.collect_list(F.struct("asset", "w")).over(Window.partitionBy("portfolio"))
-    )
     stats = annual_mean(returns).withColumnRenamed("symbol", "asset").join(
         _covariance_rows(annual_covariance(returns)), "asset"
     )
-    rows = weights.withColumn("_v", vector["w"]).join(stats, "asset")
-    dot = F.aggregate(
-        F.zip_with("_v", "cov_row", lambda w, c: w * c), F.lit(0.0), lambda acc, x: acc + x
+    vectors = weights.groupBy("portfolio").agg(
+        F.sort_array(F.collect_list(F.struct("asset", "w"))).alias("_v")
     )
+    rows = vectors.selectExpr("portfolio", "_v.w AS _w", "inline(_v)").join(stats, "asset")
+    dot = "aggregate(zip_with(_w, cov_row, (a, b) -> a * b), 0D, (acc, x) -> acc + x)"
     sums = rows.groupBy("portfolio").agg(
-        F.sum(F.col("w") * F.col("ann_mean")).alias("ret"),
-        F.sqrt(F.greatest(F.sum(F.col("w") * dot), F.lit(0.0))).alias("vol"),
+        F.expr("sum(w * ann_mean)").alias("ret"),
+        F.expr(f"sqrt(greatest(sum(w * {dot}), 0D))").alias("vol"),
     )
     sharpe = F.when(F.col("vol") > 1e-10, (F.col("ret") - risk_free) / F.col("vol"))
     return sums.withColumn("sharpe", F.coalesce(sharpe, F.lit(0.0)))
@@ -162,7 +151,7 @@ def optimize(returns: DataFrame, draws: int = DRAWS, seed: int = SEED,
         ).alias("sharpe_improvement"),
     )
     chosen = weights.join(record, "portfolio").groupBy(*record.columns).agg(
-        F.array_sort(F.collect_list(F.struct("asset", F.round("w", 4).alias("w")))).alias("_w")
+        F.sort_array(F.collect_list(F.struct("asset", F.round("w", 4).alias("w")))).alias("_w")
     )
     return chosen.where(F.size("_w") >= 2).select(
         F.col("_w.asset").alias("symbols"),

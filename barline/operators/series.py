@@ -82,12 +82,10 @@ def index_series(
     )
 
 
-def block_of(pos: Column | None = None) -> Column:
-    return F.shiftright(F.col(POS) if pos is None else pos, BLOCK_BITS)
-
-
-def in_block() -> Column:
-    return F.col(POS) % F.lit(BLOCK)
+# Place of a row: its block, and its offset there. The expressions of this
+# module are SQL text, which reads like the formulas and builds quickly.
+BLOCK_OF = f"shiftright({POS}, {BLOCK_BITS})"
+OFFSET = f"({POS} & {BLOCK - 1})"
 
 
 def with_halo(df: DataFrame, halo: int) -> DataFrame:
@@ -97,81 +95,94 @@ def with_halo(df: DataFrame, halo: int) -> DataFrame:
     """
     if not 0 < halo <= BLOCK:
         raise ValueError(f"halo must be in 1..{BLOCK}")
-    home = block_of()
-    feeds_next = (in_block() >= BLOCK - halo) & ((home + 1) * BLOCK < F.col(LENGTH))
-    return df.withColumn(
-        BLK, F.explode(F.when(feeds_next, F.array(home, home + 1)).otherwise(F.array(home)))
-    ).withColumn("own", F.col(BLK) == home)
+    feeds_next = f"{OFFSET} >= {BLOCK - halo} AND ({BLOCK_OF} + 1) * {BLOCK} < {LENGTH}"
+    homes = f"CASE WHEN {feeds_next} THEN array({BLOCK_OF}, {BLOCK_OF} + 1) ELSE array({BLOCK_OF}) END"
+    return df.selectExpr("*", f"explode({homes}) AS {BLK}").withColumn(
+        "own", F.expr(f"{BLK} = {BLOCK_OF}")
+    )
+
+
+def with_block(df: DataFrame) -> DataFrame:
+    return df.withColumn(BLK, F.expr(BLOCK_OF))
+
+
+def over_block(frame: str = "", key: str = KEY) -> str:
+    """``OVER`` clause within a block, with an optional row frame."""
+    return f"OVER (PARTITION BY {key}, {BLK} ORDER BY {POS} {frame})"
 
 
-def block_window(key: str = KEY):
-    return Window.partitionBy(key, BLK).orderBy(POS)
+def over_trailing(rows: int, key: str = KEY) -> str:
+    """The current row and the ``rows - 1`` before it."""
+    return over_block(f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW", key)
 
 
-def trailing(rows: int, key: str = KEY):
-    """Frame of the current row and the ``rows - 1`` before it."""
-    return block_window(key).rowsBetween(-(rows - 1), 0)
+def over_earlier_blocks(reach: int | None = None, key: str = KEY) -> str:
+    """Block summaries before the current one, at most ``reach`` of them."""
+    start = "UNBOUNDED" if reach is None else str(reach)
+    return f"OVER (PARTITION BY {key} ORDER BY {BLK} ROWS BETWEEN {start} PRECEDING AND 1 PRECEDING)"
 
 
-def warm(value: Column, rows: int) -> Column:
+def warm(value: str, rows: int) -> str:
     """NULL until the series holds ``rows`` rows."""
-    return F.when(F.col(POS) >= rows - 1, value)
+    return f"CASE WHEN {POS} >= {rows - 1} THEN {value} END"
 
 
 def tail(df: DataFrame, rows: int) -> DataFrame:
     """Last ``rows`` rows of each series, re-numbered from 0."""
-    skip = F.greatest(F.col(LENGTH) - rows, F.lit(0))
-    kept = df.where(F.col(POS) >= skip)
-    cut = kept.withColumns({POS: F.col(POS) - skip, LENGTH: F.least(F.col(LENGTH), F.lit(rows))})
-    before_first = F.col(POS) > 0
-    return cut.withColumns(
-        {c: F.when(before_first, F.col(c)) for c in df.columns if c.startswith("prev_")}
-    )
+    skip = f"greatest({LENGTH} - {rows}, 0)"
+    changed = {POS: f"{POS} - {skip}", LENGTH: f"least({LENGTH}, {rows})"}
+    for c in df.columns:
+        if c.startswith("prev_"):
+            changed[c] = f"CASE WHEN {POS} > {skip} THEN {c} END"
+    kept = df.where(f"{POS} >= {skip}")
+    return kept.selectExpr(*[f"{changed.get(c, c)} AS {c}" for c in df.columns])
 
 
 # -- first-order recurrences ---------------------------------------------------
 
 
 class Recurrence(NamedTuple):
-    """``y_t = q * y_{t-1} + gain_t``; each gain enters at position ``enter``."""
+    """``y_t = q * y_{t-1} + gain_t``, where the gain of a row enters at
+    position ``enter``. Both are SQL expressions over the row."""
 
-    name: str
     q: float
-    gain: Column
-    enter: Column
-
-    def local(self, key: str = KEY) -> Column:
-        """State from the gains of this block alone. ``q ** -BLOCK`` stays in
-        double range for every ``q`` above 0.25."""
-        start = block_of() * BLOCK
-        scaled = self.gain * F.pow(F.lit(self.q), start - self.enter)
-        frame = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
-        return F.pow(F.lit(self.q), in_block()) * F.sum(scaled).over(frame)
-
-    def block_total(self) -> Column:
+    gain: str
+    enter: str
+
+    def local(self, key: str = KEY) -> str:
+        """State from the gains of this block alone: one running sum. ``q`` to
+        the power ``-BLOCK`` stays in double range for every ``q`` above 0.25."""
+        scaled = f"({self.gain}) * pow({self.q}D, {POS} - {OFFSET} - {self.enter})"
+        return f"pow({self.q}D, {OFFSET}) * sum({scaled}) {over_block('ROWS UNBOUNDED PRECEDING', key)}"
+
+    def total(self) -> str:
         """This block's part of the state at its last row: a plain sum, so it
         combines map-side and needs no sort."""
-        end = block_of() * BLOCK + (BLOCK - 1)
-        return F.sum(self.gain * F.pow(F.lit(self.q), end - self.enter))
+        return f"sum(({self.gain}) * pow({self.q}D, {POS} - {OFFSET} + {BLOCK - 1} - {self.enter}))"
 
-    def decayed(self, carry: Column) -> Column:
-        return F.pow(F.lit(self.q), in_block() + 1) * carry
+    def full(self, local: str, carry: str) -> str:
+        return f"({local} + pow({self.q}D, {OFFSET} + 1) * {carry})"
 
+    @property
+    def block_decay(self) -> float:
+        return self.q**BLOCK
 
-def decay_blocks(q: float) -> int:
-    """Blocks after which any finite double, times ``q`` per row, is zero."""
-    return math.ceil(1500 / (-math.log(q) * BLOCK)) + 1
+    @property
+    def reach(self) -> int:
+        """Blocks after which any finite double times this decay is zero, so
+        that a carry over that many blocks is the exact carry."""
+        return math.ceil(1500 / (-math.log(self.q) * BLOCK)) + 1
 
 
-def smoothing(name: str, value: Column, alpha: float, start: int = 0) -> Recurrence:
+def smoothing(value: str, alpha: float, start: int = 0) -> Recurrence:
     """Exponential mean that begins with the value at position ``start``."""
     if not 0 < alpha <= 0.75:
         raise ValueError("alpha must be in (0, 0.75]")
-    pos = F.col(POS)
     gain = (
-        F.when(pos < start, F.lit(0.0)).when(pos == start, value).otherwise(value * F.lit(alpha))
+        f"CASE WHEN {POS} < {start} THEN 0D WHEN {POS} = {start} THEN {value} "
+        f"ELSE {alpha}D * ({value}) END"
     )
-    return Recurrence(name, 1.0 - alpha, gain, pos)
+    return Recurrence(1.0 - alpha, gain, POS)
 
 
 def ewm(df: DataFrame, value: str, alpha: float, out: str, min_rows: int = 1, start: int = 0,
@@ -182,46 +193,42 @@ def ewm(df: DataFrame, value: str, alpha: float, out: str, min_rows: int = 1, st
     ``value`` must not be NULL from position ``start`` on. The result is NULL
     before ``min_rows`` values have been seen.
     """
-    r = smoothing("y", F.col(value), alpha, start)
-    totals = df.groupBy(key, block_of().alias(BLK)).agg(r.block_total().alias("_total"))
-    recent = Window.partitionBy(key).orderBy(BLK).rowsBetween(-decay_blocks(r.q), -1)
-    carry = totals.select(
-        key,
-        BLK,
-        F.aggregate(
-            F.collect_list("_total").over(recent),
-            F.lit(0.0),
-            lambda acc, x: acc * F.lit(r.q**BLOCK) + x,
-        ).alias("_carry"),
-    )
-    local = df.withColumn(BLK, block_of()).withColumn("_local", r.local(key))
-    joined = local.join(carry, [key, BLK])
-    y = F.col("_local") + r.decayed(F.col("_carry"))
-    return joined.select(
-        *df.columns, F.when(F.col(POS) - start + 1 >= min_rows, y).alias(out)
-    )
+    r = smoothing(value, alpha, start)
+    totals = df.groupBy(key, F.expr(BLOCK_OF).alias(BLK)).agg(F.expr(r.total()).alias("_total"))
+    earlier = f"collect_list(_total) {over_earlier_blocks(r.reach, key)}"
+    fold = f"aggregate({earlier}, 0D, (a, x) -> a * {r.block_decay}D + x)"
+    carries = totals.selectExpr(key, BLK, f"{fold} AS _carry")
+    local = with_block(df).withColumn("_local", F.expr(r.local(key)))
+    y = warm(r.full("_local", "_carry"), start + min_rows)
+    return local.join(carries, [key, BLK]).selectExpr(*df.columns, f"{y} AS {out}")
 
 
 def running_product(df: DataFrame, factor: str, out: str, key: str = KEY,
                     peak: str | None = None) -> DataFrame:
     """Product of ``factor`` up to and including each row of an indexed series,
     and with ``peak`` also the highest product so far."""
-    frame = block_window(key).rowsBetween(Window.unboundedPreceding, 0)
-    local = df.withColumn(BLK, block_of()).withColumn("_p", F.product(factor).over(frame))
-    if peak:
-        local = local.withColumn("_m", F.max("_p").over(frame))
+    so_far = over_block("ROWS UNBOUNDED PRECEDING", key)
+    earlier = over_earlier_blocks(None, key)
+    running = Window.partitionBy(key, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(key).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    summary = [F.max_by("_p", POS).alias("_bp")]
-    if peak:
-        summary.append(F.max("_p").alias("_bm"))
-    carry = local.groupBy(key, BLK).agg(*summary)
-    carry = carry.withColumn("_cp", F.coalesce(F.product("_bp").over(before), F.lit(1.0)))
-    kept = ["_cp"]
-    if peak:
-        carry = carry.withColumn("_cm", F.max(F.col("_cp") * F.col("_bm")).over(before))
-        kept.append("_cm")
-    joined = local.join(carry.select(key, BLK, *kept), [key, BLK])
-    extra = []
-    if peak:
-        extra = [F.greatest(F.col("_cm"), F.col("_cp") * F.col("_m")).alias(peak)]
-    return joined.select(*df.columns, (F.col("_cp") * F.col("_p")).alias(out), *extra)
+    carry = F.coalesce(F.product("_end").over(before), F.lit(1.0)).alias("_c")
+    local = with_block(df).withColumn("_p", F.product(factor).over(running))
+    ends = [F.expr(f"max_by(_p, {POS})").alias("_end")]
+    if not peak:
+        carries = local.groupBy(key, BLK).agg(*ends).select(key, BLK, carry)
+        joined = local.join(carries, [key, BLK])
+        return joined.selectExpr(*df.columns, f"_c * _p AS {out}")
+    # A carry may be negative, so the peak of a scaled block can come from its
+    # lowest local product.
+    local = local.selectExpr("*", f"max(_p) {so_far} AS _hi", f"min(_p) {so_far} AS _lo")
+    ends += [F.max("_p").alias("_top"), F.min("_p").alias("_bottom")]
+    carries = (
+        local.groupBy(key, BLK)
+        .agg(*ends)
+        .select(key, BLK, carry, "_top", "_bottom")
+        .selectExpr(key, BLK, "_c", f"max(greatest(_c * _top, _c * _bottom)) {earlier} AS _peak")
+    )
+    highest = "greatest(_peak, _c * _hi, _c * _lo)"
+    return local.join(carries, [key, BLK]).selectExpr(
+        *df.columns, f"_c * _p AS {out}", f"{highest} AS {peak}"
+    )

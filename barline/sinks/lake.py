@@ -22,10 +22,11 @@ def write_raw(df: DataFrame, path: str, ingest_date: Column | None = None) -> No
 
 def write_processed(df: DataFrame, path: str) -> None:
     """Write by year, month and symbol. Rows of one directory meet in one task
-    first, so each directory gets few files; the shuffle may split a large
-    directory over tasks."""
+    first, so each directory gets one file; it holds at most a month of daily
+    bars, so no task can be large."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        df.hint("rebalance", "year", "month", "symbol")
+        df.repartition(tasks, "year", "month", "symbol")
         .write.mode("overwrite")
         .partitionBy("year", "month", "symbol")
         .parquet(path)

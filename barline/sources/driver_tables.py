@@ -24,7 +24,7 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("price"),
             F.col("l_quantity").cast("bigint").alias("volume"),
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice",
-            "l_linestatus", "l_returnflag",
+            "l_linestatus", "l_discount", "l_tax",
         )
     )
 
