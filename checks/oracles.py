@@ -4,12 +4,11 @@ from __future__ import annotations
 
 
 def r(expr: str, places: int) -> str:
-    """Rounded by the exact binary value, ties away from zero, without negative
-    zero. Only a multiple of 1 / 2^(places + 1) can be an exact tie; any other
-    value is printed, which rounds exactly too."""
-    tie = f"({expr}) * {2 ** (places + 1)}"
-    printed = f"CAST(printf('%.{places}f', CAST({expr} AS DOUBLE)) AS DOUBLE)"
-    return f"(CASE WHEN {tie} = floor({tie}) THEN round({expr}, {places}) ELSE {printed} END + 0.0)"
+    """Rounded as Spark rounds a double: half away from zero on the shortest
+    decimal that names the double. Decimals also have no negative zero."""
+    return (
+        f"CAST(round(CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 18)), {places}) AS DOUBLE)"
+    )
 
 
 def rounded(places: dict[str, int], prefix: str = "") -> str:
