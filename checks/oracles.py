@@ -412,7 +412,7 @@ ORACLES: dict[str, str] = {
         FROM ix a JOIN ix b ON a.symbol = b.symbol AND b.pos BETWEEN a.pos - 60 AND a.pos - 1
         WHERE a.pos >= 60 GROUP BY a.symbol, a.date""",
     "minmax_scale": f"""WITH {SCALED} SELECT symbol, date, part, {r('sc', 6)} AS scaled_close,
-        {r('sv', 6)} AS scaled_volume, {r('close', 4)} AS close_back FROM scaled""",
+        {r('sv', 6)} AS scaled_volume, {r('sc * CASE WHEN cr = 0 THEN 1 ELSE cr END + c0', 4)} AS close_back FROM scaled""",
     "symbol_alias": f"""WITH {BARS} SELECT resolved, resolved IN ('N0', 'NATION_2', 'NATION_3', 'NATION_7') AS supported,
         count(*) AS rows FROM (SELECT CASE upper(symbol) WHEN 'NATION_0' THEN 'N0' WHEN 'NATION_1' THEN 'N1'
           ELSE upper(symbol) END AS resolved FROM bars) GROUP BY resolved""",
