@@ -14,20 +14,28 @@ NEGATIVE_SHORT = ["fall", "drop", "miss", "loss", "decline", "down", "weak", "cu
 POSITIVE_LONG = POSITIVE_SHORT + ["bull", "surge", "soar", "rally", "high", "positive", "buy"]
 NEGATIVE_LONG = NEGATIVE_SHORT + ["bear", "crash", "plunge", "slump", "low", "negative", "sell"]
 
-# All Unicode white space, as a plain split on blanks sees it.
-BLANKS = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
+# Every character that a plain split on white space removes.
+BLANKS = "".join(
+    chr(c)
+    for c in (
+        *range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+        0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    )
+)
 
 # A scorer maps a text column to struct(positive, negative, neutral, compound).
 Scorer = Callable[[Column], Column]
 
 
 def tokens(text: Column) -> Column:
-    """Distinct lower-case tokens of the whole text."""
-    return F.array_distinct(F.split(F.lower(text), BLANKS))
+    """Lower-case tokens of the whole text, with repeats and empty ones."""
+    return F.split(F.translate(F.lower(text), BLANKS, " " * len(BLANKS)), " ")
 
 
-def hits(text: Column, words: Sequence[str]) -> Column:
-    return F.size(F.array_intersect(tokens(text), F.array(*[F.lit(w) for w in words])))
+def hits(found: Column, words: Sequence[str]) -> Column:
+    """How many distinct ``words`` are among the tokens; the intersection drops
+    repeats itself."""
+    return F.size(F.array_intersect(found, F.array(*[F.lit(w) for w in words])))
 
 
 def lexicon(positive: Sequence[str] = POSITIVE_SHORT,
@@ -36,8 +44,10 @@ def lexicon(positive: Sequence[str] = POSITIVE_SHORT,
     missing text scores like an empty one."""
 
     def score(text: Column) -> Column:
-        body = F.coalesce(text, F.lit(""))
-        pos, neg = hits(body, positive), hits(body, negative)
+        # One pass over the text; both sides then look at the few words found.
+        words = F.array(*[F.lit(w) for w in dict.fromkeys([*positive, *negative])])
+        found = F.array_intersect(tokens(F.coalesce(text, F.lit(""))), words)
+        pos, neg = hits(found, positive), hits(found, negative)
         total = F.greatest(pos + neg, F.lit(1))
         return F.struct(
             (pos / total).alias("positive"),

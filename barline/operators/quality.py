@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from barline.functions.scalar import missing
 
 
+class MissingColumn(ValueError):
+    pass
+
+
 def _gone(df: DataFrame, c: str) -> Column:
-    floating = dict(df.dtypes)[c] in ("double", "float")
+    types = dict(df.dtypes)
+    if c not in types:
+        raise MissingColumn(c)
+    floating = types[c] in ("double", "float")
     return missing(F.col(c)) if floating else F.col(c).isNull()
 
 
@@ -87,7 +94,7 @@ def passes(df: DataFrame, suite=validate) -> bool:
     when its columns are absent; input that cannot be read fails."""
     try:
         return bool(statistics(suite(df)).first()["success"])
-    except AnalysisException:
+    except (AnalysisException, MissingColumn):
         return False if suite is validate else passes(df, validate)
 
 

@@ -20,6 +20,8 @@ def get_spark(app_name: str = "barline", **conf: str) -> SparkSession:
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Call sites on every column cost more than building the plans here.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     for name, value in settings.items():
