@@ -14,22 +14,16 @@ NEGATIVE_SHORT = ["fall", "drop", "miss", "loss", "decline", "down", "weak", "cu
 POSITIVE_LONG = POSITIVE_SHORT + ["bull", "surge", "soar", "rally", "high", "positive", "buy"]
 NEGATIVE_LONG = NEGATIVE_SHORT + ["bear", "crash", "plunge", "slump", "low", "negative", "sell"]
 
-# Every character that a plain split on white space removes.
-BLANKS = "".join(
-    chr(c)
-    for c in (
-        *range(0x09, 0x0E), *range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-        0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
-    )
-)
+# All Unicode white space, which a plain split removes.
+BLANKS = r"[\s\x0B\x1C-\x1F\x85\p{Z}]+"
 
 # A scorer maps a text column to struct(positive, negative, neutral, compound).
 Scorer = Callable[[Column], Column]
 
 
 def tokens(text: Column) -> Column:
-    """Lower-case tokens of the whole text, with repeats and empty ones."""
-    return F.split(F.translate(F.lower(text), BLANKS, " " * len(BLANKS)), " ")
+    """Lower-case tokens of the whole text, with repeats."""
+    return F.split(F.lower(text), BLANKS)
 
 
 def hits(found: Column, words: Sequence[str]) -> Column:

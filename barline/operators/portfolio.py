@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.functions.scalar import ratio
 from barline.operators.backtest import YEAR_DAYS
 from barline.operators.series import LENGTH, POS
+from barline.session import stage
 
 # Sampling defaults, horizons offered and their bounds.
 RISK_FREE, DRAWS, SEED, FRONTIER_POINTS = 0.02, 10_000, 42, 500
@@ -61,62 +62,95 @@ def annual_covariance(returns: DataFrame) -> DataFrame:
     return half.select(F.inline(both))
 
 
-def uniform(*parts: Column) -> Column:
-    """Uniform number in (0, 1] from a hash of the parts: the same on any
-    engine, partitioning or retry."""
-    digest = F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13)
-    return (F.conv(digest, 16, 10).cast("bigint") + 1) / F.lit(float(1 << 52))
+def uniform(key: str) -> str:
+    """SQL for a uniform number in (0, 1] from a hash of a text key: the same
+    on any engine, partitioning or retry."""
+    return f"(CAST(conv(substring(md5({key}), 1, 13), 16, 10) AS BIGINT) + 1) / {float(1 << 52)}D"
 
 
-def random_weights(returns: DataFrame, draws: int = DRAWS, seed: int = SEED) -> DataFrame:
-    """``draws`` weight vectors over the assets: unit-mean exponentials divided
-    by their sum."""
-    assets = returns.select(F.col("symbol").alias("asset")).distinct()
-    rows = assets.select(
-        F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("portfolio"), "asset"
-    )
-    raw = rows.withColumn(
-        "e", -F.ln(uniform(F.lit(str(seed)), F.col("portfolio").cast("string"), F.col("asset")))
+def _basket(returns: DataFrame) -> DataFrame:
+    """The asset names in order, as one row. A basket is a user's list."""
+    return returns.agg(F.sort_array(F.collect_set("symbol")).alias("assets"))
+
+
+def random_vectors(returns: DataFrame, draws: int = DRAWS, seed: int = SEED) -> DataFrame:
+    """``draws`` vectors ``(portfolio, assets, draw, total)``: a unit-mean
+    exponential per asset and their sum; a weight is ``draw / total``. Each
+    vector is made within its row, so they spread over all tasks without a
+    shuffle."""
+    key = f"concat('{int(seed)}:', portfolio, ':', a)"
+    rows = returns.sparkSession.range(draws).select(
+        F.col("id").cast("int").alias("portfolio"), _basket(returns).scalar().alias("assets")
     )
-    total = F.sum("e").over(Window.partitionBy("portfolio"))
-    return raw.select("portfolio", "asset", (F.col("e") / total).alias("w"))
+    return _with_total(rows.withColumn("draw", F.expr(f"transform(assets, a -> -ln({uniform(key)}))")))
+
+
+def equal_vector(returns: DataFrame) -> DataFrame:
+    rows = _basket(returns).selectExpr("-1 AS portfolio", "assets")
+    return _with_total(rows.withColumn("draw", F.expr("transform(assets, a -> 1D)")))
+
+
+def _with_total(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("total", F.expr("aggregate(draw, 0D, (acc, x) -> acc + x)"))
+
+
+def weights_of(vectors: DataFrame) -> DataFrame:
+    """Vectors as rows ``(portfolio, asset, w)``."""
+    rows = vectors.selectExpr("portfolio", "total", "inline(arrays_zip(assets, draw)) AS (asset, d)")
+    return rows.selectExpr("portfolio", "asset", "d / total AS w")
+
+
+def random_weights(returns: DataFrame, draws: int = DRAWS, seed: int = SEED) -> DataFrame:
+    return weights_of(random_vectors(returns, draws, seed))
 
 
 def equal_weights(returns: DataFrame) -> DataFrame:
-    assets = returns.select(F.col("symbol").alias("asset")).distinct()
-    count = returns.agg(F.count_distinct("symbol").alias("m")).scalar()
-    return assets.select(F.lit(-1).alias("portfolio"), "asset", (F.lit(1.0) / count).alias("w"))
+    return weights_of(equal_vector(returns))
 
 
-def _covariance_rows(cov: DataFrame) -> DataFrame:
+def asset_stats(returns: DataFrame) -> DataFrame:
+    """Per asset its yearly mean and its covariance row in asset order. Staged,
+    so that Spark knows its size: it is broadcast below the usual threshold and
+    shuffled beyond it."""
     row = F.sort_array(F.collect_list(F.struct("asset_j", "cov")))
-    return cov.groupBy(F.col("asset_i").alias("asset")).agg(row["cov"].alias("cov_row"))
+    rows = annual_covariance(returns).groupBy(F.col("asset_i").alias("asset")).agg(
+        row["cov"].alias("cov_row")
+    )
+    means = annual_mean(returns).withColumnRenamed("symbol", "asset")
+    return stage(means.join(rows, "asset"), "asset_stats")
 
 
-def portfolio_moments(weights: DataFrame, returns: DataFrame, risk_free: float = RISK_FREE) -> DataFrame:
+def vectors_of(weights: DataFrame) -> DataFrame:
+    """Weight rows ``(portfolio, asset, w)`` as vectors."""
+    pairs = F.sort_array(F.collect_list(F.struct("asset", "w")))
+    packed = weights.groupBy("portfolio").agg(pairs.alias("_v"))
+    return packed.selectExpr("portfolio", "_v.asset AS assets", "_v.w AS draw", "1D AS total")
+
+
+def vector_moments(vectors: DataFrame, stats: DataFrame, risk_free: float = RISK_FREE) -> DataFrame:
     """Return, volatility and Sharpe ratio per portfolio.
 
-    Each weight row meets one covariance row and holds its portfolio's weight
-    vector, so the quadratic form costs one join on the asset and no rows
-    beyond the weights themselves. Vectors are as long as the basket, and the
-    rows stay partitioned by portfolio from the first grouping to the last.
+    Each asset of a vector meets its covariance row next to the whole vector,
+    so the quadratic form costs one join on the asset, and the rows of a
+    portfolio, which share a task, are summed before any shuffle.
     """
-    stats = annual_mean(returns).withColumnRenamed("symbol", "asset").join(
-        _covariance_rows(annual_covariance(returns)), "asset"
-    )
-    vectors = weights.groupBy("portfolio").agg(
-        F.sort_array(F.collect_list(F.struct("asset", "w"))).alias("_v")
-    )
-    rows = vectors.selectExpr("portfolio", "_v.w AS _w", "inline(_v)").join(stats, "asset")
-    dot = "aggregate(zip_with(_w, cov_row, (a, b) -> a * b), 0D, (acc, x) -> acc + x)"
+    rows = vectors.selectExpr(
+        "portfolio", "total", "draw", "inline(arrays_zip(assets, draw)) AS (asset, d)"
+    ).join(stats, "asset")
+    dot = "aggregate(zip_with(draw, cov_row, (a, b) -> a * b), 0D, (acc, x) -> acc + x)"
     sums = rows.groupBy("portfolio").agg(
-        F.expr("sum(w * ann_mean)").alias("ret"),
-        F.expr(f"sqrt(greatest(sum(w * {dot}), 0D))").alias("vol"),
+        F.expr("sum(d * ann_mean) / max(total)").alias("ret"),
+        F.expr(f"sqrt(greatest(sum(d * {dot}), 0D)) / max(total)").alias("vol"),
     )
     sharpe = F.when(F.col("vol") > 1e-10, (F.col("ret") - risk_free) / F.col("vol"))
     return sums.withColumn("sharpe", F.coalesce(sharpe, F.lit(0.0)))
 
 
+def portfolio_moments(weights: DataFrame, returns: DataFrame, risk_free: float = RISK_FREE) -> DataFrame:
+    """The same for given weights ``(portfolio, asset, w)``."""
+    return vector_moments(vectors_of(weights), asset_stats(returns), risk_free)
+
+
 def best_portfolio(moments: DataFrame) -> DataFrame:
     """Highest Sharpe ratio, lower id on ties."""
     order = F.struct("sharpe", (-F.col("portfolio")).alias("first"))
@@ -129,9 +163,9 @@ def optimize(returns: DataFrame, draws: int = DRAWS, seed: int = SEED,
              risk_free: float = RISK_FREE) -> DataFrame:
     """The response record: best weights, moments, equal-weight baseline and
     the improvement. Fewer than two assets give no row."""
-    weights = random_weights(returns, draws, seed)
-    both = weights.unionByName(equal_weights(returns))
-    moments = portfolio_moments(both, returns, risk_free)
+    vectors = random_vectors(returns, draws, seed)
+    both = vectors.unionByName(equal_vector(returns))
+    moments = vector_moments(both, asset_stats(returns), risk_free)
     sampled = F.col("portfolio") >= 0
     rank = F.when(sampled, F.struct("sharpe", (-F.col("portfolio")).alias("first")))
     picked = moments.agg(
@@ -150,19 +184,17 @@ def optimize(returns: DataFrame, draws: int = DRAWS, seed: int = SEED,
             F.try_divide(F.col("b.sharpe") - F.col("e.sharpe"), F.abs("e.sharpe")) * 100, 1
         ).alias("sharpe_improvement"),
     )
-    chosen = weights.join(record, "portfolio").groupBy(*record.columns).agg(
-        F.sort_array(F.collect_list(F.struct("asset", F.round("w", 4).alias("w")))).alias("_w")
-    )
-    return chosen.where(F.size("_w") >= 2).select(
-        F.col("_w.asset").alias("symbols"),
-        F.col("_w.w").alias("weights"),
+    chosen = vectors.join(record, "portfolio").where(F.size("assets") >= 2)
+    return chosen.select(
+        F.col("assets").alias("symbols"),
+        F.transform("draw", lambda d: F.round(d / F.col("total"), 4)).alias("weights"),
         *[c for c in record.columns if c != "portfolio"],
     )
 
 
 def frontier(returns: DataFrame, points: int = FRONTIER_POINTS, seed: int = SEED) -> DataFrame:
     """Percent return and volatility of the first ``points`` draws."""
-    moments = portfolio_moments(random_weights(returns, points, seed), returns)
+    moments = vector_moments(random_vectors(returns, points, seed), asset_stats(returns))
     return moments.select(
         "portfolio", F.round(F.col("ret") * 100, 2).alias("ret"),
         F.round(F.col("vol") * 100, 2).alias("vol"),

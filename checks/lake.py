@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barline.operators.cleaning import clean
 from barline.operators.forecast import feature_matrix
 from barline.operators.indicators import features
+from barline.operators.portfolio import align_positions, aligned_returns as returns_of
 from barline.operators.series import index_series
 from barline.session import stage
 from barline.sources import driver_tables as given
@@ -65,6 +66,14 @@ def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "matrix", lambda: feature_matrix(indexed(spark, sf_dir)))
 
 
+def aligned_returns(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
+    """Returns paired by position. Means, covariances and draws all read them."""
+    return _once(
+        spark, sf_dir, f"returns_{days}",
+        lambda: returns_of(align_positions(indexed(spark, sf_dir), days)),
+    )
+
+
 def by_status(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
     """Raw bars of the line items of one status: two feeds that overlap."""
     return _once(

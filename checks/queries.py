@@ -535,7 +535,7 @@ def _aligned(spark, sf):
 
 
 def _returns(spark, sf):
-    return portfolio.aligned_returns(_aligned(spark, sf))
+    return lake.aligned_returns(spark, sf, PORTFOLIO_DAYS)
 
 
 @query
@@ -573,14 +573,14 @@ def equal_weight_sharpe(spark, sf):
 @query
 def mc_portfolios(spark, sf):
     r = _returns(spark, sf)
-    m = portfolio.portfolio_moments(portfolio.random_weights(r), r)
+    m = portfolio.vector_moments(portfolio.random_vectors(r), portfolio.asset_stats(r))
     return rounded(m, {"ret": 6, "vol": 6, "sharpe": 6})
 
 
 @query
 def best_portfolio(spark, sf):
     r = _returns(spark, sf)
-    m = portfolio.portfolio_moments(portfolio.random_weights(r), r)
+    m = portfolio.vector_moments(portfolio.random_vectors(r), portfolio.asset_stats(r))
     return rounded(portfolio.best_portfolio(m), {"ret": 6, "vol": 6, "sharpe": 6})
 
 
