@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,22 +49,40 @@ def annual_mean(returns: DataFrame) -> DataFrame:
     return returns.groupBy("symbol").agg((F.avg("r") * YEAR_DAYS).alias("ann_mean"))
 
 
-def annual_covariance(returns: DataFrame) -> DataFrame:
-    """Yearly sample covariance ``(asset_i, asset_j, cov)`` of all asset pairs.
-    Each unordered pair is computed once; rows meet on their position, and the
-    aggregate combines before its shuffle."""
-    left = returns.select("rn", F.col("symbol").alias("asset_i"), F.col("r").alias("r_i"))
-    right = returns.select("rn", F.col("symbol").alias("asset_j"), F.col("r").alias("r_j"))
-    pairs = left.join(right, "rn").where("asset_i <= asset_j")
-    half = pairs.groupBy("asset_i", "asset_j").agg(
-        (F.covar_samp("r_i", "r_j") * YEAR_DAYS).alias("cov")
+def covariance_rows(returns: DataFrame) -> DataFrame:
+    """Per asset its yearly sample covariances with all assets, as an array in
+    asset order: ``(asset, ann_mean, assets, cov_row)``.
+
+    Each centred return meets its position's vector of returns and scales it;
+    the scaled vectors are summed per asset, map-side first. So no row stands
+    for an asset pair, and what is shuffled is as large as the matrix. All
+    assets need the same positions, as aligned returns have.
+    """
+    stats = returns.groupBy("symbol").agg(F.avg("r").alias("_mean"), F.count("r").alias("_rows"))
+    centred = returns.join(stats, "symbol").selectExpr(
+        "symbol AS asset", "rn", "r - _mean AS _d", "_mean", "_rows"
     )
-    mirrored = F.array(
-        F.struct("asset_i", "asset_j", "cov"),
-        F.struct(F.col("asset_j").alias("asset_i"), F.col("asset_i").alias("asset_j"), "cov"),
+    vectors = centred.groupBy("rn").agg(
+        F.sort_array(F.collect_list(F.struct("asset", "_d"))).alias("_v")
+    )
+    scaled = centred.join(vectors, "rn").selectExpr(
+        "asset", "_mean", "_rows", "_v.asset AS assets", "transform(_v._d, x -> x * _d) AS _x"
+    )
+    summed = scaled.groupBy("asset").agg(
+        (F.max("_mean") * YEAR_DAYS).alias("ann_mean"),
+        F.max("assets").alias("assets"),
+        F.max("_rows").alias("_rows"),
+        vector_to_array(Summarizer.sum(array_to_vector("_x"))).alias("_sums"),
+    )
+    yearly = f"transform(_sums, x -> x * {YEAR_DAYS} / (_rows - 1))"
+    return summed.selectExpr("asset", "ann_mean", "assets", f"{yearly} AS cov_row")
+
+
+def annual_covariance(returns: DataFrame) -> DataFrame:
+    """The matrix as rows ``(asset_i, asset_j, cov)``."""
+    return covariance_rows(returns).selectExpr(
+        "asset AS asset_i", "inline(arrays_zip(assets, cov_row)) AS (asset_j, cov)"
     )
-    both = F.when(F.col("asset_i") == F.col("asset_j"), F.slice(mirrored, 1, 1)).otherwise(mirrored)
-    return half.select(F.inline(both))
 
 
 def uniform(key: str) -> str:
@@ -109,15 +132,10 @@ def equal_weights(returns: DataFrame) -> DataFrame:
 
 
 def asset_stats(returns: DataFrame) -> DataFrame:
-    """Per asset its yearly mean and its covariance row in asset order. Staged,
-    so that Spark knows its size: it is broadcast below the usual threshold and
-    shuffled beyond it."""
-    row = F.sort_array(F.collect_list(F.struct("asset_j", "cov")))
-    rows = annual_covariance(returns).groupBy(F.col("asset_i").alias("asset")).agg(
-        row["cov"].alias("cov_row")
-    )
-    means = annual_mean(returns).withColumnRenamed("symbol", "asset")
-    return stage(means.join(rows, "asset"), "asset_stats")
+    """Per asset its yearly mean and its covariance row. Staged, so that Spark
+    knows its size: it is broadcast below the usual threshold and shuffled
+    beyond it."""
+    return stage(covariance_rows(returns).select("asset", "ann_mean", "cov_row"), "asset_stats")
 
 
 def vectors_of(weights: DataFrame) -> DataFrame:
@@ -184,14 +202,26 @@ def optimize(returns: DataFrame, draws: int = DRAWS, seed: int = SEED,
             F.try_divide(F.col("b.sharpe") - F.col("e.sharpe"), F.abs("e.sharpe")) * 100, 1
         ).alias("sharpe_improvement"),
     )
+    used = returns.agg((F.max("rn") + 1).alias("days_used")).scalar()
     chosen = vectors.join(record, "portfolio").where(F.size("assets") >= 2)
     return chosen.select(
         F.col("assets").alias("symbols"),
         F.transform("draw", lambda d: F.round(d / F.col("total"), 4)).alias("weights"),
         *[c for c in record.columns if c != "portfolio"],
+        used.alias("days_used"),
     )
 
 
+def optimize_horizons(bars: DataFrame, horizons: Sequence[int] = HORIZONS,
+                      draws: int = DRAWS) -> DataFrame:
+    """The record for each horizon that a user can choose."""
+    records = []
+    for days in horizons:
+        returns = stage(aligned_returns(align_positions(bars, days)), "returns")
+        records.append(optimize(returns, draws).select(F.lit(days).alias("days"), "*"))
+    return reduce(DataFrame.unionByName, records)
+
+
 def frontier(returns: DataFrame, points: int = FRONTIER_POINTS, seed: int = SEED) -> DataFrame:
     """Percent return and volatility of the first ``points`` draws."""
     moments = vector_moments(random_vectors(returns, points, seed), asset_stats(returns))

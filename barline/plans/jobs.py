@@ -56,8 +56,7 @@ def load_warehouse(spark: SparkSession, processed_path: str, warehouse: Warehous
         now = dt.datetime.now(dt.timezone.utc)
         warehouse.log_run(dag_id, run_id, "failed", 0, started, now, "validation failed")
         raise ValidationFailed(processed_path)
-    rows = warehouse.upsert_prices(processed)
-    warehouse.upsert_indicators(processed)
+    rows = warehouse.load_processed(processed)
     now = dt.datetime.now(dt.timezone.utc)
     warehouse.log_run(dag_id, run_id, "ok", rows, started, now)
 

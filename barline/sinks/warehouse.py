@@ -74,10 +74,11 @@ class Warehouse:
     def upsert_predictions(self, source: DataFrame, order: Sequence[str] = ()) -> int:
         return self._merge("predictions", source, upsert_predictions, order)
 
-    def load_processed(self, processed: DataFrame) -> None:
+    def load_processed(self, processed: DataFrame) -> int:
         """Feed the price and the indicator table from one processed table."""
-        self.upsert_prices(processed)
+        rows = self.upsert_prices(processed)
         self.upsert_indicators(processed)
+        return rows
 
     def log_run(self, dag_id: str, run_id: str, status: str, rows: int,
                 started_at=None, completed_at=None, error: str | None = None) -> None:

@@ -174,19 +174,23 @@ dd AS (SELECT symbol, min((v - peak) / nullif(peak, 0)) * 100 AS max_drawdown_pc
 
 # -- portfolio parts -----------------------------------------------------------
 
-ALIGNED = f"""{IX}, shortest AS (SELECT least(min(n), 252) AS m FROM ix),
+def aligned(days: int) -> str:
+    return f"""{IX}, shortest AS (SELECT least(min(n), {days}) AS m FROM ix),
 aligned AS (
   SELECT symbol, date, m - 1 - (n - 1 - pos) AS rn, close, prev_close
   FROM ix, shortest WHERE n - 1 - pos < m),
 ret AS (SELECT symbol, rn, ln(close / nullif(prev_close, 0)) AS r FROM aligned WHERE rn > 0)"""
-MOMENTS = f"""{ALIGNED}, mean AS (SELECT symbol, avg(r) * 252 AS ann_mean FROM ret GROUP BY symbol),
+
+
+def moments(days: int) -> str:
+    return f"""{aligned(days)}, mean AS (SELECT symbol, avg(r) * 252 AS ann_mean FROM ret GROUP BY symbol),
 cov AS (
   SELECT a.symbol AS asset_i, b.symbol AS asset_j, covar_samp(a.r, b.r) * 252 AS cov
   FROM ret a JOIN ret b ON a.rn = b.rn GROUP BY a.symbol, b.symbol)"""
 
 
-def weighted(draws: int) -> str:
-    return f"""{MOMENTS}, draw AS (
+def weighted(draws: int, days: int = 252) -> str:
+    return f"""{moments(days)}, draw AS (
   SELECT portfolio, symbol AS asset,
     -ln((CAST('0x' || substr(md5('42:' || portfolio || ':' || symbol), 1, 13) AS BIGINT) + 1)
         / 4503599627370496.0) AS e
@@ -208,16 +212,33 @@ def moments_of(source: str, name: str) -> str:
               GROUP BY portfolio) USING (portfolio)))"""
 
 
-MC = f"{weighted(10000)}, {moments_of('weights', 'mc')}"
-BEST = f"""{MC}, {moments_of('eq', 'eqm')},
+def mc(days: int = 252) -> str:
+    return f"{weighted(10000, days)}, {moments_of('weights', 'mc')}"
+
+
+def best(days: int = 252) -> str:
+    return f"""{mc(days)}, {moments_of('eq', 'eqm')},
 best AS (SELECT * FROM mc ORDER BY sharpe DESC, portfolio LIMIT 1),
 record AS (
   SELECT best.portfolio,
     {r('best.ret * 100', 2)} AS expected_return, {r('best.vol * 100', 2)} AS volatility,
     {r('best.sharpe', 3)} AS sharpe, {r('eqm.ret * 100', 2)} AS eq_return,
     {r('eqm.vol * 100', 2)} AS eq_volatility, {r('eqm.sharpe', 3)} AS eq_sharpe,
-    {r('(best.sharpe - eqm.sharpe) / nullif(abs(eqm.sharpe), 0) * 100', 1)} AS sharpe_improvement
-  FROM best, eqm)"""
+    {r('(best.sharpe - eqm.sharpe) / nullif(abs(eqm.sharpe), 0) * 100', 1)} AS sharpe_improvement,
+    m AS days_used
+  FROM best, eqm, shortest)"""
+
+
+def record(days: int = 252) -> str:
+    return f"""WITH {best(days)} SELECT
+        (SELECT string_agg(asset, ',' ORDER BY asset) FROM weights WHERE portfolio = record.portfolio) AS symbols,
+        (SELECT string_agg(printf('%.4f', round(w, 4)), ',' ORDER BY asset) FROM weights
+          WHERE portfolio = record.portfolio) AS weights,
+        expected_return, volatility, sharpe, eq_return, eq_volatility, eq_sharpe, sharpe_improvement,
+        days_used FROM record"""
+
+
+ALIGNED, MOMENTS, MC, BEST = aligned(252), moments(252), mc(), best()
 FRONTIER = f"""front AS (
   SELECT portfolio, {r('ret * 100', 2)} AS ret, {r('vol * 100', 2)} AS vol FROM mc WHERE portfolio < 500)"""
 
@@ -375,6 +396,13 @@ ORACLES: dict[str, str] = {
     "parse_daily_json": f"""WITH {BARS} SELECT symbol, date, {rounded(OHLC)},
         {r('close', 4)} AS adjusted_close, volume FROM bars""",
     "lake_roundtrip": f"WITH {BARS} SELECT symbol, date, {rounded(OHLC)}, volume FROM bars",
+    "etl_processed": f"""WITH RECURSIVE {IND} SELECT symbol, date, {rounded(OHLC)}, volume,
+        {rounded(ALL)}, {r('daily_return', 6)} AS daily_return, {r('high - low', 4)} AS price_range,
+        {r('(high + low + close) / 3', 4)} AS vwap, CAST(year(date) AS INTEGER) AS year,
+        CAST(month(date) AS INTEGER) AS month, CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week FROM ind""",
+    "warehouse_load": f"""WITH RECURSIVE {IND} SELECT symbol, date, {rounded(OHLC)}, volume, {rounded(
+        {"rsi_14": 4, "macd": 6, "macd_signal": 6, "bb_upper": 4, "bb_lower": 4, "atr_14": 4,
+         "return_1d": 6, "return_5d": 6})} FROM ind""",
     "processed_roundtrip": f"""WITH RECURSIVE {IND} SELECT symbol, date, {rounded({'close': 4, 'rsi_14': 4})}
         FROM ind WHERE date >= DATE '1996-07-01'""",
     "returns": ind({"return_1d": 6, "return_5d": 6}),
@@ -502,11 +530,9 @@ ORACLES: dict[str, str] = {
         {rounded({'ret': 6, 'vol': 6, 'sharpe': 6})} FROM mc""",
     "best_portfolio": f"""WITH {MC} SELECT CAST(portfolio AS INTEGER) AS portfolio,
         {rounded({'ret': 6, 'vol': 6, 'sharpe': 6})} FROM mc ORDER BY mc.sharpe DESC, mc.portfolio LIMIT 1""",
-    "portfolio_record": f"""WITH {BEST} SELECT
-        (SELECT string_agg(asset, ',' ORDER BY asset) FROM weights WHERE portfolio = record.portfolio) AS symbols,
-        (SELECT string_agg(printf('%.4f', round(w, 4)), ',' ORDER BY asset) FROM weights
-          WHERE portfolio = record.portfolio) AS weights,
-        expected_return, volatility, sharpe, eq_return, eq_volatility, eq_sharpe, sharpe_improvement FROM record""",
+    "portfolio_record": record(),
+    "portfolio_horizons": f"""SELECT 60 AS days, * FROM ({record(60)})
+        UNION ALL SELECT 126 AS days, * FROM ({record(126)})""",
     "frontier": f"""WITH {weighted(500)}, {moments_of('weights', 'mc')}, {FRONTIER}
         SELECT CAST(portfolio AS INTEGER) AS portfolio, ret, vol FROM front""",
     "frontier_csv": f"""WITH {BEST}, {FRONTIER}

@@ -14,8 +14,10 @@ from barline.operators import (
     backtest, cleaning, forecast, indicators, market, merge, portfolio, quality, selection,
     sentiment, series,
 )
+from barline.plans import jobs
 from barline.session import shared_dir
 from barline.sinks import lake as lake_sink
+from barline.sinks.warehouse import Warehouse
 from barline.sources import driver_tables as given
 from barline.sources import lake as lake_source
 from barline.sources import payloads
@@ -176,6 +178,26 @@ def lake_roundtrip(spark, sf):
     return rounded(back.select("symbol", "date", *OHLC, "volume"), OHLC)
 
 
+@query
+def etl_processed(spark, sf):
+    """The ETL job without its final write."""
+    done = jobs.processed_bars(lake.raw(spark, sf)).drop("processed_at", "ingested_at", "adjusted_close")
+    return rounded(done, {**OHLC, **ALL_PLACES, "daily_return": 6, "price_range": 4, "vwap": 4})
+
+
+@query
+def warehouse_load(spark, sf):
+    """Processed bars merged into both tables, then read back joined."""
+    tables = Warehouse(spark, _run_dir(spark, "warehouse"))
+    tables.load_processed(lake.featured(spark, sf))
+    done = market.prices_with_indicators(
+        tables.read("stock_prices").select("symbol", "date", *OHLC, "volume"),
+        tables.read("technical_indicators"),
+    )
+    kinds = dict(done.dtypes)
+    return done.withColumns({c: F.col(c).cast("double") for c, t in kinds.items() if "decimal" in t})
+
+
 @query
 def processed_roundtrip(spark, sf):
     path = _run_dir(spark, "processed")
@@ -584,15 +606,21 @@ def best_portfolio(spark, sf):
     return rounded(portfolio.best_portfolio(m), {"ret": 6, "vol": 6, "sharpe": 6})
 
 
+def _as_text(record):
+    shares = F.transform("weights", lambda w: F.format_string("%.4f", w))
+    return record.withColumns(
+        {"symbols": F.array_join("symbols", ","), "weights": F.array_join(shares, ",")}
+    )
+
+
 @query
 def portfolio_record(spark, sf):
-    rec = portfolio.optimize(_returns(spark, sf))
-    return rec.withColumns(
-        {
-            "symbols": F.array_join("symbols", ","),
-            "weights": F.array_join(F.transform("weights", lambda w: F.format_string("%.4f", w)), ","),
-        }
-    )
+    return _as_text(portfolio.optimize(_returns(spark, sf)))
+
+
+@query
+def portfolio_horizons(spark, sf):
+    return _as_text(portfolio.optimize_horizons(lake.indexed(spark, sf), (60, 126)))
 
 
 @query

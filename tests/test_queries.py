@@ -8,7 +8,7 @@ from checks.queries import QUERIES
 
 # Long-running ones are checked by ``python -m checks.compare`` instead.
 SLOW = {"gbt_forecast", "gbt_backtest", "processed_roundtrip", "mc_portfolios", "best_portfolio",
-        "portfolio_record", "frontier_csv"}
+        "portfolio_record", "portfolio_horizons", "frontier_csv"}
 
 
 @pytest.fixture(scope="module")
