@@ -14,6 +14,7 @@ from barline.functions.scalar import ratio
 from barline.operators.series import (
     LENGTH, POS, index_series, over_block, running_product, with_halo,
 )
+from barline.session import stage
 
 # Trading days a year and the two risk-free rates.
 YEAR_DAYS = 252
@@ -121,12 +122,8 @@ def backtest_flags(metrics: DataFrame) -> DataFrame:
 def equity_curve(predictions: DataFrame, fraction: float = 0.8) -> DataFrame:
     """Equity before and after each test row; it starts at 1."""
     rows = strategy_returns(test_rows(predictions, fraction))
-    grown = running_product(rows.withColumn("_f", 1 + F.col("strategy_return")), "_f", "equity_after")
-    # The product of the rows before is exact even after a total loss.
-    halo = with_halo(grown, 1).withColumn("_b", F.expr(f"lag(equity_after) {over_block()}"))
-    return halo.where("own").withColumn("equity", F.coalesce("_b", F.lit(1.0))).drop(
-        "own", "blk", "_b", "_f"
-    )
+    grown = rows.withColumn("_f", 1 + F.col("strategy_return"))
+    return running_product(grown, "_f", "equity_after", before="equity").drop("_f")
 
 
 def downsample(df: DataFrame, points: int = CHART_POINTS) -> DataFrame:
@@ -196,8 +193,9 @@ def hit_rate_where(hit: Column, where: Column) -> Column:
 
 
 def evaluate(df: DataFrame) -> DataFrame:
-    """The evaluation record per symbol, rounded."""
-    rows = evaluation_rows(df)
+    """The evaluation record per symbol, rounded. The numbered rows feed the
+    errors and, twice, the drawdown, so they are staged."""
+    rows = stage(evaluation_rows(df), "evaluation")
     return error_metrics(rows).join(drawdown(rows), "symbol", "left").select(
         "symbol",
         *[F.round(c, 4).alias(c) for c in ("mae", "rmse", "r2")],

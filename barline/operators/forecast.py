@@ -14,6 +14,7 @@ from barline.functions.signals import confidence, next_day
 from barline.operators.backtest import chronological_split, split_point
 from barline.operators.indicators import features
 from barline.operators.market import last_volatility
+from barline.operators.selection import MIN_ROWS
 from barline.operators.series import LENGTH, POS
 
 LIVE_FEATURES = [
@@ -89,7 +90,8 @@ def predict(matrix: DataFrame, model: GBTRegressionModel) -> DataFrame:
 
 
 def forecast(matrix: DataFrame, model: GBTRegressionModel, as_of: str,
-             version: str = "gbt-live-v1", need: int = 10, as_reference: bool = False) -> DataFrame:
+             version: str = "gbt-live-v1", need: int = MIN_ROWS["live_fit"],
+             as_reference: bool = False) -> DataFrame:
     """One prediction record per symbol from its newest bar.
 
     ``as_reference`` predicts from the bar before it, whose outcome is already

@@ -204,31 +204,37 @@ def ewm(df: DataFrame, value: str, alpha: float, out: str, min_rows: int = 1, st
 
 
 def running_product(df: DataFrame, factor: str, out: str, key: str = KEY,
-                    peak: str | None = None) -> DataFrame:
-    """Product of ``factor`` up to and including each row of an indexed series,
-    and with ``peak`` also the highest product so far."""
-    so_far = over_block("ROWS UNBOUNDED PRECEDING", key)
-    earlier = over_earlier_blocks(None, key)
-    running = Window.partitionBy(key, BLK).orderBy(POS).rowsBetween(Window.unboundedPreceding, 0)
-    before = Window.partitionBy(key).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = F.coalesce(F.product("_end").over(before), F.lit(1.0)).alias("_c")
-    local = with_block(df).withColumn("_p", F.product(factor).over(running))
-    ends = [F.expr(f"max_by(_p, {POS})").alias("_end")]
-    if not peak:
-        carries = local.groupBy(key, BLK).agg(*ends).select(key, BLK, carry)
-        joined = local.join(carries, [key, BLK])
-        return joined.selectExpr(*df.columns, f"_c * _p AS {out}")
-    # A carry may be negative, so the peak of a scaled block can come from its
-    # lowest local product.
-    local = local.selectExpr("*", f"max(_p) {so_far} AS _hi", f"min(_p) {so_far} AS _lo")
-    ends += [F.max("_p").alias("_top"), F.min("_p").alias("_bottom")]
+                    before: str | None = None, peak: str | None = None) -> DataFrame:
+    """Product of ``factor`` up to and including each row of an indexed series.
+
+    ``before`` names a column for the product of the rows before (1 at the
+    start); ``peak`` names one for the highest product so far.
+    """
+    block = Window.partitionBy(key, BLK).orderBy(POS)
+    up_to = block.rowsBetween(Window.unboundedPreceding, 0)
+    ahead = block.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = Window.partitionBy(key).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    one = F.lit(1.0)
+    local = with_block(df).withColumn("_p", F.product(factor).over(up_to))
+    ends = [F.max_by("_p", POS).alias("_end")]
+    made = [f"_c * _p AS {out}"]
+    if before:
+        local = local.withColumn("_b", F.coalesce(F.product(factor).over(ahead), one))
+        made.append(f"_c * _b AS {before}")
+    if peak:
+        # A carry may be negative, so the peak of a scaled block can come from
+        # its lowest local product.
+        local = local.withColumns({"_hi": F.max("_p").over(up_to), "_lo": F.min("_p").over(up_to)})
+        ends += [F.max("_p").alias("_top"), F.min("_p").alias("_bottom")]
+        made.append(f"greatest(_peak, _c * _hi, _c * _lo) AS {peak}")
     carries = (
         local.groupBy(key, BLK)
         .agg(*ends)
-        .select(key, BLK, carry, "_top", "_bottom")
-        .selectExpr(key, BLK, "_c", f"max(greatest(_c * _top, _c * _bottom)) {earlier} AS _peak")
-    )
-    highest = "greatest(_peak, _c * _hi, _c * _lo)"
-    return local.join(carries, [key, BLK]).selectExpr(
-        *df.columns, f"_c * _p AS {out}", f"{highest} AS {peak}"
+        .withColumn("_c", F.coalesce(F.product("_end").over(blocks), one))
     )
+    kept = ["_c"]
+    if peak:
+        top = F.greatest(F.col("_c") * F.col("_top"), F.col("_c") * F.col("_bottom"))
+        carries = carries.withColumn("_peak", F.max(top).over(blocks))
+        kept.append("_peak")
+    return local.join(carries.select(key, BLK, *kept), [key, BLK]).selectExpr(*df.columns, *made)

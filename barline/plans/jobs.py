@@ -12,6 +12,7 @@ from barline.operators import backtest, forecast, quality, sentiment
 from barline.operators.cleaning import clean, derive
 from barline.operators.indicators import features
 from barline.operators.merge import TTL, snapshot
+from barline.operators.selection import MIN_ROWS
 from barline.operators.series import index_series
 from barline.schemas import INDICATORS
 from barline.session import stage
@@ -69,7 +70,7 @@ def score_symbols(processed: DataFrame, warehouse: Warehouse, as_of: str,
     indexed = stage(index_series(bars, neighbours=["close"]), "indexed")
     matrix = stage(forecast.feature_matrix(indexed), "matrix")
     model = forecast.fit(matrix, trees=trees)
-    records = stage(forecast.forecast(matrix, model, as_of, need=60), "forecast")
+    records = stage(forecast.forecast(matrix, model, as_of, need=MIN_ROWS["infer"]), "forecast")
     warehouse.upsert_predictions(records.drop("current_price", "model_trained_at"))
     return records, forecast.skipped(processed, records)
 
@@ -102,7 +103,7 @@ def run_retrain(processed: DataFrame, trees: int = forecast.TREES) -> tuple[Data
     bars = processed.select("symbol", "date", "open", "high", "low", "close", "volume")
     indexed = stage(index_series(bars, neighbours=["close"]), "indexed")
     matrix = stage(forecast.feature_matrix(indexed), "matrix")
-    enough = matrix.where(F.col("n") >= 60)
+    enough = matrix.where(F.col("n") >= MIN_ROWS["backtest"])
     predictions = stage(forecast.backtest_predictions(enough, trees), "backtest")
     metrics = backtest.backtest_flags(backtest.backtest_metrics(predictions))
     return metrics, backtest.retrain_summary(metrics)
