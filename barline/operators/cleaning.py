@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from barline.functions.scalar import missing, ratio
+from barline.functions.scalar import missing
 
 Rules = dict[str, Column]
 
@@ -33,20 +33,16 @@ def dedupe_bars(df: DataFrame) -> DataFrame:
 
 
 def quality_filter(df: DataFrame) -> DataFrame:
-    return df.where(
-        F.col("close").isNotNull()
-        & F.col("volume").isNotNull()
-        & (F.col("close") > 0)
-        & (F.col("volume") > 0)
-        & (F.col("high") >= F.col("low"))
-    )
+    """Positive close and volume, and a range that is not crossed. A missing
+    value makes its comparison NULL, which drops the row."""
+    return df.where("close > 0 AND volume > 0 AND high >= low")
 
 
 def with_daily_return(df: DataFrame, limit: float = 0.5) -> DataFrame:
     """Add the open-to-close return and drop moves of ``limit`` or more; a
     missing or zero open drops the row."""
-    moved = df.withColumn("daily_return", ratio(F.col("close") - F.col("open"), F.col("open")))
-    return moved.where(F.abs("daily_return") < limit)
+    moved = df.selectExpr("*", "try_divide(close - open, open) AS daily_return")
+    return moved.where(f"abs(daily_return) < {limit}D")
 
 
 def clean(df: DataFrame, before: Observation | None = None,
@@ -59,17 +55,18 @@ def clean(df: DataFrame, before: Observation | None = None,
 
 
 def derive(df: DataFrame, processed_at: Column | None = None) -> DataFrame:
-    """Price range, typical price (called vwap), calendar columns."""
-    return df.withColumns(
-        {
-            "price_range": F.col("high") - F.col("low"),
-            "vwap": (F.col("high") + F.col("low") + F.col("close")) / 3,
-            "year": F.year("date"),
-            "month": F.month("date"),
-            "day_of_week": F.dayofweek("date"),
-            "processed_at": F.current_timestamp() if processed_at is None else processed_at,
-        }
+    """Price range, typical price (called vwap), calendar columns (Sunday is
+    day 1) and the processing time."""
+    wide = df.selectExpr(
+        "*",
+        "high - low AS price_range",
+        "(high + low + close) / 3 AS vwap",
+        "year(date) AS year",
+        "month(date) AS month",
+        "dayofweek(date) AS day_of_week",
     )
+    stamp = F.current_timestamp() if processed_at is None else processed_at
+    return wide.withColumn("processed_at", stamp)
 
 
 def split_valid(df: DataFrame, rules: Rules) -> tuple[DataFrame, DataFrame]:

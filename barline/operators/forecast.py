@@ -17,6 +17,7 @@ from barline.operators.market import last_volatility
 from barline.operators.selection import MIN_ROWS
 from barline.operators.series import LENGTH, POS
 
+# The features of the live and of the batch model.
 LIVE_FEATURES = [
     "open", "high", "low", "volume", "rsi_14", "macd", "macd_signal", "bb_upper", "bb_lower",
     "bb_width", "atr_14", "return_1d", "return_5d", "sma_10", "sma_20", "vol_ratio",

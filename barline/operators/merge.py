@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barline.operators.cleaning import latest_per_key
 from barline.schemas import INDICATORS
 
+# Table keys and the columns that a conflict replaces.
 PRICE_KEYS = ["symbol", "date"]
 PRICE_UPDATES = ["close", "adjusted_close", "volume"]
 INDICATOR_KEYS = ["symbol", "date"]

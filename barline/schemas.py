@@ -12,6 +12,7 @@ def _struct(*fields: tuple) -> T.StructType:
 STRING, DOUBLE, LONG = T.StringType(), T.DoubleType(), T.LongType()
 TIMESTAMP, DATE, INT = T.TimestampType(), T.DateType(), T.IntegerType()
 
+# The columns of every table and message.
 RAW_BARS = _struct(
     ("symbol", STRING, False),
     ("date", TIMESTAMP, False),
