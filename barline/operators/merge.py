@@ -30,20 +30,23 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  updates: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """``target`` after inserting ``source``; on a key conflict only
     ``updates`` are replaced. Source columns that are absent stay NULL in new
-    rows. With ``order``, the last source row per key wins.
+    rows. Of source rows that share a key the last by ``order`` wins; without
+    an order, the greatest by value.
 
     Presence is carried by flags, so a NULL value is never taken for a missing
-    row. Both sides are unique per key, so the join cannot be skewed.
+    row. Both sides are unique per key, so the join cannot be skewed; the
+    source is reduced and joined on one partitioning. As in a unique index, a
+    NULL key conflicts with nothing.
     """
-    if order:
-        source = latest_per_key(source, keys, order)
+    values = [c for c in source.columns if c not in keys]
+    source = latest_per_key(source, keys, order or values) if values else source.distinct()
     s = source.select(
         *[F.col(k).alias(f"s_{k}") for k in keys],
         *[F.col(c).alias(f"s_{c}") for c in target.columns if c in source.columns and c not in keys],
         F.lit(True).alias("_in_source"),
     )
     t = target.withColumn("_in_target", F.lit(True))
-    on = [t[k].eqNullSafe(s[f"s_{k}"]) for k in keys]
+    on = [t[k] == s[f"s_{k}"] for k in keys]
     both = t.join(s, on, "full_outer")
     in_source, in_target = F.col("_in_source").isNotNull(), F.col("_in_target").isNotNull()
     out = []

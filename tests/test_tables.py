@@ -27,6 +27,11 @@ def test_upsert_takes_the_last_of_repeated_keys(spark):
     source = spark.createDataFrame(
         [("A", D, 1.0, 1.0, 1.0, 1, 1), ("A", D, 2.0, 2.0, 2.0, 2, 2)], PRICES + ", seq int")
     assert [r["close"] for r in merge.upsert_prices(target, source, ["seq"]).collect()] == [2.0]
+    unordered = merge.upsert_prices(target, source.drop("seq"))
+    # One exchange per side: the reduced source is joined where it lies.
+    plan = unordered._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert [r["close"] for r in unordered.collect()] == [2.0]
 
 
 def test_indicator_upsert_leaves_absent_columns(spark):
