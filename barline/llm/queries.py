@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from barline.llm import host_rules, packing, secret_scan, toxicity, url_filter
+from barline.llm import host_rules, ngram_lm, packing, prefix_forest, secret_scan, toxicity, url_filter
 
 QUERIES = {
     "op2_quality_rules": host_rules.op2_quality_rules,
+    "op3_ngram_quality": ngram_lm.op3_ngram_quality,
+    "op4_prefix_forest": prefix_forest.op4_prefix_forest,
     "op5_secret_scan": secret_scan.op5_secret_scan,
     "op7_toxicity": toxicity.op7_toxicity,
     "op9_url_filter": url_filter.op9_url_filter,
