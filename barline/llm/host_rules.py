@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm.tokens import SPACE, mix, owner, slices, texts, window_hashes, word_hashes, words
+from barline.session import stage
 
 WINDOW = 5
 #: A host is rejected if its shrunk failure rate is above this.
@@ -88,14 +89,11 @@ def host_rates(counted: DataFrame) -> DataFrame:
     hosts = counted.groupBy("host").agg(
         F.count(F.lit(1)).alias("docs"), F.sum(F.col("failed").cast("long")).alias("failures"))
     rate = F.col("failures") / F.col("docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_samp(rate).alias("v"))
-    spread = F.col("m") * (1 - F.col("m"))
-    weight = F.when((F.col("v") > 0) & (F.col("v") < spread), spread / F.col("v") - 1).otherwise(F.lit(1.0))
-    prior = prior.select("m", weight.alias("k"))
-    # One prior row meets every host: an aggregate over all hosts has exactly one row.
-    return hosts.withColumn("_one", F.lit(1)).join(F.broadcast(prior.withColumn("_one", F.lit(1))), "_one").select(
-        "host", "docs", "failures",
-        ((F.col("failures") + F.col("m") * F.col("k")) / (F.col("docs") + F.col("k"))).alias("host_rate"))
+    prior = hosts.agg(F.avg(rate).alias("m"), F.var_samp(rate).alias("v")).first()
+    m, v = prior["m"] or 0.0, prior["v"] or 0.0
+    k = m * (1 - m) / v - 1 if 0 < v < m * (1 - m) else 1.0
+    return hosts.select("host", "docs", "failures",
+                        ((F.col("failures") + m * k) / (F.col("docs") + k)).alias("host_rate"))
 
 
 def quality_rules(docs: DataFrame, host_col: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
@@ -108,6 +106,7 @@ def quality_rules(docs: DataFrame, host_col: str = "source", max_rate: float = M
     """
     base, symbols = _failed()
     counted = document_counts(docs, host_col).withColumn("base_failed", base).withColumn("failed", base | symbols)
+    counted = stage(counted, "rules")  # read twice: for the hosts and for the result
     rates = host_rates(counted)
     a, b = counted.alias("a"), rates.alias("b")
     joined = a.join(b, F.col("a.host").eqNullSafe(F.col("b.host")), "left")
