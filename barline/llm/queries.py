@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from barline.llm import host_rules, ngram_lm, packing, prefix_forest, secret_scan, toxicity, url_filter
+from barline.llm import host_rules, jaccard_join, ngram_lm, packing, prefix_forest, secret_scan, toxicity, url_filter
 
 QUERIES = {
     "op2_quality_rules": host_rules.op2_quality_rules,
     "op3_ngram_quality": ngram_lm.op3_ngram_quality,
     "op4_prefix_forest": prefix_forest.op4_prefix_forest,
     "op5_secret_scan": secret_scan.op5_secret_scan,
+    "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_toxicity": toxicity.op7_toxicity,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
@@ -16,5 +17,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_quality_rules": host_rules.SQL,
+    "op6_jaccard_join": jaccard_join.SQL,
     "op9_url_filter": url_filter.SQL,
 }
