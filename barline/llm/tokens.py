@@ -27,6 +27,8 @@ def texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
         column = column.combine_chunks()
         if isinstance(column, pa.ChunkedArray):
             column = pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], pa.string())
+    # Some text kernels misread slices, so the values are copied out of the batch.
+    column = column.take(pa.array(np.arange(len(column))))
     return pc.fill_null(column.cast(pa.large_string()), "")
 
 
