@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from barline.llm import host_rules, jaccard_join, ngram_lm, packing, prefix_forest, secret_scan, toxicity, url_filter
+from barline.llm import block_labeller, host_rules, jaccard_join, ngram_lm, packing, prefix_forest, secret_scan, toxicity, url_filter
 
 QUERIES = {
+    "op1_block_labeller": block_labeller.op1_block_labeller,
     "op2_quality_rules": host_rules.op2_quality_rules,
     "op3_ngram_quality": ngram_lm.op3_ngram_quality,
     "op4_prefix_forest": prefix_forest.op4_prefix_forest,
