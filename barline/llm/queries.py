@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from barline.llm import block_labeller, host_rules, jaccard_join, ngram_lm, packing, prefix_forest, secret_scan, toxicity, url_filter
+from barline.llm import block_labeller, host_rules, jaccard_join, ngram_lm, packing, pieces, prefix_forest, secret_scan, toxicity, url_filter
 
 QUERIES = {
     "op1_block_labeller": block_labeller.op1_block_labeller,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_secret_scan": secret_scan.op5_secret_scan,
     "op6_jaccard_join": jaccard_join.op6_jaccard_join,
     "op7_toxicity": toxicity.op7_toxicity,
+    "op8_pieces": pieces.op8_pieces,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
 }
