@@ -23,8 +23,8 @@ LIVE_FEATURES = [
     "bb_width", "atr_14", "return_1d", "return_5d", "sma_10", "sma_20", "vol_ratio",
 ]
 BATCH_FEATURES = [
-    "open", "high", "low", "close", "volume", "rsi_14", "macd", "macd_signal", "bb_upper",
-    "bb_lower", "bb_width", "atr_14", "return_1d", "return_5d",
+    "open", "high", "low", "volume", "vwap", "rsi_14", "macd", "macd_signal", "bb_upper",
+    "bb_lower", "atr_14", "return_1d", "return_5d", "day_of_week",
 ]
 BATCH_TARGET = "adjusted_close"
 # Rows a series needs before the slowest indicator (the signal mean) exists.
@@ -49,7 +49,7 @@ def feature_matrix(bars: DataFrame) -> DataFrame:
 
 
 def batch_features(processed: DataFrame) -> DataFrame:
-    """Features and target of the batch model, complete rows only."""
+    """Features and target of the batch model from derived bars, complete rows only."""
     return processed.select("symbol", "date", *BATCH_FEATURES, BATCH_TARGET).dropna(
         subset=[*BATCH_FEATURES, BATCH_TARGET]
     )

@@ -13,7 +13,6 @@ from barline.schemas import TICK
 
 # Required fields, spot-check size and the alert level.
 REQUIRED = ["symbol", "price", "volume", "timestamp"]
-SPOT_CHECK = 50
 BACKLOG_ALERT = 10_000
 
 
@@ -129,14 +128,11 @@ def current(spark: SparkSession, table: str, keys: list[str]) -> DataFrame:
     return best.select(*keys, "v.*")
 
 
-def write_quality(stream: DataFrame, table: str, checkpoint: str, once: bool = True,
-                  spot_check: int | None = None):
-    """One quality row per batch; ``spot_check`` looks at that many messages of
-    each batch instead of all."""
+def write_quality(stream: DataFrame, table: str, checkpoint: str, once: bool = True):
+    """One quality row per batch, over every message of it."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        looked = batch.limit(spot_check) if spot_check else batch
-        quality_summary(looked).write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
+        quality_summary(batch).write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save)
     return (writer.trigger(availableNow=True) if once else writer).start()

@@ -110,8 +110,9 @@ ALL = {"rsi_14": 4, "macd": 4, "macd_signal": 4, "macd_hist": 4, "bb_upper": 4,
 JOINED = {c: n for c, n in ALL.items() if c not in ("macd_hist", "bb_width")}
 LIVE = ["open", "high", "low", "volume", "rsi_14", "macd", "macd_signal", "bb_upper", "bb_lower",
         "bb_width", "atr_14", "return_1d", "return_5d", "sma_10", "sma_20", "vol_ratio"]
-BATCH = ["open", "high", "low", "close", "volume", "rsi_14", "macd", "macd_signal", "bb_upper",
-         "bb_lower", "bb_width", "atr_14", "return_1d", "return_5d"]
+# vwap and day_of_week are computed where these are selected.
+BATCH = ["open", "high", "low", "volume", "rsi_14", "macd", "macd_signal", "bb_upper", "bb_lower",
+         "atr_14", "return_1d", "return_5d"]
 
 
 def ind(places: dict[str, int]) -> str:
@@ -418,7 +419,8 @@ ORACLES: dict[str, str] = {
         {rounded({c: 4 for c in LIVE if c != 'volume'})} FROM ind
         WHERE {' AND '.join(f'{c} IS NOT NULL' for c in LIVE)}""",
     "batch_features": f"""WITH RECURSIVE {IND} SELECT symbol, date, volume,
-        {rounded({c: 4 for c in BATCH if c != 'volume'})}, {r('close', 4)} AS adjusted_close FROM ind
+        {rounded({c: 4 for c in BATCH if c != 'volume'})}, {r('close', 4)} AS adjusted_close,
+        {r('(high + low + close) / 3', 4)} AS vwap, CAST(dayofweek(date) + 1 AS INTEGER) AS day_of_week FROM ind
         WHERE {' AND '.join(f'{c} IS NOT NULL' for c in BATCH)}""",
     "next_target": f"WITH {TARGETS} SELECT symbol, date, {rounded({'close': 4, 'target': 4})} FROM targets",
     "chrono_split": f"""WITH {IX} SELECT symbol, date, pos,

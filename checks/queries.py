@@ -285,8 +285,9 @@ def feature_matrix(spark, sf):
 
 @query
 def batch_features(spark, sf):
-    places = {c: 4 for c in [*forecast.BATCH_FEATURES, forecast.BATCH_TARGET] if c != "volume"}
-    return rounded(forecast.batch_features(lake.featured(spark, sf)), places)
+    whole = ("volume", "day_of_week")
+    places = {c: 4 for c in [*forecast.BATCH_FEATURES, forecast.BATCH_TARGET] if c not in whole}
+    return rounded(forecast.batch_features(cleaning.derive(lake.featured(spark, sf))), places)
 
 
 @query
