@@ -68,9 +68,12 @@ def parse_daily(payloads: DataFrame, ingested_at: Column | None = None) -> tuple
     return rows, whole.unionByName(parts)
 
 
-def parse_entries(entries: DataFrame, as_of: Column, lookback_days: int = 7) -> DataFrame:
+def parse_entries(entries: DataFrame, as_of: Column, lookback_days: int = 7,
+                  summary_chars: int | None = None) -> DataFrame:
     """Feed entries ``(symbol, feed_url, feed_title, title, summary, link,
-    published)`` to headlines. An entry without a time counts as new."""
+    published)`` to headlines. An entry without a time counts as new. Summaries
+    stay whole unless a display asks for their first ``summary_chars``."""
+    summary = F.coalesce("summary", F.lit(""))
     published = F.coalesce("published", as_of)
     recent = entries.withColumn("published", published).where(
         F.col("published") >= as_of - F.expr(f"INTERVAL {int(lookback_days)} DAYS")
@@ -79,7 +82,7 @@ def parse_entries(entries: DataFrame, as_of: Column, lookback_days: int = 7) ->
         "symbol",
         F.to_date("published").alias("date"),
         F.coalesce("title", F.lit("")).alias("headline"),
-        F.substring(F.coalesce("summary", F.lit("")), 1, SUMMARY_CHARS).alias("summary"),
+        (F.substring(summary, 1, summary_chars) if summary_chars else summary).alias("summary"),
         F.coalesce("link", F.lit("")).alias("url"),
         F.coalesce("feed_title", "feed_url").alias("source"),
         as_of.alias("ingested_at"),
@@ -93,12 +96,14 @@ def news_items(payloads: DataFrame) -> DataFrame:
     return payloads.select("symbol", F.posexplode(items).alias("seq", "item"))
 
 
-def parse_news(items: DataFrame, limit: int = NEWS_ITEMS) -> DataFrame:
-    """``(symbol, seq, item)`` to articles. The first ``limit`` items per symbol
-    are taken before those without a title are dropped; per map task only
-    ``limit`` rows of a symbol are shuffled."""
-    w = Window.partitionBy("symbol").orderBy("seq")
-    first = items.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit)
+def parse_news(items: DataFrame, limit: int | None = None) -> DataFrame:
+    """``(symbol, seq, item)`` to articles, those without a title dropped. With a
+    ``limit``, the first so many items per symbol are taken before that; per map
+    task only ``limit`` rows of a symbol are shuffled."""
+    first = items
+    if limit is not None:
+        w = Window.partitionBy("symbol").orderBy("seq")
+        first = items.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= limit)
     j = F.from_json("item", _NEWS_SCHEMA)
     n = first.withColumn("j", j).withColumn("c", F.col("j.content"))
     nested = F.col("c").isNotNull()

@@ -545,7 +545,7 @@ ORACLES: dict[str, str] = {
     "headline_dedupe": f"""WITH {HEADLINES} SELECT symbol, date, url, CAST(length(headline) AS BIGINT) AS chars FROM (
         SELECT *, row_number() OVER (PARTITION BY symbol, headline ORDER BY date, doc_id) AS k FROM headlines)
         WHERE k = 1""",
-    "feed_entries": f"""WITH {HEADLINES} SELECT symbol, date, url AS headline, substr(headline, 1, 500) AS summary, url,
+    "feed_entries": f"""WITH {HEADLINES} SELECT symbol, date, url AS headline, headline AS summary, url,
         'feed' AS source FROM headlines WHERE date >= DATE '2024-01-23'""",
     "lexicon_score": f"""WITH {SCORED} SELECT doc_id, symbol, {rounded({c: 4 for c in (
         'sentiment_positive', 'sentiment_negative', 'sentiment_neutral', 'sentiment_compound')})} FROM scored""",

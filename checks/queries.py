@@ -742,7 +742,8 @@ def top15_articles(spark, sf):
         F.col("date").cast("string").alias("providerPublishTime"),
     )
     item = F.when(F.col("lang") == "en", F.to_json(nested)).otherwise(F.to_json(flat))
-    return payloads.parse_news(d.select("symbol", F.col("doc_id").alias("seq"), item.alias("item")))
+    return payloads.parse_news(d.select("symbol", F.col("doc_id").alias("seq"), item.alias("item")),
+                               payloads.NEWS_ITEMS)
 
 
 @query

@@ -125,11 +125,17 @@ def test_feed_entries(spark):
     df = spark.createDataFrame(
         rows, "symbol string, feed_url string, feed_title string, title string, summary string, "
               "link string, published timestamp")
-    got = payloads.parse_entries(df, F.lit(T), 7).orderBy("headline").collect()
+    got = payloads.parse_entries(df, F.lit(T), 7, payloads.SUMMARY_CHARS).orderBy("headline").collect()
     assert [(r["headline"], len(r["summary"]), r["source"]) for r in got] == [("", 0, "u"), ("t", 500, "Feed")]
     assert got[0]["date"] == T.date()
 
 
+def test_feed_summaries_stay_whole_by_default(spark):
+    df = spark.createDataFrame([("A", "u", "Feed", "t", "s" * 600, "l", T)], "symbol string, feed_url string, "
+                               "feed_title string, title string, summary string, link string, published timestamp")
+    assert len(payloads.parse_entries(df, F.lit(T), 7).first()["summary"]) == 600
+
+
 def test_news_in_two_shapes(spark):
     nested = {"content": {"title": "n", "provider": {"displayName": "p"}, "canonicalUrl": {"url": "u"},
                           "pubDate": "d"}}
@@ -138,7 +144,8 @@ def test_news_in_two_shapes(spark):
     empty = {"title": ""}
     items = [empty] * 2 + [nested, click, flat] + [{"title": f"x{i}"} for i in range(20)]
     df = spark.createDataFrame([("A", json.dumps(items))], "symbol string, payload string")
-    got = payloads.parse_news(payloads.news_items(df)).orderBy("seq").collect()
+    assert payloads.parse_news(payloads.news_items(df)).count() == 23
+    got = payloads.parse_news(payloads.news_items(df), payloads.NEWS_ITEMS).orderBy("seq").collect()
     # Fifteen items are taken first, then the two without a title fall out.
     assert len(got) == 13
     assert [tuple(r)[2:] for r in got[:3]] == [("n", "p", "u", "d"), ("c", "", "k", ""), ("f", "q", "v", "5")]
