@@ -15,7 +15,8 @@ from barline.operators.backtest import chronological_split, split_point
 from barline.operators.indicators import features
 from barline.operators.market import last_volatility
 from barline.operators.selection import MIN_ROWS
-from barline.operators.series import LENGTH, POS
+from barline.operators.series import LENGTH, POS, index_series
+from barline.session import stage
 
 # The features of the live and of the batch model.
 LIVE_FEATURES = [
@@ -39,13 +40,12 @@ _FREE = ["rsi_14", "bb_width", "return_1d", "return_5d", "vol_ratio"]
 
 
 def feature_matrix(bars: DataFrame) -> DataFrame:
-    """Rows whose sixteen features are all present, re-numbered from 0. The
-    warm-up is a fixed number of rows, so positions shift without a new count."""
-    full = features(bars)
-    kept = full.where(F.col(POS) >= WARM_UP)
-    for c in LIVE_FEATURES:
-        kept = kept.where(F.col(c).isNotNull())
-    return kept.withColumns({POS: F.col(POS) - WARM_UP, LENGTH: F.col(LENGTH) - WARM_UP})
+    """Rows whose sixteen features are all present (neither NULL nor NaN), numbered
+    anew from 0 with the closes beside them. Any row may be incomplete, not only
+    the warm-up, so the kept rows are staged and counted."""
+    kept = features(bars).where(F.col(POS) >= WARM_UP).dropna(subset=LIVE_FEATURES)
+    kept = stage(kept.drop(POS, LENGTH, "prev_close", "next_close"), "complete")
+    return index_series(kept, neighbours=["close"])
 
 
 def batch_features(processed: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.operators.series import (
-    BLK, BLOCK, BLOCK_OF, KEY, OFFSET, POS, Recurrence, index_series, over_block,
+    BLK, BLOCK, BLOCK_OF, KEY, OFFSET, POS, Recurrence, index_series, keyless, over_block,
     over_earlier_blocks, over_trailing, smoothing, warm, with_block, with_halo,
 )
 from barline.schemas import INDICATORS
@@ -172,6 +172,7 @@ def features(bars: DataFrame) -> DataFrame:
 
 
 def add_indicators(bars: DataFrame) -> DataFrame:
-    """The ten indicator columns for bars that are not numbered yet."""
-    done = features(index_series(bars, neighbours=["close"]))
-    return done.select(*bars.columns, *INDICATORS)
+    """The ten indicator columns for bars that are not numbered yet. Bars without
+    a symbol or a date are kept, with no indicators."""
+    done = features(index_series(bars, neighbours=["close"])).select(*bars.columns, *INDICATORS)
+    return done.unionByName(keyless(bars), allowMissingColumns=True)

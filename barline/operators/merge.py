@@ -14,6 +14,7 @@ from barline.schemas import INDICATORS
 PRICE_KEYS = ["symbol", "date"]
 PRICE_UPDATES = ["close", "adjusted_close", "volume"]
 INDICATOR_KEYS = ["symbol", "date"]
+SENTIMENT_KEYS = ["symbol", "date"]
 PREDICTION_KEYS = ["symbol", "prediction_date", "model_version"]
 PREDICTION_UPDATES = [
     "predicted_price", "confidence_lower", "confidence_upper", "confidence_score",
@@ -29,8 +30,8 @@ TTL = {
 def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
                  updates: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """``target`` after inserting ``source``; on a key conflict only
-    ``updates`` are replaced. Source columns that are absent stay NULL in new
-    rows. Of source rows that share a key the last by ``order`` wins; without
+    ``updates`` are replaced, and of those only the ones that the source has.
+    Source columns that are absent stay NULL in new rows. Of source rows that share a key the last by ``order`` wins; without
     an order, the greatest by value.
 
     Presence is carried by flags, so a NULL value is never taken for a missing
@@ -55,7 +56,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str],
         incoming = F.col(f"s_{c}").cast(f.dataType) if f"s_{c}" in s.columns else F.lit(None)
         if c in keys:
             value = F.when(in_target, F.col(c)).otherwise(incoming)
-        elif c in updates:
+        elif c in updates and f"s_{c}" in s.columns:
             value = F.when(in_source, incoming).otherwise(F.col(c))
         else:
             value = F.when(in_target, F.col(c)).otherwise(incoming)
@@ -78,6 +79,12 @@ def upsert_predictions(target: DataFrame, source: DataFrame, order: Sequence[str
     return merge_upsert(target, source, PREDICTION_KEYS, PREDICTION_UPDATES, order)
 
 
+def upsert_sentiment(target: DataFrame, source: DataFrame, order: Sequence[str] = ()) -> DataFrame:
+    """Replaces every score and count that the source has."""
+    values = [c for c in target.columns if c not in (*SENTIMENT_KEYS, "created_at")]
+    return merge_upsert(target, source, SENTIMENT_KEYS, values, order)
+
+
 def snapshot(df: DataFrame, key: Column, time: str, value: Sequence[str], ttl: int,
              tie: Sequence[str] = ()) -> DataFrame:
     """Latest value per upper-case key with the time it expires."""

@@ -18,6 +18,8 @@ from barline.session import stage
 # Sampling defaults, horizons offered and their bounds.
 RISK_FREE, DRAWS, SEED, FRONTIER_POINTS = 0.02, 10_000, 42, 500
 HORIZONS, MIN_DAYS, MAX_DAYS = (60, 126, 252, 504), 60, 504
+# Largest matrix that every executor gets whole.
+BROADCAST_BYTES = 32 << 20
 
 
 def log_returns(bars: DataFrame) -> DataFrame:
@@ -26,11 +28,39 @@ def log_returns(bars: DataFrame) -> DataFrame:
     return bars.where(F.col(POS) > 0).withColumn("r", r)
 
 
-def align_positions(bars: DataFrame, days: int = 252) -> DataFrame:
-    """Keep the last ``days`` prices of each asset, cut all to the shortest, and
-    pair them by position from the end. ``rn`` counts from 0 on."""
+def _usable(need: int) -> Column:
+    """Per asset: enough prices, and a positive one in each of its rows."""
+    priced = F.coalesce(F.min((F.col("close") > 0) & (F.col("close") < F.lit(float("inf")))), F.lit(False))
+    return (F.max(LENGTH) >= need) & priced & (F.count("close") == F.count(F.lit(1)))
+
+
+def _newest(bars: DataFrame, days: int, symbols: Sequence[str] | None) -> DataFrame:
     if not MIN_DAYS <= days <= MAX_DAYS:
         raise ValueError(f"days must be in {MIN_DAYS}..{MAX_DAYS}")
+    basket = bars if symbols is None else bars.where(F.col("symbol").isin(list(symbols)))
+    return basket.where(F.col(LENGTH) - F.col(POS) <= days)
+
+
+def unusable_assets(bars: DataFrame, days: int = 252, symbols: Sequence[str] | None = None,
+                    need: int = MIN_DAYS) -> DataFrame:
+    """Assets that ``align_positions`` leaves out: ``(symbol, rows, reason)``."""
+    short = F.col("rows") < need
+    return _newest(bars, days, symbols).groupBy("symbol").agg(
+        F.max(LENGTH).alias("rows"), _usable(need).alias("_ok")
+    ).where(~F.col("_ok")).select(
+        "symbol", "rows", F.when(short, "short").otherwise("price").alias("reason")
+    )
+
+
+def align_positions(bars: DataFrame, days: int = 252, symbols: Sequence[str] | None = None,
+                    need: int = MIN_DAYS) -> DataFrame:
+    """Keep the last ``days`` prices of each asset of the basket (all, if none is
+    named), cut all to the shortest, and pair them by position from the end.
+    ``rn`` counts from 0 on. Assets with fewer than ``need`` prices, or without a
+    positive price in each row, are left out; ``unusable_assets`` reports them."""
+    bars = _newest(bars, days, symbols)
+    usable = bars.groupBy("symbol").agg(_usable(need).alias("_ok")).where("_ok").select("symbol")
+    bars = bars.join(usable, "symbol", "left_semi")
     shortest = bars.agg(F.least(F.min(LENGTH), F.lit(days)).alias("m")).scalar()
     from_end = F.col(LENGTH) - 1 - F.col(POS)
     kept = bars.withColumn("_m", shortest).where(from_end < F.col("_m"))
@@ -132,9 +162,7 @@ def equal_weights(returns: DataFrame) -> DataFrame:
 
 
 def asset_stats(returns: DataFrame) -> DataFrame:
-    """Per asset its yearly mean and its covariance row. Staged, so that Spark
-    knows its size: it is broadcast below the usual threshold and shuffled
-    beyond it."""
+    """Per asset its yearly mean and its covariance row, staged."""
     return stage(covariance_rows(returns).select("asset", "ann_mean", "cov_row"), "asset_stats")
 
 
@@ -145,6 +173,14 @@ def vectors_of(weights: DataFrame) -> DataFrame:
     return packed.selectExpr("portfolio", "_v.asset AS assets", "_v.w AS draw", "1D AS total")
 
 
+def _sized(stats: DataFrame) -> DataFrame:
+    """Covariance rows are broadcast up to ``BROADCAST_BYTES``; beyond that both
+    sides are sorted. Spark's own choice would build on the draws, whose size it
+    takes from a range of ids."""
+    assets = stats.count()
+    return F.broadcast(stats) if 8 * assets * assets <= BROADCAST_BYTES else stats.hint("merge")
+
+
 def vector_moments(vectors: DataFrame, stats: DataFrame, risk_free: float = RISK_FREE) -> DataFrame:
     """Return, volatility and Sharpe ratio per portfolio.
 
@@ -154,7 +190,7 @@ def vector_moments(vectors: DataFrame, stats: DataFrame, risk_free: float = RISK
     """
     rows = vectors.selectExpr(
         "portfolio", "total", "draw", "inline(arrays_zip(assets, draw)) AS (asset, d)"
-    ).join(stats, "asset")
+    ).join(_sized(stats), "asset")
     dot = "aggregate(zip_with(draw, cov_row, (a, b) -> a * b), 0D, (acc, x) -> acc + x)"
     sums = rows.groupBy("portfolio").agg(
         F.expr("sum(d * ann_mean) / max(total)").alias("ret"),

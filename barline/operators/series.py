@@ -37,12 +37,14 @@ def index_series(
     """Add ``pos`` (0-based), ``n`` (series length) and ``prev_c`` / ``next_c``
     for every column ``c`` in ``neighbours``.
 
-    ``order`` must be unique within a key. ``bucket`` cuts a series into pieces
+    ``order`` must be unique within a key. Rows without a key or an order have
+    no place in a series and are left out; ``keyless`` has them. ``bucket`` cuts a series into pieces
     that one task can sort; it must not decrease with ``order``. The default,
     the calendar year, holds at most 366 rows of daily data; pass a finer one
     for intraday rows. Only one row per bucket is scanned across a whole key.
     """
-    bucketed = df.withColumn("_bucket", F.year(order) if bucket is None else bucket)
+    rows = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
+    bucketed = rows.withColumn("_bucket", F.year(order) if bucket is None else bucket)
     summary = [F.count(F.lit(1)).alias("_rows")]
     for c in neighbours:
         summary += [F.min_by(c, order).alias(f"_first_{c}"), F.max_by(c, order).alias(f"_last_{c}")]
@@ -82,6 +84,11 @@ def index_series(
     )
 
 
+def keyless(df: DataFrame, key: str = KEY, order: str = "date") -> DataFrame:
+    """The rows that ``index_series`` leaves out."""
+    return df.where(F.col(key).isNull() | F.col(order).isNull())
+
+
 # Place of a row: its block, and its offset there. The expressions of this
 # module are SQL text, which reads like the formulas and builds quickly.
 BLOCK_OF = f"shiftright({POS}, {BLOCK_BITS})"

@@ -13,7 +13,7 @@ from barline.operators.cleaning import clean, derive
 from barline.operators.indicators import features
 from barline.operators.merge import TTL, snapshot
 from barline.operators.selection import MIN_ROWS
-from barline.operators.series import index_series
+from barline.operators.series import index_series, keyless
 from barline.schemas import INDICATORS
 from barline.session import stage
 from barline.sinks.lake import write_processed
@@ -33,10 +33,12 @@ class ValidationFailed(RuntimeError):
 def processed_bars(raw: DataFrame, before: Observation | None = None,
                    after: Observation | None = None) -> DataFrame:
     """Cleaned bars with derived columns and indicators. The cleaned bars are
-    staged: numbering and indicators each read them more than once."""
+    staged: numbering and indicators each read them more than once. Bars without
+    a symbol or a date stay, without indicators, for the checks to report."""
     base = stage(derive(clean(raw, before, after)), "clean")
     indexed = stage(index_series(base, neighbours=["close"]), "indexed")
-    return features(indexed).select(*base.columns, *INDICATORS)
+    done = features(indexed).select(*base.columns, *INDICATORS)
+    return done.unionByName(keyless(base), allowMissingColumns=True)
 
 
 def run_etl(spark: SparkSession, lake_path: str, output_path: str) -> EtlCounts:

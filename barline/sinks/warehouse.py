@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.operators.merge import upsert_indicators, upsert_predictions, upsert_prices
+from barline.operators.merge import (
+    upsert_indicators, upsert_predictions, upsert_prices, upsert_sentiment,
+)
 from barline.schemas import (
     PIPELINE_RUNS, PREDICTIONS, SENTIMENT, STOCK_PRICES, TECHNICAL_INDICATORS, conform,
 )
@@ -45,6 +47,8 @@ class Warehouse:
         return row[0] or 0
 
     def read(self, name: str) -> DataFrame:
+        if name == "pipeline_runs":
+            return self.runs()
         version = self._version(name)
         if version == 0:
             return self.spark.createDataFrame([], TABLES[name])
@@ -57,9 +61,12 @@ class Warehouse:
         pointer.write.mode("append").parquet(f"{self.path}/{name}/_current")
 
     def _merge(self, name: str, source: DataFrame, merge: Callable, order: Sequence[str]) -> int:
-        """Merge and return the number of source rows, counted in the same job."""
+        """Merge and return the number of source rows, counted in the same job.
+        Rows that do not say when they were made get the time of the merge."""
         seen = Observation()
-        counted = conform_available(source, TABLES[name], order).observe(
+        stamps = {c: F.current_timestamp() for c in ("created_at", "ingested_at")
+                  if c in TABLES[name].names and c not in source.columns}
+        counted = conform_available(source.withColumns(stamps), TABLES[name], order).observe(
             seen, F.count(F.lit(1)).alias("rows")
         )
         self.replace(name, merge(self.read(name), counted, order))
@@ -74,6 +81,9 @@ class Warehouse:
     def upsert_predictions(self, source: DataFrame, order: Sequence[str] = ()) -> int:
         return self._merge("predictions", source, upsert_predictions, order)
 
+    def upsert_sentiment(self, source: DataFrame, order: Sequence[str] = ()) -> int:
+        return self._merge("sentiment", source, upsert_sentiment, order)
+
     def load_processed(self, processed: DataFrame) -> int:
         """Feed the price and the indicator table from one processed table."""
         rows = self.upsert_prices(processed)
@@ -88,7 +98,13 @@ class Warehouse:
         df.write.mode("append").parquet(f"{self.path}/pipeline_runs/log")
 
     def runs(self) -> DataFrame:
-        return self.spark.read.schema(PIPELINE_RUNS).parquet(f"{self.path}/pipeline_runs/log")
+        """The run log; empty before the first run."""
+        try:
+            return self.spark.read.schema(PIPELINE_RUNS).parquet(f"{self.path}/pipeline_runs/log")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], PIPELINE_RUNS)
 
 
 def conform_available(df: DataFrame, schema: T.StructType, extra: Sequence[str] = ()) -> DataFrame:

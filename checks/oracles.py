@@ -436,6 +436,13 @@ ORACLES: dict[str, str] = {
              WHEN rsi_14 IS NOT NULL THEN 'neutral' END AS zone,
         CASE WHEN macd - macd_signal >= 0 THEN 'up' WHEN macd - macd_signal < 0 THEN 'down' END AS side,
         count(*) AS rows FROM ind GROUP BY ALL""",
+    "null_keys_reported": f"""WITH {CLEAN}, p AS (
+        SELECT CASE WHEN symbol <> 'NATION_5' OR day(date) <> 17 THEN symbol END AS symbol,
+               CASE WHEN symbol <> 'NATION_3' OR day(date) <> 13 THEN date END AS date FROM clean)
+        SELECT count(*) AS rows, count(*) FILTER (WHERE symbol IS NULL) AS null_symbols,
+               count(*) FILTER (WHERE date IS NULL) AS null_dates,
+               (SELECT count(*) - count(DISTINCT symbol) FROM p
+                WHERE symbol IS NOT NULL AND date IS NOT NULL) AS returns FROM p""",
     "lookback_sequences": f"""WITH {IX} SELECT a.symbol, a.date, CAST(count(*) AS INTEGER) AS len,
         {r('sum((b.open + b.close) * (b.pos - a.pos + 61))', 2)} AS checksum,
         {r('max(a.close)', 4)} AS label
@@ -481,9 +488,9 @@ ORACLES: dict[str, str] = {
         CASE WHEN f.symbol IS NOT NULL THEN 'F' ELSE 'O' END AS sentiment_label
         FROM bars_f f FULL JOIN bars_o o ON f.symbol = o.symbol AND f.date = o.date""",
     "latest_with_ttl": f"""WITH {TICKS} SELECT upper('price:' || symbol) AS key, timestamp, price,
-        timestamp + INTERVAL 600 SECONDS AS expires_at FROM (
+        timestamp + INTERVAL 60 SECONDS AS expires_at FROM (
           SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY timestamp DESC, event_id DESC) AS k FROM ticks)
-        WHERE k = 1 AND timestamp + INTERVAL 600 SECONDS > TIMESTAMP '2024-01-30 23:50:00'""",
+        WHERE k = 1 AND timestamp + INTERVAL 60 SECONDS > TIMESTAMP '2024-01-30 23:50:00'""",
     "naive_backtest": f"WITH {tested(NAIVE)}, {METRICS} SELECT * FROM metrics",
     "drift_backtest": f"WITH {tested(DRIFT)}, {METRICS} SELECT * FROM metrics",
     "backtest_flags": f"""WITH {tested(DRIFT)}, {METRICS} SELECT symbol, directional_accuracy > 55 AS accuracy_ok,
@@ -523,7 +530,12 @@ ORACLES: dict[str, str] = {
         FROM cov JOIN mean ON symbol = asset_i""",
     "asset_sharpe": f"""WITH {ALIGNED} SELECT symbol, {r('''CASE WHEN stddev_samp(r) * sqrt(252) < 1e-10 THEN 0
         ELSE (avg(r) * 252 - 0.02) / (stddev_samp(r) * sqrt(252)) END''', 6)} AS sharpe FROM ret GROUP BY symbol""",
-    "mc_weights": f"""WITH {weighted(500)} SELECT CAST(portfolio AS INTEGER) AS portfolio, asset, {r('w', 8)} AS w
+    "short_assets_reported": f"""WITH {CLEAN}, c AS (
+        SELECT symbol, count(*) AS n FROM clean WHERE symbol <> 'NATION_7' OR date >= DATE '1998-11-20' GROUP BY symbol),
+        g AS (SELECT *, CASE WHEN n < 60 THEN 'short' WHEN symbol = 'NATION_3' THEN 'price' ELSE 'used' END AS reason FROM c)
+        SELECT symbol, CASE reason WHEN 'used'
+          THEN least(252, (SELECT min(n) FROM g WHERE reason = 'used')) ELSE n END AS rows, reason FROM g""",
+    "mc_weights": f"""WITH {weighted(10000)} SELECT CAST(portfolio AS INTEGER) AS portfolio, asset, {r('w', 8)} AS w
         FROM weights""",
     "equal_weight_sharpe": f"""WITH {ALIGNED}, p AS (
         SELECT rn, sum(r / (SELECT count(DISTINCT symbol) FROM ret)) AS p FROM ret GROUP BY rn)
@@ -533,8 +545,8 @@ ORACLES: dict[str, str] = {
     "best_portfolio": f"""WITH {MC} SELECT CAST(portfolio AS INTEGER) AS portfolio,
         {rounded({'ret': 6, 'vol': 6, 'sharpe': 6})} FROM mc ORDER BY mc.sharpe DESC, mc.portfolio LIMIT 1""",
     "portfolio_record": record(),
-    "portfolio_horizons": f"""SELECT 60 AS days, * FROM ({record(60)})
-        UNION ALL SELECT 126 AS days, * FROM ({record(126)})""",
+    "portfolio_horizons": " UNION ALL ".join(
+        f"SELECT {days} AS days, * FROM ({record(days)})" for days in (60, 126, 252, 504)),
     "frontier": f"""WITH {weighted(500)}, {moments_of('weights', 'mc')}, {FRONTIER}
         SELECT CAST(portfolio AS INTEGER) AS portfolio, ret, vol FROM front""",
     "frontier_csv": f"""WITH {BEST}, {FRONTIER}

@@ -326,6 +326,17 @@ def rsi_zones(spark, sf):
     return f.groupBy("symbol", zone, side).agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query
+def null_keys_reported(spark, sf):
+    """Bars without a symbol or a date get no indicators and are not lost."""
+    bars = lake.cleaned(spark, sf).withColumns({
+        "symbol": F.expr("CASE WHEN symbol <> 'NATION_5' OR day(date) <> 17 THEN symbol END"),
+        "date": F.expr("CASE WHEN symbol <> 'NATION_3' OR day(date) <> 13 THEN date END")})
+    return indicators.add_indicators(bars).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("symbol").isNull()).alias("null_symbols"),
+        F.count_if(F.col("date").isNull()).alias("null_dates"), F.count("return_1d").alias("returns"))
+
+
 @query
 def lookback_sequences(spark, sf):
     """Sequences reduced to a checksum: every value times its place."""
@@ -466,7 +477,7 @@ def upsert_predictions(spark, sf):
 @query
 def latest_with_ttl(spark, sf):
     t = given.ticks(spark, sf).withColumn("user", F.concat_ws(":", F.lit("price"), "symbol"))
-    snap = merge.snapshot(t, F.col("user"), "timestamp", ["price"], 600, ["event_id"])
+    snap = merge.snapshot(t, F.col("user"), "timestamp", ["price"], merge.TTL["price"], ["event_id"])
     return merge.live(snap, F.lit(TICK_AS_OF).cast("timestamp_ntz"))
 
 
@@ -566,6 +577,18 @@ def align_positions(spark, sf):
     return rounded(_aligned(spark, sf).select("symbol", "date", "rn", "close"), {"close": 4})
 
 
+@query
+def short_assets_reported(spark, sf):
+    """A new listing and an asset with a zero price are reported, and the others used."""
+    bars = lake.cleaned(spark, sf).where("symbol <> 'NATION_7' OR date >= DATE '1998-11-20'")
+    zero = F.expr("symbol = 'NATION_3' AND date = max(date) OVER (PARTITION BY symbol)")
+    bars = bars.withColumn("close", F.when(zero, F.lit(0.0)).otherwise(F.col("close")))
+    bars = series.index_series(bars, neighbours=["close"])
+    used = portfolio.align_positions(bars, PORTFOLIO_DAYS).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("rows"), F.lit("used").alias("reason"))
+    return portfolio.unusable_assets(bars, PORTFOLIO_DAYS).unionByName(used)
+
+
 @query
 def ann_mean_cov(spark, sf):
     r = _returns(spark, sf)
@@ -582,7 +605,7 @@ def asset_sharpe(spark, sf):
 
 @query
 def mc_weights(spark, sf):
-    w = portfolio.random_weights(_returns(spark, sf), 500)
+    w = portfolio.random_weights(_returns(spark, sf))
     return w.select("portfolio", "asset", F.round("w", 8).alias("w"))
 
 
@@ -621,7 +644,7 @@ def portfolio_record(spark, sf):
 
 @query
 def portfolio_horizons(spark, sf):
-    return _as_text(portfolio.optimize_horizons(lake.indexed(spark, sf), (60, 126)))
+    return _as_text(portfolio.optimize_horizons(lake.indexed(spark, sf)))
 
 
 @query

@@ -141,3 +141,12 @@ def test_hot_plan_has_no_whole_symbol_sort_of_rows(spark):
             keys = line.split("hashpartitioning(")[1].split("),")[0]
             if keys.count("#") == 1:
                 assert "close" not in line
+
+
+def test_bars_without_a_key_are_kept(spark):
+    df = bars(spark, walk(60))
+    lost = bars(spark, [1.0, 2.0], symbol=None).unionByName(bars(spark, [3.0]).withColumn("date", F.lit(None).cast("date")))
+    got = add_indicators(df.unionByName(lost))
+    assert got.count() == 63
+    assert got.where("symbol IS NULL").count() == 2 and got.where("date IS NULL").count() == 1
+    assert got.where("symbol IS NULL OR date IS NULL").where("atr_14 IS NOT NULL").count() == 0

@@ -257,3 +257,41 @@ def test_forecast_and_backtest(spark):
     assert {m["test_days"] for m in metrics} == {(200 - 34) - int((200 - 34) * 0.8), (180 - 34) - int((180 - 34) * 0.8)}
     # Better than a constant forecast of the train mean.
     assert all(m["mae"] < 10 for m in metrics)
+
+
+def test_incomplete_rows_leave_no_gap_in_the_matrix(spark):
+    whole = indexed(spark, walk(80))
+    holed = whole.withColumn("high", F.when(F.col("pos") == 79, F.lit(float("nan"))).otherwise(F.col("high")))
+    holed = holed.withColumn("volume", F.when(F.col("pos") != 40, F.col("volume")))
+    m = forecast.feature_matrix(holed).toPandas().sort_values("pos")
+    assert list(m["pos"]) == list(range(len(m))) and (m["n"] == len(m)).all()
+    assert len(m) == 45 and not m[forecast.LIVE_FEATURES].isna().any().any()
+    assert list(m["next_close"][:-1]) == list(m["close"][1:])
+
+
+def test_a_new_listing_or_a_zero_price_empties_no_portfolio(spark):
+    rows = indexed(spark, walk(120)).unionByName(indexed(spark, walk(120, seed=8), symbol="B"))
+    rows = rows.unionByName(indexed(spark, walk(1), symbol="NEW")).unionByName(
+        indexed(spark, [*walk(119), 0.0], symbol="ZERO"))
+    left = portfolio.unusable_assets(rows, 60).collect()
+    assert {tuple(r) for r in left} == {("NEW", 1, "short"), ("ZERO", 120, "price")}
+    returns = portfolio.aligned_returns(portfolio.align_positions(rows, 60))
+    best = portfolio.optimize(returns, 50).first()
+    assert best["symbols"] == ["A", "B"] and best["days_used"] == 60
+    only = portfolio.align_positions(rows, 60, symbols=["B"])
+    assert [r[0] for r in only.select("symbol").distinct().collect()] == ["B"]
+
+
+def test_large_matrices_are_not_broadcast(spark, monkeypatch):
+    rows = indexed(spark, walk(70)).unionByName(indexed(spark, walk(70, seed=8), symbol="B"))
+    returns = portfolio.aligned_returns(portfolio.align_positions(rows, 60))
+    stats, vectors = portfolio.asset_stats(returns), portfolio.random_vectors(returns, 20)
+    near = by_portfolio(portfolio.vector_moments(vectors, stats))
+    monkeypatch.setattr(portfolio, "BROADCAST_BYTES", 0)
+    far = portfolio.vector_moments(vectors, stats)
+    assert "BuildLeft" not in far._jdf.queryExecution().toString()
+    assert np.allclose(near, by_portfolio(far))
+
+
+def by_portfolio(moments):
+    return moments.toPandas().sort_values("portfolio").to_numpy(float)

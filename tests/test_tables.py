@@ -74,7 +74,27 @@ def test_warehouse_versions_and_log(spark, tmp_path):
     assert got == {("A", 1.0, 2.0), ("A", 2.0, 3.0), ("Z", 7.0, 7.0)}
     w.log_run("batch", "r1", "ok", 3)
     w.log_run("batch", "r2", "failed", 0, error="x")
-    assert w.runs().count() == 2
+    assert w.runs().count() == 2 and w.read("pipeline_runs").count() == 2
+
+
+def test_warehouse_sentiment_and_partial_sources(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path))
+    assert w.read("pipeline_runs").count() == 0
+    rows = spark.createDataFrame([("A", D, 0.5, 0.6, 0.1, 3)],
+                                 "symbol string, date date, sentiment_compound double, "
+                                 "sentiment_positive double, sentiment_negative double, article_count int")
+    assert w.upsert_sentiment(rows) == 1
+    made = w.read("sentiment").first()["created_at"]
+    assert made is not None
+    assert w.upsert_sentiment(rows.select("symbol", "date", F.lit(0.25).alias("sentiment_compound"))) == 1
+    got = w.read("sentiment").first()
+    assert (float(got["sentiment_compound"]), got["article_count"], got["created_at"]) == (0.25, 3, made)
+
+
+def test_price_upsert_keeps_what_the_source_lacks(spark):
+    target = spark.createDataFrame([("A", D, 1.0, 1.0, 4.0, 1)], PRICES)
+    source = spark.createDataFrame([("A", D, 9.0, 9)], "symbol string, date date, close double, volume long")
+    assert tuple(merge.upsert_prices(target, source).first())[2:] == (1.0, 9.0, 4.0, 9)
 
 
 def test_lake_rewrite_replaces_one_date(spark, tmp_path):
