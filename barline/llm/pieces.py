@@ -1,19 +1,23 @@
-"""SentencePiece encoding by a max-plus scan, and decoding.
-
-A text's encoding is the segmentation into vocabulary pieces with the greatest sum
-of scores (characters without a piece fall back to bytes). No piece crosses into a
-new word mark, so words are segmented by themselves, each different word once per
-batch, by a dynamic programme that runs over all words at once.
-
-Giant documents are cut into chunks of characters. A state at a cut is how far the
-piece that crosses it reaches into the next chunk. Each chunk yields the transfer
-matrix from states at its start to states at its end; matrices combine in max-plus
-algebra, which is associative; the scan gives every chunk its two states, and each
-chunk is then traced back by itself.
+"""SentencePiece encoding by the model's merge order, and decoding.
+
+The model merges the neighbours whose joined piece has the greatest score, the
+leftmost of equal ones, until no two neighbours make a piece; characters without a
+piece become bytes. No merge joins two characters that stand side by side in no
+piece. Between such two a text can be cut without any effect on its ids: before
+word marks always, and often within long runs without blanks.
+
+Each different word is merged once per batch, many words in step, one merge of each
+at a time. What stays long after cutting is merged with a heap. Giant documents are
+cut into chunks of such parts, which are encoded by themselves and joined in order.
+
+``forward``, ``encode_unit`` and ``combine`` restate the segmentation of greatest total
+score, which bounds that of the ids; the ids are not taken from them.
 """
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import re
 
 import numpy as np
@@ -27,17 +31,18 @@ from barline.session import stage
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters from which a document is cut, and of a chunk.
 GIANT, CHUNK = 65_536, 16_384
-#: Longer words take the plain path.
+#: Longer words are cut where that is safe, and else merged with a heap.
 WORD = 40
+#: Words that are merged in step.
+STEP = 16_384
 MARK = "▁"
 NONE = -np.inf
 _UNIT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-_BASE = np.uint64(0x100000001B3)
-_MAYBE_BITS = 22
+_SLOT_BITS = 20
 
 
 class Vocabulary:
-    """Pieces with scores, byte pieces, and a table of hashes for the vectorised path."""
+    """Pieces with scores, byte pieces, and the pairs of symbols that merge into a piece."""
 
     def __init__(self, pieces: list[str], scores: list[float], kinds: list[str]):
         self.pieces, self.kinds = pieces, kinds
@@ -50,28 +55,52 @@ class Vocabulary:
             raise ValueError("a piece crosses the start of a word")
         # Below any real score, so that bytes are used only where no piece covers.
         self.fallback = float(self.scores.min(initial=0.0)) - 10.0
-        hashes = np.array([self._hash(p) for p in self.ids], np.uint64)
-        order = np.argsort(hashes)
-        self._keys, self._of = hashes[order], np.array(list(self.ids.values()), np.int32)[order]
-        self._maybe = np.zeros(1 << _MAYBE_BITS, bool)
-        self._maybe[(mix(hashes) >> np.uint64(64 - _MAYBE_BITS)).astype(np.int64)] = True
-
-    @staticmethod
-    def _hash(piece: str) -> int:
-        h = 0
-        for c in piece:
-            h = (h * int(_BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
-        return h
-
-    def lookup(self, hashes: np.ndarray) -> np.ndarray:
-        """Piece of each hash, or -1."""
-        out = np.full(len(hashes), -1, np.int32)
-        may = np.flatnonzero(self._maybe[(mix(hashes) >> np.uint64(64 - _MAYBE_BITS)).astype(np.int64)])
-        at = np.minimum(np.searchsorted(self._keys, hashes[may]), len(self._keys) - 1)
-        hit = self._keys[at] == hashes[may]
-        out[may[hit]] = self._of[at[hit]]
+        # Characters that only occur within pieces are symbols too, numbered after the pieces.
+        inner = sorted({c for p in self.ids for c in p} - self.ids.keys())
+        symbols = self.ids | {c: len(pieces) + i for i, c in enumerate(inner)}
+        self.symbol = np.full(0x110000, -1, np.int32)
+        for s, i in symbols.items():
+            if len(s) == 1:
+                self.symbol[ord(s)] = i
+        #: Order of the pieces' scores; the last entry is for -1, no piece.
+        self.rank = np.append(np.unique(self.scores, return_inverse=True)[1], -1).astype(np.int32)
+        self.pairs = {symbols[p[:k]] << 32 | symbols[p[k:]]: i for p, i in self.ids.items() for k in range(1, len(p))
+                      if p[:k] in symbols and p[k:] in symbols}
+        self.together = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
+        self._slots = _SLOT_BITS + max(0, len(self.pairs).bit_length() - _SLOT_BITS + 1)
+        self._keys, self._of = np.full(1 << self._slots, -1, np.int64), np.full(1 << self._slots, -1, np.int32)
+        keys, of = np.array(list(self.pairs), np.int64), np.array(list(self.pairs.values()), np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free = self._keys[slot] < 0
+            self._keys[slot[free]] = keys[free]
+            put = self._keys[slot] == keys
+            self._of[slot[put]] = of[put]
+            keys, of, slot = keys[~put], of[~put], (slot[~put] + 1) & ((1 << self._slots) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix(keys) >> np.uint64(64 - self._slots)).astype(np.int64)
+
+    def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that each two symbols make, or -1."""
+        out = np.full(len(left), -1, np.int32)
+        at = np.flatnonzero((left >= 0) & (right >= 0))
+        keys = left[at].astype(np.int64) << 32 | right[at]
+        slot = self._slot(keys)
+        while len(at):
+            found = self._keys[slot]
+            hit = found == keys
+            out[at[hit]] = self._of[slot[hit]]
+            on = ~hit & (found >= 0)
+            at, keys, slot = at[on], keys[on], (slot[on] + 1) & ((1 << self._slots) - 1)
         return out
 
+    def safe_cut(self, text: str, at: int) -> int:
+        """The first position from ``at`` on, or the end, that no piece crosses."""
+        while 0 < at < len(text) and text[at - 1:at + 1] in self.together:
+            at += 1
+        return at
+
     def byte_ids(self, char: str) -> list[int]:
         return [self.bytes.get(b, self.unknown) for b in char.encode("utf-8", "replace")]
 
@@ -81,8 +110,10 @@ def load(path: str = MODEL) -> Vocabulary:
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     n = model.get_piece_size()
+    if any(model.is_unused(i) for i in range(n)):
+        raise ValueError("merges through unused pieces are not supported")
     kinds = ["unknown" if model.is_unknown(i) else "byte" if model.is_byte(i) else
-             "control" if model.is_control(i) or model.is_unused(i) else "piece" for i in range(n)]
+             "control" if model.is_control(i) else "piece" for i in range(n)]
     return Vocabulary([model.id_to_piece(i) for i in range(n)], [model.get_score(i) for i in range(n)], kinds)
 
 
@@ -131,55 +162,104 @@ def encode_unit(v: Vocabulary, unit: str) -> tuple[list[int], float]:
     return trace(v, unit, 0, back, len(unit)), float(best[len(unit)])
 
 
-def encode_units(v: Vocabulary, units: list[str]) -> list[tuple[list[int], float]]:
-    """The best segmentation of each word and its score, all words advancing together by position.
+def merge_words(v: Vocabulary, words: list[str]) -> list[bytes]:
+    """The int32 ids of short words; all words advance together, one merge of each at a time."""
+    n, lengths = len(words), np.array([len(w) for w in words])
+    wide = int(lengths.max(initial=0)) + 1  # the last column ends every row
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    alive = np.arange(wide) < lengths[:, None]
+    symbol = np.full((n, wide), -1, np.int32)
+    symbol[alive] = v.symbol[codes]
+    code = np.zeros((n, wide), np.uint32)
+    code[alive] = codes
+    after = np.tile(np.minimum(np.arange(wide) + 1, wide - 1), (n, 1))
+    before = np.tile(np.arange(wide) - 1, (n, 1))
+    piece = np.full((n, wide), -1, np.int32)
+    piece[:, :-1] = v.merged(symbol[:, :-1].ravel(), symbol[:, 1:].ravel()).reshape(n, -1)
+    rank = v.rank[piece]
+    rows = np.arange(n)
+    while True:
+        part = rank[rows]
+        at = part.argmax(axis=1)  # the leftmost of equal ones
+        on = part[np.arange(len(rows)), at] >= 0
+        rows, at = rows[on], at[on]
+        if not len(rows):
+            break
+        gone, made = after[rows, at], piece[rows, at]
+        then = after[rows, gone]
+        symbol[rows, at], alive[rows, gone], rank[rows, gone] = made, False, -1
+        after[rows, at], before[rows, then] = then, at
+        piece[rows, at] = v.merged(made, symbol[rows, then])
+        rank[rows, at] = v.rank[piece[rows, at]]
+        has = before[rows, at] >= 0
+        r, a = rows[has], before[rows, at][has]
+        piece[r, a] = v.merged(symbol[r, a], made[has])
+        rank[r, a] = v.rank[piece[r, a]]
+    flat, ends = symbol[alive], np.cumsum(alive.sum(axis=1))
+    raw, starts = flat.tobytes(), ends - alive.sum(axis=1)
+    out = [raw[4 * a:4 * b] for a, b in zip(starts.tolist(), ends.tolist())]
+    bare = alive & ((symbol < 0) | (symbol >= len(v.pieces)))
+    for i in np.flatnonzero(bare.any(axis=1)).tolist():
+        out[i] = _with_bytes(v, symbol[i][alive[i]].tolist(), [chr(c) for c in code[i][alive[i]].tolist()])
+    return out
 
-    Of equal segmentations the one with the longest last piece is taken, here and in ``forward``.
-    """
-    out: list[tuple[list[int], float]] = [([], 0.0)] * len(units)
-    short = [i for i, u in enumerate(units) if len(u) <= WORD]
-    for i in set(range(len(units))) - set(short):
-        out[i] = encode_unit(v, units[i])
-    short.sort(key=lambda i: -len(units[i]))
-    if not short:
-        return out
-    lengths = np.array([len(units[i]) for i in short])
-    n, top = len(short), int(lengths[0])
-    flat = np.frombuffer("".join(units[i] for i in short).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    codes = np.zeros((top, n), np.uint64)
-    place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    codes[place, np.repeat(np.arange(n), lengths)] = flat + np.uint64(1)
-    prefix, powers = np.zeros((top + 1, n), np.uint64), [np.uint64(1)]
-    best, back = np.full((top + 1, n), NONE), np.zeros((top + 1, n), np.int8)
-    took = np.full((top + 1, n), -1, np.int32)
-    best[0] = 0.0
-    with np.errstate(over="ignore"):
-        for j in range(1, top + 1):
-            prefix[j] = prefix[j - 1] * _BASE + codes[j - 1]
-            powers.append(powers[-1] * _BASE)
-        for j in range(1, top + 1):
-            live = int(np.searchsorted(-lengths, -j, side="right"))  # words of at least j characters come first
-            for size in range(1, min(v.longest, j) + 1):
-                i = j - size
-                piece = v.lookup(prefix[j, :live] - prefix[i, :live] * powers[size])
-                there = np.flatnonzero(piece >= 0)
-                s = best[i, there] + v.scores[piece[there]]
-                if size == 1:
-                    miss = np.flatnonzero(piece < 0)
-                    best[j, miss], back[j, miss] = best[i, miss] + v.fallback, 1
-                better = s >= best[j, there]
-                at = there[better]
-                best[j, at], back[j, at], took[j, at] = s[better], size, piece[at]
-    for row, i in enumerate(short):
-        j, ids, unit = int(lengths[row]), [], units[i]
-        while j:
-            size, piece = int(back[j, row]), int(took[j, row])
-            ids.append([piece] if piece >= 0 else v.byte_ids(unit[j - size:j]))
-            j -= size
-        out[i] = [x for part in reversed(ids) for x in part], float(best[lengths[row], row])
+
+def _with_bytes(v: Vocabulary, symbols: list[int], chars: list[str]) -> bytes:
+    """The ids of symbols; those that are no piece are single characters."""
+    ids = [x for s, c in zip(symbols, chars) for x in ([s] if 0 <= s < len(v.pieces) else v.byte_ids(c))]
+    return np.array(ids, np.int32).tobytes()
+
+
+def merge_long(v: Vocabulary, text: str) -> bytes:
+    """The int32 ids of a text of any length, by a heap of the pairs that can merge."""
+    first = v.symbol[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
+    piece = v.merged(first[:-1], first[1:])
+    at = np.flatnonzero(piece >= 0)
+    symbol, rank, pairs = [*first.tolist(), -1], v.rank.tolist(), v.pairs
+    heap = list(zip((-v.rank[piece[at]]).tolist(), at.tolist(), first[at].tolist(), first[at + 1].tolist(), piece[at].tolist()))
+    heapq.heapify(heap)
+    n = len(first)
+    after, before, alive = list(range(1, n + 2)), list(range(-1, n)), [True] * n
+    while heap:
+        _, i, left, right, made = heapq.heappop(heap)
+        j = after[i]
+        if not alive[i] or symbol[i] != left or symbol[j] != right:
+            continue  # one of the two has merged otherwise
+        symbol[i], alive[j] = made, False
+        k, h = after[j], before[i]
+        after[i] = k
+        if k < n:
+            before[k] = i
+            if symbol[k] >= 0 and (new := pairs.get(made << 32 | symbol[k])) is not None:
+                heapq.heappush(heap, (-rank[new], i, made, symbol[k], new))
+        if h >= 0 and symbol[h] >= 0 and (new := pairs.get(symbol[h] << 32 | made)) is not None:
+            heapq.heappush(heap, (-rank[new], h, symbol[h], made, new))
+    left = [i for i in range(n) if alive[i]]
+    return _with_bytes(v, [symbol[i] for i in left], [text[i] for i in left])
+
+
+def parts(v: Vocabulary, text: str, size: int) -> list[str]:
+    """The text cut at the first safe place after every ``size`` characters."""
+    out, start = [], 0
+    while start < len(text):
+        end = v.safe_cut(text, min(start + size, len(text)))
+        out.append(text[start:end])
+        start = end
     return out
 
 
+def encode_units(v: Vocabulary, units: list[str]) -> list[bytes]:
+    """The model's int32 ids of each unit."""
+    cut = [[u] if len(u) <= WORD else parts(v, u, 1) for u in units]
+    flat = list({p for ps in cut for p in ps})
+    flat.sort(key=len)
+    short = [p for p in flat if len(p) <= WORD]
+    known = {p: merge_long(v, p) for p in flat[len(short):]}
+    for a in range(0, len(short), STEP):
+        known.update(zip(short[a:a + STEP], merge_words(v, short[a:a + STEP])))
+    return [known[ps[0]] if len(ps) == 1 else b"".join([known[p] for p in ps]) for ps in cut]
+
+
 class Encoder:
     """Encodes texts; words met before in the task are remembered, up to a bound."""
 
@@ -190,13 +270,17 @@ class Encoder:
         new = [u for u in units if u not in self.known]
         if len(self.known) + len(new) > self.remember:
             self.known = {u: self.known[u] for u in units if u in self.known}
-        self.known.update((u, (np.array(ids, np.int32), s)) for u, (ids, s) in zip(new, encode_units(self.v, new)))
+        self.known.update(zip(new, encode_units(self.v, new)))
 
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        split = [_UNIT.findall(marked(t)) if t else [] for t in texts]
+    def marked(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of texts whose blanks are marks."""
+        split = [_UNIT.findall(t) for t in texts]
         self.learn({u for units in split for u in units})
-        known, none = self.known, [np.zeros(0, np.int32)]
-        return [np.concatenate([known[u][0] for u in units] or none) for units in split]
+        known = self.known
+        return [np.frombuffer(b"".join([known[u] for u in units]), np.int32) for units in split]
+
+    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        return self.marked([marked(t or "") for t in texts])
 
 
 def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -204,70 +288,6 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
-def starts(text: str, first: int, last: int) -> list[int]:
-    """Positions after ``first`` and before ``last`` where a word starts: no piece crosses them."""
-    return [m.start() for m in _UNIT.finditer(text, max(0, first - 1), last) if m.start() > first and text[m.start()] == MARK
-            and text[m.start() - 1] != MARK]
-
-
-def transfer(enc: Encoder, text: str, size: int) -> np.ndarray:
-    """Best score from each state at the chunk's start to each at its end.
-
-    ``text`` is the chunk's ``size`` characters and what a piece may reach of the next one.
-    """
-    v, states = enc.v, enc.v.longest
-    out = np.full((states, states), NONE)
-    cuts = starts(text, 0, size)
-    if not cuts:
-        for a in range(min(states, size + 1)):
-            best, _ = forward(v, text, a, size)
-            ends = best[size - a:size - a + states]
-            out[a, :len(ends)] = ends
-        return out
-    head = np.full(states, NONE)
-    for a in range(min(states, cuts[0] + 1)):
-        head[a] = forward(v, text[:cuts[0]], a, cuts[0])[0][cuts[0] - a]
-    units = _UNIT.findall(text[cuts[0]:cuts[-1]])
-    enc.learn(set(units))
-    middle = sum(enc.known[u][1] for u in units)
-    best, _ = forward(v, text, cuts[-1], size)
-    tail = np.full(states, NONE)
-    ends = best[size - cuts[-1]:][:states]
-    tail[:len(ends)] = ends
-    return head[:, None] + middle + tail[None, :]
-
-
-def trace_chunk(enc: Encoder, text: str, size: int, a: int, b: int) -> np.ndarray:
-    """Pieces that begin in the chunk, from state ``a`` at its start to ``b`` at its end."""
-    v, cuts = enc.v, starts(text, 0, size)
-    if not cuts:
-        _, back = forward(v, text, a, size)
-        return np.array(trace(v, text, a, back, size + b - a), np.int32)
-    _, back = forward(v, text[:cuts[0]], a, cuts[0])
-    head = trace(v, text[:cuts[0]], a, back, cuts[0] - a)
-    units = _UNIT.findall(text[cuts[0]:cuts[-1]])
-    enc.learn(set(units))
-    _, back = forward(v, text, cuts[-1], size)
-    tail = trace(v, text, cuts[-1], back, size + b - cuts[-1])
-    return np.concatenate([np.array(head, np.int32), *[enc.known[u][0] for u in units], np.array(tail, np.int32)])
-
-
-def scan(matrices: list[np.ndarray]) -> list[tuple[int, int]]:
-    """The states at both ends of every chunk on the best path from state 0 to state 0."""
-    n = len(matrices)
-    ahead = [None] * (n + 1)  # best score from each state before chunk k to the end
-    ahead[n] = np.full((matrices[0].shape[1], 1), NONE)
-    ahead[n][0] = 0.0
-    for k in range(n - 1, -1, -1):
-        ahead[k] = combine(matrices[k], ahead[k + 1])
-    out, a = [], 0
-    for k in range(n):
-        b = int(np.argmax(matrices[k][a] + ahead[k + 1][:, 0]))
-        out.append((a, b))
-        a = b
-    return out
-
-
 def _ids_column(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
     flat = np.concatenate([*rows, np.zeros(0, np.int32)])
@@ -276,89 +296,75 @@ def _ids_column(rows: list[np.ndarray]) -> pa.Array:
 
 def _encode_batches(vocabulary):
     def run(batches):
-        enc = Encoder(vocabulary.value)
+        enc, table = Encoder(vocabulary.value), piece_bytes(vocabulary.value)
         for batch in batches:
             for part in slices(batch, "text", 8_000_000):
-                ids = _ids_column(enc(part.column("text").to_pylist()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), ids], ["doc_id", "ids"])
+                ids = enc(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _ids_column(ids), _digests(table, ids)],
+                                                 ["doc_id", "ids", "text_sha256"])
 
     return run
 
 
-def _transfer_batches(vocabulary):
+def _cut_batches(vocabulary, chunk):
     def run(batches):
-        enc = Encoder(vocabulary.value)
         for batch in batches:
-            got = [transfer(enc, t, n).tobytes() for t, n in zip(batch.column("text").to_pylist(), batch.column("size").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("chunk"), pa.array(got, pa.binary())], ["key", "chunk", "matrix"])
+            for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
+                cut = parts(vocabulary.value, marked(text), chunk)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(cut), pa.int64()), pa.array(range(len(cut)), pa.int32()), pa.array(cut, pa.string())],
+                    ["key", "chunk", "text"])
 
     return run
 
 
-def _scan_batches(states):
+def _chunk_batches(vocabulary):
     def run(batches):
+        enc = Encoder(vocabulary.value)
         for batch in batches:
-            keys, chunks, enters, leaves = [], [], [], []
-            for key, rows in zip(batch.column("key").to_pylist(), batch.column("rows").to_pylist()):
-                found = scan([np.frombuffer(r["matrix"]).reshape(states, states) for r in rows])
-                keys += [key] * len(rows)
-                chunks += [r["chunk"] for r in rows]
-                enters += [a for a, _ in found]
-                leaves += [b for _, b in found]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(chunks, pa.int32()), pa.array(enters, pa.int32()), pa.array(leaves, pa.int32())],
-                ["key", "chunk", "enter", "leave"])
+            for part in slices(batch, "text", 8_000_000):
+                ids = _ids_column(enc.marked(part.column("text").to_pylist()))
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("chunk"), ids], ["key", "chunk", "ids"])
 
     return run
 
 
-def _trace_batches(vocabulary):
+def _digest_batches(vocabulary):
     def run(batches):
-        enc = Encoder(vocabulary.value)
+        table = piece_bytes(vocabulary.value)
         for batch in batches:
-            cols = (batch.column(c).to_pylist() for c in ("text", "size", "enter", "leave"))
-            ids = _ids_column([trace_chunk(enc, *row) for row in zip(*cols)])
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("chunk"), ids], ["key", "chunk", "ids"])
+            for row in range(batch.num_rows):  # each is giant
+                one = batch.slice(row, 1)
+                ids = one.column("ids").flatten().to_numpy()
+                yield pa.RecordBatch.from_arrays([*one.columns, _digests(table, [ids])], ["key", "ids", "text_sha256"])
 
     return run
 
 
 def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, ids and n_tokens of each row's whole text.
+    """doc_id, ids, text_sha256 and n_tokens of each row's whole text.
 
-    A null or empty text has no ids. Repeated rows and null ids stay; extra columns are
-    ignored. ``giant`` and ``chunk`` change how the work is cut, never the total score; where
-    two segmentations score the same, a cut may decide between them.
+    The ids are those of the model's own encoder. ``text_sha256`` is the digest of the text
+    that they decode to. A null or empty text has no ids. Repeated rows and null ids stay;
+    extra columns are ignored. ``giant`` and ``chunk`` change how the work is cut, never the ids.
     """
     v = load(model)
-    if chunk < v.longest:
-        raise ValueError("a chunk must be longer than the longest piece")
     vocabulary = docs.sparkSession.sparkContext.broadcast(v)  # the model's own size
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     long = F.coalesce(F.length("text") > giant, F.lit(False))
-    plain = rows.where(~long).mapInArrow(_encode_batches(vocabulary), f"doc_id {id_type}, ids array<int>")
+    plain = rows.where(~long).mapInArrow(_encode_batches(vocabulary), f"doc_id {id_type}, ids array<int>, text_sha256 string")
 
     # Equal giant texts are encoded once.
     big = rows.where(long).withColumn("key", F.xxhash64("text", F.length("text")))
-    whole = F.concat(F.lit(MARK), F.translate("text", " ", MARK))
-    texts = big.dropDuplicates(["key"]).select("key", whole.alias("text"))
-    cut = texts.select("key", "text", F.explode(F.sequence(
-        F.lit(0), F.floor((F.length("text") - 1) / chunk).cast("int"))).alias("chunk"))
-    at = F.col("chunk") * chunk
-    cut = cut.select("key", "chunk", F.least(F.lit(chunk), F.length("text") - at).alias("size"),
-                     F.substring(F.col("text"), at + 1, F.lit(chunk + v.longest - 1)).alias("text"))
+    cut = big.dropDuplicates(["key"]).select("key", "text").mapInArrow(
+        _cut_batches(vocabulary, chunk), "key long, chunk int, text string")
     cut = stage(cut.repartition("key", "chunk"), "chunks")
-    matrices = cut.mapInArrow(_transfer_batches(vocabulary), "key long, chunk int, matrix binary")
-    in_order = matrices.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("chunk", "matrix"))).alias("rows"))
-    states = in_order.mapInArrow(_scan_batches(v.longest), "key long, chunk int, enter int, leave int")
-    traced = cut.join(states, ["key", "chunk"]).select("key", "chunk", "text", "size", "enter", "leave").mapInArrow(
-        _trace_batches(vocabulary), "key long, chunk int, ids array<int>")
-    joined = traced.groupBy("key").agg(F.flatten(F.transform(
-        F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda r: r["ids"])).alias("ids"))
-    giants = big.select("doc_id", "key").join(joined, "key").select("doc_id", "ids")
-    return plain.unionByName(giants).select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"))
+    joined = cut.mapInArrow(_chunk_batches(vocabulary), "key long, chunk int, ids array<int>").groupBy("key").agg(
+        F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda r: r["ids"])).alias("ids"))
+    joined = joined.mapInArrow(_digest_batches(vocabulary), "key long, ids array<int>, text_sha256 string")
+    giants = big.select("doc_id", "key").join(joined, "key").select("doc_id", "ids", "text_sha256")
+    return plain.unionByName(giants).select("doc_id", "ids", "text_sha256", F.size("ids").cast("long").alias("n_tokens"))
 
 
 def piece_bytes(v: Vocabulary) -> list[bytes]:
@@ -368,21 +374,31 @@ def piece_bytes(v: Vocabulary) -> list[bytes]:
             for i, (p, k) in enumerate(zip(v.pieces, v.kinds))]
 
 
+def raw_text(table: list[bytes], ids: list[int]) -> bytes:
+    return b"".join([table[i] for i in ids]).removeprefix(b" ")
+
+
+def _digests(table: list[bytes], rows: list[np.ndarray]) -> pa.Array:
+    return pa.array([hashlib.sha256(raw_text(table, ids.tolist())).hexdigest() for ids in rows], pa.string())
+
+
 def _decode_batches(vocabulary):
     def run(batches):
         table = piece_bytes(vocabulary.value)
         for batch in batches:
             out = []
             for ids in batch.column("ids").to_pylist():
-                raw = b"".join([table[i] for i in ids]) if ids else b""
-                out.append(raw.removeprefix(b" ").decode("utf-8", "replace"))
+                out.append(raw_text(table, ids or []).decode("utf-8", "replace"))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.string())], ["doc_id", "text"])
 
     return run
 
 
 def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
-    """doc_id and text of each row of ids: the exact text that was encoded; null ids give the empty text."""
+    """doc_id and text of each row of ids; null ids give the empty text.
+
+    It is the exact text that was encoded, save that a word mark in it comes back as a blank.
+    """
     vocabulary = encoded.sparkSession.sparkContext.broadcast(load(model))
     rows = encoded.select("doc_id", F.col("ids").cast("array<int>").alias("ids"))
     id_type = rows.schema["doc_id"].dataType.simpleString()

@@ -242,6 +242,23 @@ def test_pieces_are_the_best_and_cuts_do_not_matter(spark):
         assert all(back[i] == (t or "") for i, t in enumerate(texts))
 
 
+def test_pieces_are_the_models_own(spark, sf):
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    rng = random.Random(5)
+    odd = ["a", "aa", "the", "ing", " ", "  ", "▁", "é", "漢", "\n", "\U0001f600", "ا", "==", "0", "\x00"]
+    texts = ["the and der with", "x" * 5_000, " " * 999 + "a", "漢字" * 400, "ab" * 3_000]
+    texts += ["".join(rng.choices(odd, k=rng.choice([3, 30, 300]))) for _ in range(150)]
+    texts += [r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("text").collect()]
+    table = docs(spark, texts)
+    for giant, chunk in ((pieces.GIANT, pieces.CHUNK), (200, 37)):
+        got = {r.doc_id: r for r in pieces.encode(table, giant=giant, chunk=chunk).collect()}
+        for i, t in enumerate(texts):
+            assert got[i].ids == model.encode(t or "") and got[i].n_tokens == len(got[i].ids)
+            assert got[i].text_sha256 == hashlib.sha256((t or "").replace("▁", " ").encode()).hexdigest()
+
+
 def test_transfer_matrices_are_associative():
     rng = np.random.default_rng(0)
     a, b, c = (rng.integers(-9, 0, (4, 4)).astype(float) for _ in range(3))
