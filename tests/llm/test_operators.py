@@ -78,6 +78,56 @@ def test_model_is_a_distribution(spark):
     assert np.abs(total - 1).max() < 1e-4
 
 
+def test_words_in_a_senseless_order_score_worse(spark):
+    rng = random.Random(8)
+    lines = [" ".join(f"{w}{rng.randrange(30)}" for w in ("one", "two", "three", "four", "five")) for _ in range(40)]
+    texts = [". ".join(rng.choices(lines, k=30)) for _ in range(60)]
+    mixed = texts[55].split()
+    rng.shuffle(mixed)
+    table = docs(spark, [*texts, " ".join(mixed), texts[0], None, ""])
+    labels = spark.createDataFrame([(i, 1) for i in range(50)], "doc_id long, quality int")
+    got = {r.doc_id: r for r in ngram_lm.classify(table, labels).collect()}
+    assert got[60].perplexity > 1.5 * max(got[i].perplexity for i in range(60)) and not got[60].kept
+    assert got[61].perplexity == got[0].perplexity and got[62].perplexity is got[63].perplexity is None
+
+
+def test_word_model_equals_a_plain_restatement_without_the_text(spark):
+    """Scoring a trusted text takes exactly its own copies out of the counts, at every order."""
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices("a b c dd ee ff".split(), k=rng.randint(1, 25))) for _ in range(12)]
+    texts += [texts[3], "a b zz a b zz", "a"]
+    labels = spark.createDataFrame([(i, 1) for i in range(13)], "doc_id long, quality int")
+    table = docs(spark, texts)
+    got = {r.doc_id: r.perplexity for r in ngram_lm.score(table, labels).collect()}
+    log = ngram_lm.train(ngram_lm.trusted(table, labels)).log()
+    _, d, _ = ngram_lm.word_counts(spark.createDataFrame([(t, texts[:13].count(t)) for t in sorted(set(texts[:13]))], "text string, copies long"))
+    def words(t):
+        return re.findall(r"\s*\S+", t)
+    for i, text in enumerate(texts):
+        triples = [g for t in texts[:13] if t != text for w in [["<", "<", *words(t)]] for g in zip(w, w[1:], w[2:])]
+        c = {3: {g: triples.count(g) for g in triples}}
+        for n in (2, 1):
+            c[n] = {}
+            for g in c[n + 1]:
+                c[n][g[1:]] = c[n].get(g[1:], 0) + 1
+        def p(g, base):
+            if not g:
+                return base
+            n, follow = len(g), [k for h, k in c[len(g)].items() if h[:-1] == g[:-1]]
+            if not follow:
+                return p(g[1:], base)
+            cut = lambda k: d[n - 1][min(k, 3) - 1] if k else 0.0
+            k = c[n].get(g, 0)
+            return (k - cut(k) + sum(map(cut, follow)) * p(g[1:], base)) / sum(follow)
+        w, total, at = ["<", "<", *words(text)], 0.0, 0
+        keys, _ = ngram_lm.grams(pa.array([text], pa.large_string()))
+        for g in zip(w, w[1:], w[2:]):
+            n = len(g[2].encode())
+            total += np.log(p(g, float(np.exp(log[keys[at:at + n]].astype(np.float64).sum()))))
+            at += n
+        assert got[i] == pytest.approx(np.exp(-total / at), rel=1e-5)
+
+
 def test_forest_recall_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(0)
     x = rng.standard_normal((600, 16)).astype(np.float32)
