@@ -78,6 +78,16 @@ def test_model_is_a_distribution(spark):
     assert np.abs(total - 1).max() < 1e-4
 
 
+def test_threshold_is_the_quantile_itself(spark):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices(["alpha", "beta", "gamma", "delta", "and", "of"], k=rng.randint(5, 60))) for _ in range(200)]
+    labels = spark.createDataFrame([(i, 1) for i in range(200)], "doc_id long, quality int")
+    got = ngram_lm.classify(docs(spark, texts), labels).toPandas()
+    for value, threshold in (("perplexity", "threshold"), ("spelling", "spelling_threshold")):
+        assert set(got[threshold]) == {np.sort(got[value])[197]}
+    assert 2 <= (~got["kept"]).sum() <= 4
+
+
 def test_words_in_a_senseless_order_score_worse(spark):
     rng = random.Random(8)
     lines = [" ".join(f"{w}{rng.randrange(30)}" for w in ("one", "two", "three", "four", "five")) for _ in range(40)]
