@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from barline.llm.tokens import slices
 
-#: Pages that the fit reads, first by a hash of id and url, and characters of each that it reads.
-FIT_PAGES, FIT_CHARS = 240, 20_000
+#: Pages that the fit reads whole, first by a hash of the page, and the longest run of blocks it takes from one.
+FIT_PAGES, FIT_BLOCKS = 240, 2_000
 #: Random layouts per page of the sample.
 LAYOUTS = 5
 EPOCHS, BATCH, RATE = 8, 48, 0.01
@@ -33,7 +33,10 @@ DIM = PATH_DIM + WORD_DIM + MEASURES
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_DIGIT = re.compile(r"\d")
 _HIDDEN = ("script", "style", "head", "template", "noscript", "svg", "iframe", "object", "title")
+#: What may stand in a head; any other element, or text, ends an open one.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 _RAW = {t: re.compile(rf"</{t}\s*>", re.I) for t in ("script", "style", "title", "textarea", "iframe", "noscript")}
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset(
@@ -84,11 +87,22 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
         if m is None:
             rest = page[at:]
             cut = re.search(r"<[a-zA-Z/!]", rest)  # a tag that the page's end cuts off
-            say(rest[:cut.start()] if cut else rest)
+            rest = rest[:cut.start()] if cut else rest
+            if rest.strip() and stack and stack[-1][0] == "head":
+                close(len(stack) - 1)
+            say(rest)
             break
-        say(page[at:m.start()])
+        between = page[at:m.start()]
         at = m.end()
         tag = (m[2] or "").lower()
+        if stack and stack[-1][0] == "head":
+            if between.strip():
+                close(len(stack) - 1)
+            say(between)
+            if stack[-1:] and stack[-1][0] == "head" and tag and not m[1] and tag not in _IN_HEAD:
+                close(len(stack) - 1)
+        else:
+            say(between)
         if not tag:
             continue
         if m[1]:
@@ -113,6 +127,8 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
                 if stack[i][0] in ("ul", "ol", "table", "dl", "article", "main", "section", "div", "body", "aside", "nav") and stack[i][0] not in shut:
                     break
             flush()
+        if tag == "svg" and (m[3] or "").endswith("/"):
+            continue
         words = [tag]
         for a in _ATTR.finditer(m[3] or ""):
             words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", a[1] or a[2] or a[3] or "").lower())
@@ -132,12 +148,23 @@ def _slot(word: str, dim: int, seed: int) -> tuple[int, float]:
     return h % dim, 1.0 if h & 0x10000 else -1.0
 
 
+class _WordSlots(dict):
+    """Slot of each word; those of negative sign come after all others."""
+
+    def __missing__(self, w):
+        if len(self) > 200_000:
+            self.clear()
+        i, sign = _slot(w, WORD_DIM, 3)
+        self[w] = i if sign > 0 else WORD_DIM + i
+        return self[w]
+
+
 class Encoder:
     """Vectors of blocks; hashes of words seen before are remembered."""
 
     def __init__(self):
         self._path: dict = {}
-        self._word: dict = {}
+        self._word = _WordSlots()
 
     def _path_vector(self, path):
         if path not in self._path:
@@ -151,24 +178,17 @@ class Encoder:
             self._path[path] = v
         return self._path[path]
 
-    def _word_slot(self, w):
-        if w not in self._word:
-            if len(self._word) > 200_000:
-                self._word.clear()
-            self._word[w] = _slot(w, WORD_DIM, 3)
-        return self._word[w]
-
     def __call__(self, page_blocks) -> np.ndarray:
         x = np.zeros((len(page_blocks), DIM), np.float32)
         for i, (text, path, links) in enumerate(page_blocks):
             x[i, :PATH_DIM] = self._path_vector(path)
-            words = text[:400].lower().split()  # a block's vector needs its opening only; its text stays whole
-            for w in words[:24]:
-                j, sign = self._word_slot(w)
-                x[i, PATH_DIM + j] += sign / 8
+            words = text.lower().split()
+            n = np.bincount(np.fromiter(map(self._word.__getitem__, words), np.int64, len(words)), minlength=2 * WORD_DIM)
+            # All words count; a long block weighs as much as one of 24 words.
+            x[i, PATH_DIM:PATH_DIM + WORD_DIM] = (n[:WORD_DIM] - n[WORD_DIM:]) * (min(1.0, 24 / max(1, len(words))) / 8)
             x[i, PATH_DIM + WORD_DIM:] = (
                 min(np.log1p(len(text)) / 6, 2), links, text[-1] in ".!?:;", min(len(words), 24) / 24,
-                (i + 1) / len(page_blocks), any(c.isdigit() for c in text[:80]))
+                (i + 1) / len(page_blocks), _DIGIT.search(text) is not None)
         return x
 
 
@@ -371,13 +391,14 @@ def training_data(pages: list[str], seed: int = 5):
     """Vectors and labels of the pages' own blocks and of layouts drawn from their texts."""
     rng, encode, seqs, labels = np.random.default_rng(seed), Encoder(), [], []
     for page in pages:
-        found = blocks(page[:FIT_CHARS])
+        found = blocks(page)
         if not found:
             continue
         own = weak_labels(found)
         if own is not None:
-            seqs.append(encode(found))
-            labels.append(own)
+            a = int(rng.integers(max(1, len(found) - FIT_BLOCKS + 1)))
+            seqs.append(encode(found)[a:a + FIT_BLOCKS])
+            labels.append(own[a:a + FIT_BLOCKS])
         for _ in range(LAYOUTS):
             chosen = rng.choice(len(found), size=min(len(found), 1 + int(rng.integers(8))), replace=False)
             made, marks = random_layout([found[i][0] for i in np.sort(chosen)], rng)
@@ -395,9 +416,9 @@ def _fit_batches(batches):
 
 
 def train(pages: DataFrame) -> dict[str, np.ndarray]:
-    """Weights from at most ``FIT_PAGES`` pages; without any page, those that a fit starts from."""
+    """Weights from at most ``FIT_PAGES`` whole pages; without any page, those that a fit starts from."""
     sample = (
-        pages.where(F.length("html") > 0).select(F.substring("html", 1, FIT_CHARS).alias("html"))
+        pages.where(F.length("html") > 0).select("html")
         .orderBy(F.xxhash64("html"), "html").limit(FIT_PAGES)
     )
     got = sample.repartition(1).mapInArrow(_fit_batches, "weights binary").collect()

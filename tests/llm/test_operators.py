@@ -380,6 +380,30 @@ def test_blocks_keep_inline_text_and_references():
     assert [t for t, _, _ in found] == ["ab&c d e", "f", "h <"]
 
 
+def test_open_heads_and_closed_drawings_hide_no_text():
+    def said(page):
+        return [t for t, _, _ in block_labeller.blocks(page)]
+    assert said("<html><head><title>t</title><body><article><p>one</p></article></body></html>") == ["one"]
+    assert said("<head><meta charset=x><script>s</script><p>one<p>two") == ["one", "two"]
+    assert said("<head><title>t</title><link rel=x>plain <b>bold</b>") == ["plain bold"]
+    assert said("<head><title>t</title>plain") == ["plain"]
+    assert said("<head><noscript>n</noscript><title>t</title></head><p>one") == ["one"]
+    assert said("<article>a<svg width='1'/> b<svg><path d='x'/><text>no</text></svg> c</article>") == ["a", "b", "c"]
+
+
+def test_fit_and_vectors_read_whole_pages(spark):
+    late = [f"<html><head><script>{'x' * 30_000}</script></head><body><nav><a>menu {i}</a></nav>"
+            f"<article><p>Words of page {i} that tell a story.</p></article></body></html>" for i in range(5)]
+    seqs, labels = block_labeller.training_data(late)
+    assert len(seqs) >= 5 and any(0 < y.mean() < 1 for y in labels)
+    rows = spark.createDataFrame([(i, "u", p) for i, p in enumerate(late)], "page_id long, url string, html string")
+    w, none = block_labeller.train(rows), block_labeller.init()
+    assert any(not np.array_equal(w[k], none[k]) for k in w)
+    start = "word " * 200
+    a, b = block_labeller.Encoder()([(start + "alpha beta gamma", ("p",), 0.0), (start + "delta zeta", ("p",), 0.0)])
+    assert not np.array_equal(a[block_labeller.PATH_DIM:][:block_labeller.WORD_DIM], b[block_labeller.PATH_DIM:][:block_labeller.WORD_DIM])
+
+
 def test_batches_larger_than_a_slice():
     texts = pa.array([f"Text {i} " + "é " * (i % 7) * 50 for i in range(900)])
     batch = pa.RecordBatch.from_arrays([texts], ["text"])
