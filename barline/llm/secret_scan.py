@@ -1,7 +1,8 @@
 """Secrets: fixed patterns, and strings that a primed compressor cannot explain.
 
 Patterns find assignments, access keys and long hex. Besides, every long token
-in a sensitive context is a candidate. A compressor primed with code words and
+in a sensitive context is a candidate: after a sensitive word, also within a name and
+over a line end, or inside an armoured key. A compressor primed with code words and
 with the text around the candidate compresses that surrounding with and without
 it; the marginal bytes per character tell novelty. Identifiers, words and
 repeats cost little, random strings their full entropy. Each text is scanned
@@ -32,8 +33,21 @@ NOVELTY = 0.55
 #: Characters on both sides of a candidate that count as its surroundings.
 AROUND = 160
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: Characters before a candidate in which a sensitive word is looked for.
+BEFORE = 80
+_PARTS = ("pass password passwd passphrase pwd secret token apikey accesskey secretkey privatekey accesstoken authtoken "
+          "credential cred auth authorization bearer private key signature").split()
+_LOWER, _TITLE = "|".join(_PARTS), "|".join(p.title() for p in _PARTS)
+#: A sensitive word by itself or as a part of a snake or camel case name, also in the plural; then
+#: the rest of its line, or that and the opening of the next line.
 _SENSITIVE = re.compile(
-    r"(?i)(pass(word|wd|phrase)?|secret|token|api_?key|credential|auth|bearer|private|key|signature)\b[^\n]{0,24}\Z")
+    rf"(?:(?<![A-Za-z])(?i:{_LOWER})(?i:s)?(?![A-Za-z])|(?<![A-Za-z])(?:{_LOWER}|{_TITLE})s?(?=[A-Z])|(?<=[A-Za-z0-9])(?:{_TITLE})s?(?![a-z]))"
+    r"[^\n]{0,24}(?:\n[ \t\"'`>|+-]*)?\Z")
+#: A name and its sign of equality, which are no part of the value.
+_NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_-]*=+(?=[A-Za-z0-9+/_-])")
+#: An armoured key: everything from its first line to its last, or to the end of a text that lacks that.
+_ARMOUR = re.compile(r"-----BEGIN [A-Z0-9 ]*KEY[A-Z0-9 ]*-----(.*?)(?:-----END |\Z)", re.S)
+_BODY = re.compile(r"[A-Za-z0-9+/=_-]+")
 
 #: Code and identifier words that prime the compressor.
 DICTIONARY = (
@@ -77,22 +91,35 @@ class Novelty:
 
 def novel_spans(text: str, novelty: Novelty, known=(), threshold: float = NOVELTY,
                 around: int = AROUND) -> list[tuple[int, int, str]]:
-    """Spans of kind ``novel``: incompressible tokens that follow a sensitive word on their line.
+    """Spans of kind ``novel``: incompressible tokens that follow a sensitive word, or lie in an armoured key.
 
-    Tokens that lie in one of the ``known`` spans are reported already and left out.
+    The word stands on the same line or on the one before. Tokens that lie in one of the
+    ``known`` spans are reported already and left out.
     """
+    armour = [m.span(1) for m in _ARMOUR.finditer(text)] if "-----BEGIN " in text else []
     found = []
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
-        if any(s <= a and b <= e for s, e, _ in known):
+        name = _NAME.match(text, a, b)
+        if name:
+            a = name.end()
+        if b - a < 16 or any(s <= a and b <= e for s, e, _ in known):
             continue
-        token = m[0]
+        token = text[a:b]
         if token.isalpha() and (token.islower() or token.istitle() or token.isupper()):
             continue  # one plain word, however long
-        if _SENSITIVE.search(text, max(0, a - 48), a) is None:
+        inside = any(s <= a and b <= e for s, e in armour)
+        if not inside and _SENSITIVE.search(text, max(0, a - BEFORE), a) is None:
             continue
         if novelty.per_char(text[max(0, a - around):a], token, text[b:b + around]) >= threshold:
             found.append((a, b, "novel"))
+    # The last line of an armoured key can be too short for a candidate.
+    for s, e in armour:
+        lines = {m.start(): m.end() for m in _BODY.finditer(text, s, e)}
+        for a, b, _ in [f for f in found if s <= f[0] < e]:
+            after = re.compile(r"[ \t\r]*\n[ \t]*").match(text, b, e)
+            if after and after.end() in lines and lines[after.end()] - after.end() < 16:
+                found.append((after.end(), lines[after.end()], "novel"))
     return found
 
 

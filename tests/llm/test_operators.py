@@ -194,6 +194,24 @@ def test_novel_secret_is_added_and_redacted():
     assert "Zk8q" not in secret_scan.redact(text, novelty) and secret_scan.redact(None, novelty) is None
 
 
+def test_novel_secrets_in_names_next_lines_and_armour():
+    novelty, rng = secret_scan.Novelty(), random.Random(9)
+    value = lambda n: "".join(rng.choices("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=n))
+    for before in ("SECRET_KEY_BASE=", "export DB_PASSWORDS='", "access_token_value: ", '"private_key_id": "', "credentials = ",
+                   "clientSecretValue = ", "myAPIKey -> ", "the bearer ", "signing key:\n    ", "api tokens are\r\n  - "):
+        secret = value(40)
+        text = f"some words go here\n{before}{secret}\nand then others"
+        assert [text[a:b] for a, b, _ in secret_scan.all_spans(text, novelty)] == [secret], before
+        assert secret not in secret_scan.redact(text, novelty)
+    lines = [value(64) for _ in range(5)] + [value(10) + "=="]
+    for kind in ("", "RSA ", "OPENSSH "):
+        head, tail = f"-----BEGIN {kind}PRIVATE KEY-----\n", f"\n-----END {kind}PRIVATE KEY-----\n"
+        text = "see\n" + head + "\n".join(lines) + tail + "written on a page of the book"
+        assert [text[a:b] for a, b, _ in secret_scan.all_spans(text, novelty)] == lines
+    for text in (f"the author {value(40)}", f"a keyboard {value(40)}", f"SECRETARY {value(40)}", f"monkey {value(40)}"):
+        assert secret_scan.all_spans(text, novelty) == []
+
+
 def brute_components(texts, threshold=75):
     sets = []
     for t in texts:
