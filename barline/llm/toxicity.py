@@ -20,8 +20,6 @@ from barline.llm.tokens import mix, owner, slices, texts, word_hashes, words
 BITS = 20
 #: Labelled rows that the fit reads at most, in order of a hash of doc_id.
 FIT_ROWS = 12_000
-#: Words of a text that the fit reads at most; scoring reads whole texts.
-FIT_WORDS = 4_000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 1.0
 STEMS = (4, 6)
@@ -73,13 +71,25 @@ def ftrl(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, epochs: i
     return weight(z, n), float(bias)
 
 
+def _slot_batches(bits):
+    def slots_of(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                who, slots = features(texts(part.column("text")), bits)
+                cut = np.searchsorted(who, np.arange(part.num_rows + 1)).astype(np.int32)
+                rows = pa.ListArray.from_arrays(pa.array(cut), pa.array(slots.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), rows], ["doc_id", "toxic", "slots"])
+
+    return slots_of
+
+
 def _fit_batches(bits):
     def fit(batches):
         rows, labels = [], []
         for batch in batches:
-            who, slots = features(texts(batch.column("text")), bits)
-            cut = np.searchsorted(who, np.arange(batch.num_rows + 1))
-            rows += [slots[a:b].astype(np.int32) for a, b in zip(cut[:-1], cut[1:])]
+            column = batch.column("slots")
+            # Copied, so that no batch stays in memory for one of its rows.
+            rows += [column[i].values.to_numpy().copy() for i in range(batch.num_rows)]
             labels += batch.column("toxic").to_pylist()
         order = np.random.default_rng(0).permutation(len(rows))
         w, bias = ftrl([rows[i] for i in order], np.array([labels[i] for i in order], float), bits)
@@ -98,18 +108,19 @@ def held_out(doc_id) -> F.Column:
 def fit_weights(docs: DataFrame, labels: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> DataFrame:
     """Rows (slot, weight) of the model, slot -1 being the bias; without labels the bias alone.
 
-    At most ``fit_rows`` labelled rows are read, those first by a hash of their id, and
-    ``FIT_WORDS`` words of each. Rows of the held-out fold and null labels take no part.
+    At most ``fit_rows`` labelled rows are read, those first by a hash of their id, each whole.
+    Rows of the held-out fold and null labels take no part.
     """
     chosen = (
         labels.where(F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     )
-    short = F.array_join(F.slice(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), 1, FIT_WORDS), " ").alias("text")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", short, "toxic")
-    # At most fit_rows short texts: one task, in a fixed order.
-    one = rows.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "toxic")
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    found = rows.select("doc_id", "toxic", "text").mapInArrow(_slot_batches(bits), f"doc_id {id_type}, toxic int, slots array<int>")
+    # The slots of at most fit_rows texts: one task, in a fixed order.
+    one = found.repartition(1).sortWithinPartitions("doc_id", "slots").select("slots", "toxic")
     return one.mapInArrow(_fit_batches(bits), "slot long, weight double")
 
 

@@ -298,6 +298,19 @@ def test_toxicity_learns_and_never_reads_held_out_labels(spark):
     assert toxicity.score_toxicity(table, marks.limit(0)).count() == 802
 
 
+def test_toxicity_learns_from_the_end_of_long_texts(spark):
+    rng = random.Random(2)
+    plain = [f"word{i}" for i in range(50)]
+    rows = [(i, " ".join(rng.choices(plain, k=4_200)) + (" vile" if i % 4 == 0 else "")) for i in range(150)]
+    table = spark.createDataFrame([*rows, (9000, "a vile word1"), (9001, "a fine word1")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(150)], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(table, marks).collect()}
+    assert got[9000] > got[9001] + 0.2
+    weights = {r.slot: r.weight for r in toxicity.fit_weights(table, marks).collect()}
+    _, slots = toxicity.features(pa.array(["vile"], pa.large_string()))
+    assert any(weights.get(int(s), 0) > 0 for s in slots)
+
+
 def test_pieces_are_the_best_and_cuts_do_not_matter(spark):
     texts = [None, "", " ", "Hello world, don't panic!", "a" * 700, "naïve 漢字 \U0001f600\n\ttabs  two", "word " * 300]
     table = docs(spark, texts)
