@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from barline.llm import block_labeller, host_rules, jaccard_join, ngram_lm, packing, pieces, prefix_forest, secret_scan, toxicity, url_filter
+from barline.llm import (block_labeller, graph_dedup, host_rules, jaccard_join, ngram_lm, packing, periodic_runs, pieces,
+                         prefix_forest, secret_scan, spelling_groups, toxicity, url_filter)
 
 QUERIES = {
     "op1_block_labeller": block_labeller.op1_block_labeller,
@@ -15,10 +16,14 @@ QUERIES = {
     "op8_pieces": pieces.op8_pieces,
     "op9_url_filter": url_filter.op9_url_filter,
     "op10_best_fit_packing": packing.op10_best_fit_packing,
+    "op11_graph_dedup": graph_dedup.op11_graph_dedup,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_spelling_groups": spelling_groups.op13_spelling_groups,
 }
 
 ORACLES = {
     "op2_quality_rules": host_rules.SQL,
     "op6_jaccard_join": jaccard_join.SQL,
     "op9_url_filter": url_filter.SQL,
+    "op11_graph_dedup": graph_dedup.SQL,
 }
