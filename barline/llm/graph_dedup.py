@@ -176,17 +176,20 @@ def search(rows: DataFrame, anchor: int, again: bool) -> DataFrame:
 
 
 def _passages(row, start, length, enters, leaves, source, source_start):
-    """Covered spans put together where the path and the source's coordinates go on in step."""
+    """Spans put together where the path and the source's coordinates go on in step."""
     if not len(row):
         return row, start, length, source, source_start
-    order = np.lexsort((start, row))
+    order = np.lexsort((start, start - source_start, source, row))
     row, start, length, enters, leaves, source, source_start = (
         x[order] for x in (row, start, length, enters, leaves, source, source_start))
-    goes = (row[1:] == row[:-1]) & enters[1:] & leaves[:-1] & (source[1:] == source[:-1]) & (start[1:] <= start[:-1] + length[:-1])
-    goes &= start[1:] - start[:-1] == source_start[1:] - source_start[:-1]
+    shift = start - source_start
+    same = (row[1:] == row[:-1]) & (source[1:] == source[:-1]) & (shift[1:] == shift[:-1])
+    lift = np.r_[0, np.cumsum(~same)] * int((start + length).max() + 1)
+    end = np.maximum.accumulate(start + length + lift) - lift  # a span may lie within one before it
+    goes = same & enters[1:] & leaves[:-1] & (start[1:] <= end[:-1])
     first = np.flatnonzero(np.r_[True, ~goes])
-    last = np.r_[first[1:], len(row)] - 1
-    return row[first], start[first], start[last] + length[last] - start[first], source[first], source_start[first]
+    end = np.maximum.reduceat(start + length, first)
+    return row[first], start[first], end - start[first], source[first], source_start[first]
 
 
 def _struct_lists(rows: int, row: np.ndarray, none: np.ndarray | None, fields: dict[str, pa.Array]) -> pa.Array:
