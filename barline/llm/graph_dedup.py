@@ -161,6 +161,7 @@ def search(rows: DataFrame, anchor: int, again: bool) -> DataFrame:
     read = rows.where("doc_id IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", *(["opens"] if again else []))
     pieces = read.mapInArrow(_piece_batches(anchor, again), _PIECE)
     shared = pieces.groupBy("anchor").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi").select("anchor")
+    shared = stage(shared, "anchors")  # dealt out anew by the join, which can then split a hot anchor's pieces
     pieces = stage(pieces.join(shared, "anchor", "left_semi"), "pieces")
     paths = pieces.groupBy("d1", "d2").agg(
         F.min("anchor").alias("anchor"), F.min(F.struct("doc_id", "start")).alias("source"),
@@ -168,7 +169,7 @@ def search(rows: DataFrame, anchor: int, again: bool) -> DataFrame:
         (F.min("after") == F.max("after")).alias("leaves"))
     paths = stage(paths, "paths")
     branches = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor", F.lit(True).alias("branch"))
-    paths = paths.join(branches, "anchor", "left").drop("anchor")
+    paths = paths.join(stage(branches, "branches"), "anchor", "left").drop("anchor")
     covered = F.col("source.doc_id") < F.col("doc_id")
     return pieces.join(paths, ["d1", "d2"]).where(covered | F.col("branch")).select(
         "doc_id", "start", "windows", "d1", covered.alias("covered"), "enters", "leaves",
