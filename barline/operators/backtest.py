@@ -205,7 +205,7 @@ def evaluate(df: DataFrame) -> DataFrame:
     )
 
 
-def retrain_summary(metrics: DataFrame) -> DataFrame:
+def retrain_summary(metrics: DataFrame, gate: float = PROMOTION_SHARPE) -> DataFrame:
     """Means over symbols that have a Sharpe ratio, the best symbol (first name
     on ties) and whether the mean clears the promotion threshold."""
     valid = metrics.where(F.col("strategy_sharpe").isNotNull())
@@ -215,7 +215,7 @@ def retrain_summary(metrics: DataFrame) -> DataFrame:
         F.avg("directional_accuracy").alias("avg_accuracy"),
         F.count(F.lit(1)).alias("symbols"),
         best.alias("best_symbol"),
-        (F.avg("strategy_sharpe") >= PROMOTION_SHARPE).alias("promoted"),
+        (F.avg("strategy_sharpe") >= gate).alias("promoted"),
     )
 
 

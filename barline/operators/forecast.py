@@ -1,17 +1,21 @@
-"""Feature tables, boosted-tree forecasts and their records."""
+"""Feature tables, forecasts by any predictor, and their records.
 
-from __future__ import annotations
+A predictor is a fitted pipeline that adds ``pred``, the next close, to indexed rows:
+boosted trees with their features, or a rule. Pipelines of Spark's own stages are saved and
+loaded whole (``sinks/models.py``), so that what scores is what was judged.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.functions.scalar import ratio
 from barline.functions.signals import confidence, next_day
-from barline.operators.backtest import chronological_split, split_point
+from barline.operators.backtest import split_point
 from barline.operators.indicators import features
 from barline.operators.market import last_volatility
 from barline.operators.selection import MIN_ROWS
@@ -38,6 +42,13 @@ _PRICE_LIKE = ["open", "high", "low", "bb_upper", "bb_lower", "sma_10", "sma_20"
 _PRICE_SIZED = ["macd", "macd_signal", "atr_14"]
 _FREE = ["rsi_14", "bb_width", "return_1d", "return_5d", "vol_ratio"]
 
+#: Predictors that need no fit: no change; the last change once more; the last change undone.
+RULES = {
+    "naive": "close",
+    "drift": "close + coalesce(close - prev_close, 0.0)",
+    "reversal": "close - coalesce(close - prev_close, 0.0)",
+}
+
 
 def feature_matrix(bars: DataFrame) -> DataFrame:
     """Rows whose sixteen features are all present (neither NULL nor NaN), numbered
@@ -55,42 +66,49 @@ def batch_features(processed: DataFrame) -> DataFrame:
     )
 
 
-def _model_input(matrix: DataFrame) -> DataFrame:
+def _scale_free() -> SQLTransformer:
     """Scale-free features, so that one model serves symbols of any price."""
-    close = F.col("close")
-    cols = [(ratio(F.col(c), close) - 1).alias(f"x_{c}") for c in _PRICE_LIKE]
-    cols += [ratio(F.col(c), close).alias(f"x_{c}") for c in _PRICE_SIZED]
-    cols += [F.col(c).cast("double").alias(f"x_{c}") for c in _FREE]
-    wide = matrix.select("*", *cols)
-    names = [f"x_{c}" for c in _PRICE_LIKE + _PRICE_SIZED + _FREE]
-    assembled = VectorAssembler(inputCols=names, outputCol="x", handleInvalid="skip").transform(wide)
-    return assembled.drop(*names)
+    cols = [f"try_divide({c}, close) - 1 AS x_{c}" for c in _PRICE_LIKE]
+    cols += [f"try_divide({c}, close) AS x_{c}" for c in _PRICE_SIZED]
+    cols += [f"CAST({c} AS DOUBLE) AS x_{c}" for c in _FREE]
+    return SQLTransformer(statement=f"SELECT *, {', '.join(cols)} FROM __THIS__")
 
 
-def fit(matrix: DataFrame, fraction: float = 0.8, trees: int = TREES) -> GBTRegressionModel:
+def _train_rows(matrix: DataFrame, fraction: float) -> DataFrame:
+    rows = matrix.where(F.col(POS) < F.col(LENGTH) - 1).withColumns(
+        {LENGTH: F.col(LENGTH) - 1, "y": ratio(F.col("next_close"), F.col("close")) - 1}
+    )
+    return rows.where(F.col(POS) < split_point(fraction)).where("y IS NOT NULL")
+
+
+def fit(matrix: DataFrame, fraction: float = 0.8, trees: int = TREES) -> PipelineModel:
     """Fit the next return on the train part of every series.
 
     One distributed fit over all symbols; the split is chronological within
     each. Spark's trees differ from other libraries' in number, not in use.
     """
-    rows = matrix.where(F.col(POS) < F.col(LENGTH) - 1).withColumns(
-        {LENGTH: F.col(LENGTH) - 1, "y": ratio(F.col("next_close"), F.col("close")) - 1}
-    )
-    train = _model_input(rows.where(F.col(POS) < split_point(fraction))).select("x", "y")
+    names = [f"x_{c}" for c in _PRICE_LIKE + _PRICE_SIZED + _FREE]
     learner = GBTRegressor(
         featuresCol="x", labelCol="y", predictionCol="yhat", maxIter=trees, maxDepth=DEPTH,
         stepSize=RATE, subsamplingRate=SAMPLE, featureSubsetStrategy=COLUMN_SAMPLE, seed=SEED,
     )
-    return learner.fit(train)
+    price = SQLTransformer(statement="SELECT * EXCEPT (x, yhat), close * (1 + yhat) AS pred FROM __THIS__")
+    features_of = [_scale_free(), VectorAssembler(inputCols=names, outputCol="x", handleInvalid="skip"),
+                   SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}) FROM __THIS__")]
+    return Pipeline(stages=[*features_of, learner, price]).fit(_train_rows(matrix, fraction))
+
+
+def rule(name: str) -> PipelineModel:
+    """A predictor without a fit: one of ``RULES``."""
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, {RULES[name]} AS pred FROM __THIS__")])
 
 
-def predict(matrix: DataFrame, model: GBTRegressionModel) -> DataFrame:
+def predict(matrix: DataFrame, model: PipelineModel) -> DataFrame:
     """Add ``pred``, the predicted next close."""
-    scored = model.transform(_model_input(matrix))
-    return scored.withColumn("pred", F.col("close") * (1 + F.col("yhat"))).drop("x", "yhat")
+    return model.transform(matrix)
 
 
-def forecast(matrix: DataFrame, model: GBTRegressionModel, as_of: str,
+def forecast(matrix: DataFrame, model: PipelineModel, as_of: str,
              version: str = "gbt-live-v1", need: int = MIN_ROWS["live_fit"],
              as_reference: bool = False) -> DataFrame:
     """One prediction record per symbol from its newest bar.
@@ -123,9 +141,9 @@ def skipped(symbols: DataFrame, records: DataFrame) -> DataFrame:
     return symbols.select("symbol").distinct().join(records, "symbol", "left_anti")
 
 
-def backtest_predictions(matrix: DataFrame, trees: int = TREES, fraction: float = 0.8) -> DataFrame:
-    """``(symbol, date, close, target, pred)`` rows for ``backtest_metrics``."""
-    model = fit(matrix, fraction, trees)
+def backtest_predictions(matrix: DataFrame, model: PipelineModel) -> DataFrame:
+    """``(symbol, date, close, target, pred)`` rows for ``backtest_metrics``: the outcome is
+    known for all rows but the last of a series."""
     rows = matrix.where(F.col(POS) < F.col(LENGTH) - 1).withColumns(
         {LENGTH: F.col(LENGTH) - 1, "target": F.col("next_close")}
     )
@@ -134,10 +152,9 @@ def backtest_predictions(matrix: DataFrame, trees: int = TREES, fraction: float
 
 def naive(bars: DataFrame) -> DataFrame:
     """Predict no change."""
-    return bars.withColumn("pred", F.col("close"))
+    return predict(bars, rule("naive"))
 
 
 def drift(bars: DataFrame) -> DataFrame:
     """Predict that the last change repeats."""
-    change = F.coalesce(F.col("close") - F.col("prev_close"), F.lit(0.0))
-    return bars.withColumn("pred", F.col("close") + change)
+    return predict(bars, rule("drift"))

@@ -80,6 +80,20 @@ def validate_expectations(df: DataFrame) -> DataFrame:
     return _run(df, counts)
 
 
+def validate_headlines(df: DataFrame) -> DataFrame:
+    """The suite of scored news: every row has a symbol, a date and a headline, scores lie in
+    their ranges, and no symbol has a headline twice on a day."""
+    counts = {f"no_nulls_{c}": _hits(F.col(c).isNull()) for c in ("symbol", "date", "headline")}
+    counts["headline_filled"] = _hits(F.trim("headline") == "")
+    counts["compound_range"] = _hits(F.abs("sentiment_compound") > 1)
+    repeats = F.count(F.lit(1)) - F.count_distinct("headline")
+    totals = df.groupBy("symbol", "date").agg(repeats.alias("no_repeats"), *[c.alias(n) for n, c in counts.items()]).agg(
+        *[F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(n) for n in (*counts, "no_repeats")])
+    checks = [F.struct(F.lit(n).alias("check"), (F.col(n) == 0).alias("passed"), F.col(n).alias("failures"))
+              for n in totals.columns]
+    return totals.select(F.inline(F.array(*checks)))
+
+
 def statistics(checks: DataFrame) -> DataFrame:
     """Successful and evaluated checks, and whether all passed."""
     return checks.agg(

@@ -33,15 +33,16 @@ def score_headlines(df: DataFrame, scorer: Scorer | None = None) -> DataFrame:
 
 def daily_sentiment(df: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """Mean scores and article count per symbol and date."""
+    return daily_means(score_headlines(df, scorer))
+
+
+def daily_means(scored: DataFrame) -> DataFrame:
+    """The same from rows that are scored already."""
     means = [
         F.avg(f"sentiment_{n}").alias(f"sentiment_{n}")
         for n in ("compound", "positive", "negative")
     ]
-    return (
-        score_headlines(df, scorer)
-        .groupBy("symbol", "date")
-        .agg(*means, F.count(F.lit(1)).alias("article_count"))
-    )
+    return scored.groupBy("symbol", "date").agg(*means, F.count(F.lit(1)).alias("article_count"))
 
 
 def score_articles(articles: DataFrame,

@@ -123,6 +123,23 @@ PIPELINE_RUNS = _struct(
     ("error_message", STRING),
 )
 
+MODEL_DECISIONS = _struct(
+    ("model_version", STRING, False),
+    ("avg_sharpe", DOUBLE),
+    ("avg_accuracy", DOUBLE),
+    ("symbols", LONG),
+    ("best_symbol", STRING),
+    ("promoted", T.BooleanType()),
+    ("decided_at", TIMESTAMP),
+)
+REJECTS = _struct(
+    ("feed", STRING, False),
+    ("symbol", STRING),
+    ("item", STRING),
+    ("reason", STRING),
+    ("run_id", STRING),
+)
+
 
 def conform(df, schema: T.StructType):
     """Project ``df`` onto ``schema``, adding missing columns as NULL."""

@@ -122,3 +122,28 @@ def parse_news(items: DataFrame, limit: int | None = None) -> DataFrame:
         ).alias("url"),
         F.coalesce("c.pubDate", "j.providerPublishTime", F.lit("")).alias("published_at"),
     ).where(F.col("title").isNotNull())
+
+
+def untitled_news(items: DataFrame) -> DataFrame:
+    """Items that ``parse_news`` leaves out, with the reason."""
+    j = F.from_json("item", _NEWS_SCHEMA)
+    title = F.coalesce(F.nullif(j["content"]["title"], F.lit("")), F.nullif(j["title"], F.lit("")))
+    return items.where(title.isNull()).select("symbol", "item", F.lit("no title").alias("reason"))
+
+
+def unread_news(payloads: DataFrame) -> DataFrame:
+    """Payloads that are no array of items, with the reason."""
+    items = F.from_json("payload", "array<string>")
+    return payloads.where(items.isNull()).select(
+        "symbol", F.col("payload").alias("item"), F.lit("not a list of items").alias("reason"))
+
+
+def news_headlines(articles: DataFrame, as_of: Column) -> DataFrame:
+    """Articles as dated headlines. A time is ISO text or epoch seconds; an article without
+    a readable one counts as new."""
+    text = F.col("published_at")
+    day = F.coalesce(F.to_date(text.try_cast("timestamp")),
+                     F.to_date(F.timestamp_seconds(text.try_cast("bigint"))), F.to_date(as_of))
+    return articles.select(
+        "symbol", day.alias("date"), F.col("title").alias("headline"), F.lit("").alias("summary"),
+        "url", F.col("publisher").alias("source"), as_of.cast("timestamp").alias("ingested_at"))

@@ -252,7 +252,8 @@ def test_forecast_and_backtest(spark):
     assert {r[0] for r in forecast.skipped(asked, records).collect()} == {"C", "D"}
     quirk = forecast.forecast(matrix, model, "2024-01-01", as_reference=True).count()
     assert quirk == 2
-    preds = forecast.backtest_predictions(matrix.where("n >= 60"), trees=3)
+    enough = matrix.where("n >= 60")
+    preds = forecast.backtest_predictions(enough, forecast.fit(enough, trees=3))
     metrics = backtest.backtest_metrics(preds).collect()
     assert {m["test_days"] for m in metrics} == {(200 - 34) - int((200 - 34) * 0.8), (180 - 34) - int((180 - 34) * 0.8)}
     # Better than a constant forecast of the train mean.

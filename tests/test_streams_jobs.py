@@ -1,11 +1,17 @@
 import datetime as dt
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
 
+from barline.operators import forecast
+from barline.operators.series import index_series
 from barline.plans import jobs
-from barline.sinks.lake import write_raw
+from barline.schemas import HEADLINES
+from barline.sinks.models import ModelStore
 from barline.sinks.warehouse import Warehouse
 from barline.streaming import ticks
 from tests.helpers import bars, walk
@@ -97,31 +103,118 @@ def test_backlog(spark):
     assert got == {"t": (10900, 1950, True), "u": (0, 0, False)}
 
 
-def test_batch_job_end_to_end(spark, tmp_path):
-    raw = bars(spark, walk(150)).union(bars(spark, walk(140, seed=3), symbol="B"))
-    raw = raw.withColumns({"date": F.col("date").cast("timestamp"), "adjusted_close": F.col("close"),
-                           "ingested_at": F.lit(T)})
-    broken = raw.limit(1).withColumns({"volume": F.lit(0).cast("long"), "symbol": F.lit("C")})
-    lake = str(tmp_path / "lake")
-    write_raw(raw.union(broken), lake, F.lit("2024-01-01").cast("date"))
-    articles = spark.createDataFrame([("A", "gain"), ("A", "strong up")], "symbol string, title string")
-    out = jobs.run_batch(spark, lake, articles, str(tmp_path / "processed"), str(tmp_path / "wh"), "r1",
-                         "2024-01-01", trees=2)
-    assert out.counts == (291, 290)
-    processed = spark.read.parquet(str(tmp_path / "processed"))
-    assert processed.count() == 290 and {"year", "month", "rsi_14", "vwap"} <= set(processed.columns)
-    w = Warehouse(spark, str(tmp_path / "wh"))
+def daily_payload(closes, **days):
+    series = {}
+    for i, c in enumerate(closes):
+        day = (dt.date(2023, 1, 2) + dt.timedelta(days=i)).isoformat()
+        series[day] = {"1. open": str(c), "2. high": str(c + 1), "3. low": str(c - 1), "4. close": str(c),
+                       "5. adjusted close": str(c), "6. volume": "100"}
+    series.update(days)
+    return json.dumps({"Time Series (Daily)": series})
+
+
+def news_payload(*titles):
+    return json.dumps([{"title": t, "publisher": "p", "link": f"u/{i}", "providerPublishTime": 1704067200 + 86400 * (i % 2)}
+                       for i, t in enumerate(titles)])
+
+
+def feeds(spark, closes_a, closes_b):
+    prices = [("A", daily_payload(closes_a, **{"2024-01-01": {"1. open": "x"}})), ("B", daily_payload(closes_b)),
+              ("C", json.dumps({"Note": "slow down"}))]
+    news = [("A", news_payload("strong gain", "record profit", "", "strong gain")), ("B", news_payload("heavy loss")),
+            ("C", "not json")]
+    schema = "symbol string, payload string"
+    return spark.createDataFrame(prices, schema), spark.createDataFrame(news, schema)
+
+
+def test_batch_flow_from_text_to_run_log(spark, tmp_path):
+    root = str(tmp_path / "root")
+    prices, news = feeds(spark, walk(150), walk(140, seed=3))
+    out = jobs.run_batch(spark, prices, news, root, "r1", "2024-01-03")
+    assert {tuple(r) for r in out.totals.collect()} == {("A", 150), ("B", 140), (None, 290)}
+    assert out.counts == (290, 290)
+    rejects = spark.read.parquet(f"{root}/rejects")
+    assert sorted((r.feed, r.symbol, r.reason) for r in rejects.collect()) == [
+        ("news", "A", "no title"), ("news", "C", "not a list of items"),
+        ("prices", "A", "unreadable day"), ("prices", "C", "slow down")]
+    processed = spark.read.parquet(f"{root}/processed")
+    assert {"year", "month", "rsi_14", "vwap"} <= set(processed.columns)
+    w = Warehouse(spark, f"{root}/warehouse")
     assert w.read("stock_prices").count() == 290 and w.read("technical_indicators").count() == 290
-    assert w.read("predictions").count() == 2 == out.predictions.count() and out.skipped.count() == 0
-    assert tuple(out.sentiment_counts.first()) == (1, 0, 1)
-    assert w.runs().first()["status"] == "ok"
+    stored = {(r.symbol, str(r.date)): (r.article_count, float(r.sentiment_compound)) for r in w.read("sentiment").collect()}
+    # The repeated headline is stored once, on its first day.
+    assert {k: v[0] for k, v in stored.items()} == {("A", "2024-01-01"): 1, ("A", "2024-01-02"): 1, ("B", "2024-01-01"): 1}
+    assert stored["A", "2024-01-01"][1] > 0 > stored["B", "2024-01-01"][1]
+    assert tuple(out.sentiment_counts.first()) == (1, 1, 0)
+    # No model is promoted, so nothing is predicted.
+    assert out.predictions.count() == 0 and w.read("predictions").count() == 0
+    assert {r[0] for r in out.skipped.collect()} == {"A", "B"}
+    assert {(r.dag_id, r.status, r.rows_processed) for r in w.runs().collect()} == {("batch", "ok", 290), ("news", "ok", 3)}
+
+    store = ModelStore(spark, f"{root}/models")
+    done = jobs.run_retrain(processed, store, "rule-1", forecast.rule("drift"), gate=-100.0)
+    assert done.promoted and done.metrics.count() == 2
+    out = jobs.run_batch(spark, prices, news, root, "r2", "2024-01-03")
+    assert {r.model_version for r in out.predictions.collect()} == {"rule-1"} and out.skipped.count() == 0
     # A second run leaves the tables as they are.
-    jobs.load_warehouse(spark, str(tmp_path / "processed"), w, "r2")
-    assert w.read("stock_prices").count() == 290 and w.runs().count() == 2
-    metrics, summary = jobs.run_retrain(processed, trees=2)
-    assert metrics.count() == 2 and summary.first()["symbols"] == 2
-    snap = jobs.prediction_snapshot(out.predictions, "2024-01-01 00:00:00")
-    assert {r["key"] for r in snap.collect()} == {"PREDICTION:A", "PREDICTION:B"}
+    assert w.read("stock_prices").count() == 290 and w.read("predictions").count() == 2 and w.read("sentiment").count() == 3
+    assert w.runs().count() == 4 and spark.read.parquet(f"{root}/rejects").count() == 8
+    kept = {r.key: json.loads(r.value) for r in out.records.collect()}
+    assert set(kept) == {"PREDICTION:A", "PREDICTION:B", "SENTIMENT:A", "SENTIMENT:B"}
+    assert [a["title"] for a in kept["SENTIMENT:A"]["articles"]] == ["strong gain", "record profit", "strong gain"]
+    assert kept["PREDICTION:A"]["model_version"] == "rule-1" and kept["SENTIMENT:B"]["aggregate_label"] == "Bearish"
+    lives = {r.key: r.expires_at - r.made_at for r in out.records.collect()}
+    assert lives["PREDICTION:A"] == dt.timedelta(hours=1) and lives["SENTIMENT:A"] == dt.timedelta(minutes=30)
+
+
+def test_bad_news_stop_only_the_news(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    rows = [("A", T.date(), " ", "", "u", "s", T)]
+    assert not jobs.load_sentiment(spark.createDataFrame(rows, HEADLINES), w, "r1")
+    run = w.runs().first()
+    assert (run.dag_id, run.status, run.error_message) == ("news", "failed", "validation failed")
+    assert w.read("sentiment").count() == 0
+
+
+def test_scoring_obeys_the_promotion(spark, tmp_path):
+    root = str(tmp_path)
+    raw = bars(spark, walk(150)).union(bars(spark, walk(140, seed=3), symbol="B"))
+    store, w = ModelStore(spark, f"{root}/models"), Warehouse(spark, f"{root}/wh")
+    assert store.promoted() is None and store.decisions().count() == 0
+    first = jobs.run_retrain(raw, store, "gbt-1", trees=2, gate=-100.0, decided_at=T)
+    assert first.promoted and first.summary.first()["symbols"] == 2
+    # Below its gate a later version is kept, but not used.
+    second = jobs.run_retrain(raw, store, "drift-2", forecast.rule("drift"), gate=100.0, decided_at=T + dt.timedelta(days=7))
+    assert not second.promoted and store.promoted() == "gbt-1"
+    assert {(r.model_version, r.promoted) for r in store.decisions().collect()} == {("gbt-1", True), ("drift-2", False)}
+    records, skipped = jobs.score_symbols(raw, w, store, "2024-01-01")
+    got = {r.symbol: (r.model_version, r.predicted_price) for r in records.collect()}
+    assert {v[0] for v in got.values()} == {"gbt-1"} and skipped.count() == 0 and w.read("predictions").count() == 2
+    with pytest.raises(Exception, match="already exists"):
+        store.save("gbt-1", forecast.rule("naive"))
+
+    # Another application scores the same from what is on disk, without a fit.
+    raw.write.parquet(f"{root}/bars")
+    code = f"""
+from barline.session import get_spark
+from barline.plans import jobs
+from barline.sinks.models import ModelStore
+from barline.sinks.warehouse import Warehouse
+spark = get_spark(**{{"spark.master": "local[2]", "spark.sql.shuffle.partitions": "2"}})
+store, w = ModelStore(spark, {root + "/models"!r}), Warehouse(spark, {root + "/wh2"!r})
+records, _ = jobs.score_symbols(spark.read.parquet({root + "/bars"!r}), w, store, "2024-01-01")
+print("GOT", sorted((r.symbol, r.model_version, r.predicted_price) for r in records.collect()))
+"""
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300,
+                          cwd=os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    assert f"GOT {sorted((s, *v) for s, v in got.items())}" in done.stdout, done.stderr[-2000:]
+
+
+def test_fits_use_all_trees(spark):
+    matrix = forecast.feature_matrix(index_series(bars(spark, walk(80)), neighbours=["close"]))
+    model = forecast.fit(matrix, trees=3)
+    assert forecast.TREES == 200 and model.stages[-2].getNumTrees == 3
+    assert sorted(forecast.predict(matrix, model).columns) == sorted([*matrix.columns, "pred"])
 
 
 def test_gate_stops_the_load(spark, tmp_path):
