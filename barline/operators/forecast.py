@@ -7,7 +7,8 @@ loaded whole (``sinks/models.py``), so that what scores is what was judged.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
@@ -92,10 +93,17 @@ def fit(matrix: DataFrame, fraction: float = 0.8, trees: int = TREES) -> Pipelin
         featuresCol="x", labelCol="y", predictionCol="yhat", maxIter=trees, maxDepth=DEPTH,
         stepSize=RATE, subsamplingRate=SAMPLE, featureSubsetStrategy=COLUMN_SAMPLE, seed=SEED,
     )
+    prepared = PipelineModel([
+        _scale_free(), VectorAssembler(inputCols=names, outputCol="x", handleInvalid="skip"),
+        SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}) FROM __THIS__")])
+    # Every tree passes over the rows several times; a lost executor's part is read again.
+    rows = prepared.transform(_train_rows(matrix, fraction)).select("x", "y").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        trained = learner.fit(rows)
+    finally:
+        rows.unpersist()
     price = SQLTransformer(statement="SELECT * EXCEPT (x, yhat), close * (1 + yhat) AS pred FROM __THIS__")
-    features_of = [_scale_free(), VectorAssembler(inputCols=names, outputCol="x", handleInvalid="skip"),
-                   SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(names)}) FROM __THIS__")]
-    return Pipeline(stages=[*features_of, learner, price]).fit(_train_rows(matrix, fraction))
+    return PipelineModel([*prepared.stages, trained, price])
 
 
 def rule(name: str) -> PipelineModel:

@@ -6,19 +6,22 @@ folder, as the batch job would do. Later queries scan those tables.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
-from barline.operators.cleaning import clean
-from barline.operators.forecast import feature_matrix
+from barline.operators.cleaning import clean, derive
+from barline.operators.forecast import batch_features, feature_matrix, fit
 from barline.operators.indicators import features
 from barline.operators.portfolio import align_positions, aligned_returns as returns_of
 from barline.operators.series import index_series
-from barline.session import stage
+from barline.session import shared_dir, stage
+from barline.sinks.models import ModelStore
 from barline.sources import driver_tables as given
 
-_built: dict[tuple, DataFrame] = {}
+_built: dict[tuple, DataFrame | str] = {}
 
 
 def _version(spark: SparkSession, sf_dir: str) -> tuple:
@@ -66,6 +69,22 @@ def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "matrix", lambda: feature_matrix(indexed(spark, sf_dir)))
 
 
+def trees(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    """The boosted trees: fitted once, saved, and loaded by every query that scores."""
+    version = hashlib.sha256(repr(_version(spark, sf_dir)).encode()).hexdigest()[:16]
+    store = ModelStore(spark, f"{shared_dir(spark)}/models-{spark.sparkContext.applicationId}")
+    key = ("trees", *_version(spark, sf_dir))
+    if key not in _built:
+        store.save(version, fit(matrix(spark, sf_dir)))
+        _built[key] = version
+    return store.load(_built[key])
+
+
+def batch_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Complete rows of the batch model, numbered."""
+    return _once(spark, sf_dir, "batch", lambda: index_series(batch_features(derive(featured(spark, sf_dir)))))
+
+
 def aligned_returns(spark: SparkSession, sf_dir: str, days: int) -> DataFrame:
     """Returns paired by position. Means, covariances and draws all read them."""
     return _once(

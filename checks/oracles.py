@@ -363,6 +363,63 @@ scaled AS (
     (volume - v0) / CASE WHEN vr = 0 THEN 1.0 ELSE vr END AS sv
   FROM ix JOIN fitted USING (symbol))"""
 
+# -- stored models and records -------------------------------------------------
+
+RULES = {"naive": "close", "drift": "close + coalesce(close - prev_close, 0)",
+         "reversal": "close - coalesce(close - prev_close, 0)"}
+MATRIX = f"""{IND}, complete AS (SELECT symbol, date, open, close FROM ind
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in LIVE)}), {indexed_of('complete', 'mx')}"""
+
+
+def judged(name: str, gate: float) -> str:
+    """The decision on one rule over the rows of the matrix."""
+    return f"""judged_{name} AS (WITH preds AS (
+    SELECT symbol, date, close, next_close AS target, pos, n - 1 AS n, {RULES[name]} AS pred FROM mx WHERE pos < n - 1),
+  {tested('x').removeprefix('x, ')}, {METRICS}
+  SELECT '{name}' AS model_version, avg(strategy_sharpe) AS avg_sharpe, avg(directional_accuracy) AS avg_accuracy,
+    count(*) AS symbols, (SELECT symbol FROM metrics ORDER BY strategy_sharpe DESC, symbol LIMIT 1) AS best_symbol,
+    avg(strategy_sharpe) >= {gate} AS promoted FROM metrics)"""
+
+
+JUDGED = f"""{MATRIX}, {judged('naive', -1e9)}, {judged('drift', 0.8)}, {judged('reversal', 0.8)}"""
+
+
+def forecasts(need: int) -> str:
+    """A record of every rule for every symbol; prices in four places, as they are stored."""
+    union = " UNION ALL ".join(
+        f"SELECT symbol, '{name}' AS model_version, {rule} AS pred FROM mx WHERE pos = n - 1 AND n - 1 >= {need}"
+        for name, rule in RULES.items())
+    return f"""vol AS (SELECT symbol, stddev_samp(close) AS sd, arg_max(close, date) AS cur
+    FROM mx WHERE pos >= n - 20 GROUP BY symbol),
+made AS (SELECT symbol, model_version, pred, cur, {r('pred - 1.96 * sd', 4)} AS lo, {r('pred + 1.96 * sd', 4)} AS hi
+  FROM ({union}) JOIN vol USING (symbol)),
+forecasts AS (SELECT symbol, model_version, {r('cur', 4)} AS current_price, {r('pred', 4)} AS predicted_price,
+  lo AS confidence_lower, hi AS confidence_upper,
+  {r('greatest(0.0, least(1.0, 1 - CASE WHEN cur = 0 THEN 0.1 ELSE (hi - lo) / cur END))', 4)} AS confidence_score,
+  DATE '1998-12-02' AS prediction_date, CAST(NULL AS DOUBLE) AS sentiment_score, 'Neutral' AS sentiment_label FROM made)"""
+
+
+def fixed(expr: str) -> str:
+    return f"CAST(CAST({expr} AS DECIMAL(18, 4)) AS VARCHAR)"
+
+
+SCALES = [*BATCH[:4], "vwap", *BATCH[4:], "day_of_week", "adjusted_close"]
+BATCH_SCALED = f"""{IND}, bt AS (
+  SELECT symbol, date, {', '.join(BATCH)}, (high + low + close) / 3 AS vwap, dayofweek(date) + 1 AS day_of_week,
+    close AS adjusted_close FROM ind WHERE {' AND '.join(f'{c} IS NOT NULL' for c in BATCH)}),
+bx AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS pos,
+    count(*) OVER (PARTITION BY symbol) AS n FROM bt),
+bf AS (SELECT symbol, {', '.join(f'min({c}) AS lo_{c}, max({c}) - min({c}) AS w_{c}' for c in SCALES)}
+  FROM bx WHERE pos < floor(n * 0.85) GROUP BY symbol),
+bs AS (SELECT symbol, date, pos, CASE WHEN pos < floor(n * 0.85) THEN 'train' ELSE 'test' END AS part,
+  {', '.join(f'({c} - lo_{c}) / CASE WHEN w_{c} = 0 THEN 1.0 ELSE w_{c} END AS scaled_{c}' for c in SCALES)}
+  FROM bx JOIN bf USING (symbol))"""
+DAILY_OF = f"""{SCORED}, {scored(['of', 'to', 'a'], ['the', 'and', 'is'], 'turned')},
+kept AS (SELECT symbol, date, avg(sentiment_compound) AS c, avg(sentiment_positive) AS p, avg(sentiment_negative) AS g,
+    count(*) AS k FROM scored WHERE date <= DATE '2024-01-20' GROUP BY symbol, date),
+came AS (SELECT symbol, date, avg(sentiment_compound) AS c, avg(sentiment_positive) AS p, count(*) AS k
+  FROM turned WHERE date >= DATE '2024-01-11' GROUP BY symbol, date)"""
+
 ORACLES: dict[str, str] = {
     "bars_daily": f"WITH {BARS} SELECT symbol, date, {rounded(OHLC)}, volume FROM bars",
     "clean_bars": f"""WITH {CLEAN} SELECT symbol, date, {rounded(OHLC)}, volume,
@@ -544,7 +601,45 @@ ORACLES: dict[str, str] = {
         {rounded({'ret': 6, 'vol': 6, 'sharpe': 6})} FROM mc""",
     "best_portfolio": f"""WITH {MC} SELECT CAST(portfolio AS INTEGER) AS portfolio,
         {rounded({'ret': 6, 'vol': 6, 'sharpe': 6})} FROM mc ORDER BY mc.sharpe DESC, mc.portfolio LIMIT 1""",
-    "portfolio_record": record(),
+    "model_decisions": f"""WITH RECURSIVE {JUDGED} SELECT model_version, {r('avg_sharpe', 4)} AS avg_sharpe,
+        {r('avg_accuracy', 3)} AS avg_accuracy, symbols, best_symbol, promoted FROM (
+        SELECT * FROM judged_naive UNION ALL SELECT * FROM judged_drift UNION ALL SELECT * FROM judged_reversal)""",
+    "batch_scoring": f"""WITH RECURSIVE {JUDGED}, {forecasts(60)} SELECT symbol, prediction_date, predicted_price,
+        confidence_lower, confidence_upper, confidence_score, model_version, sentiment_score, sentiment_label
+        FROM forecasts WHERE model_version = CASE WHEN (SELECT promoted FROM judged_reversal) THEN 'reversal'
+          WHEN (SELECT promoted FROM judged_drift) THEN 'drift' ELSE 'naive' END""",
+    "forecast_record": f"""WITH RECURSIVE {MATRIX}, {forecasts(10)} SELECT 'PREDICTION:' || upper(symbol) AS key,
+        TIMESTAMP '1998-12-01 01:00:00' AS expires_at, * FROM forecasts WHERE model_version = 'reversal'""",
+    "backtest_record": f"""WITH {tested(DRIFT)}, {METRICS}, eqc AS (SELECT *,
+        coalesce(product(1 + sr) OVER (PARTITION BY symbol ORDER BY tpos
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS eq FROM test),
+        charts AS (SELECT symbol, string_agg(date || '|' || {fixed(r('target', 4))} || '|' || {fixed(r('pred', 4))}
+          || '|' || {fixed(r('eq', 4))}, ';' ORDER BY date) AS chart
+          FROM eqc WHERE tpos % greatest(1, tn // 60) = 0 GROUP BY symbol)
+        SELECT metrics.*, chart FROM metrics JOIN charts USING (symbol)""",
+    "portfolio_record": f"""WITH one AS ({record()}), front AS (WITH {weighted(500)}, {moments_of('weights', 'mc')}
+          SELECT string_agg({fixed(r('ret * 100', 2))} || '|' || {fixed(r('vol * 100', 2))}, ';' ORDER BY portfolio) AS frontier FROM mc)
+        SELECT one.*, frontier FROM one, front""",
+    "sentiment_record": f"""WITH {ARTICLES}, firsts AS (SELECT symbol, string_agg(t, ';' ORDER BY t) AS articles FROM (
+          SELECT a.symbol, 'doc/' || doc_id || '|' || {fixed('sentiment_score')} || '|' || sentiment_label AS t,
+            row_number() OVER (PARTITION BY a.symbol ORDER BY doc_id) AS k FROM articles a) WHERE k <= 15 GROUP BY symbol)
+        SELECT persym.*, articles FROM persym JOIN firsts ON firsts.symbol = persym.symbol""",
+    "model_scaling": f"""WITH RECURSIVE {BATCH_SCALED} SELECT symbol, date, part,
+        {rounded({f'scaled_{c}': 6 for c in SCALES})} FROM bs""",
+    "model_sequences": f"""WITH RECURSIVE {BATCH_SCALED} SELECT a.symbol, a.date, CAST(count(*) AS INTEGER) AS len,
+        {len(SCALES) - 1} AS features,
+        {r('sum((' + ' + '.join(f'b.scaled_{c}' for c in SCALES[:-1]) + ') * (b.pos - a.pos + 61))', 3)} AS checksum,
+        {r('max(a.scaled_adjusted_close)', 6)} AS label
+        FROM bs a JOIN bs b ON a.symbol = b.symbol AND b.pos BETWEEN a.pos - 60 AND a.pos - 1
+        WHERE a.pos >= 60 GROUP BY a.symbol, a.date""",
+    "upsert_sentiment": f"""WITH {DAILY_OF} SELECT coalesce(a.symbol, b.symbol) AS symbol, coalesce(a.date, b.date) AS date,
+        {r('coalesce(b.c, a.c)', 6)} AS sentiment_compound, {r('coalesce(b.p, a.p)', 6)} AS sentiment_positive,
+        {r('a.g', 6)} AS sentiment_negative, coalesce(b.k, a.k) AS article_count
+        FROM kept a FULL JOIN came b ON a.symbol = b.symbol AND a.date = b.date""",
+    "run_log": f"""WITH {CLEAN}, t AS (SELECT count(*) AS stored FROM clean)
+        SELECT 'batch' AS dag_id, 'r1' AS run_id, 'ok' AS status, stored AS rows_processed,
+          CAST(NULL AS VARCHAR) AS error_message, stored FROM t
+        UNION ALL SELECT 'batch', 'r2', 'failed', 0, 'validation failed', stored FROM t""",
     "portfolio_horizons": " UNION ALL ".join(
         f"SELECT {days} AS days, * FROM ({record(days)})" for days in (60, 126, 252, 504)),
     "frontier": f"""WITH {weighted(500)}, {moments_of('weights', 'mc')}, {FRONTIER}

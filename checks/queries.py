@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions import signals, text
 from barline.functions.scalar import rounded, symbol_list
 from barline.operators import (
-    backtest, cleaning, forecast, indicators, market, merge, portfolio, quality, selection,
+    backtest, cleaning, forecast, indicators, market, merge, portfolio, quality, records, selection,
     sentiment, series,
 )
 from barline.plans import jobs
 from barline.session import shared_dir
 from barline.sinks import lake as lake_sink
+from barline.sinks.models import ModelStore
 from barline.sinks.warehouse import Warehouse
 from barline.sources import driver_tables as given
 from barline.sources import lake as lake_source
@@ -32,7 +34,6 @@ POS, NEG = ["the", "and", "is"], ["of", "to", "a"]
 AS_OF = "1998-12-01"
 TICK_AS_OF = "2024-01-30 23:50:00"
 PORTFOLIO_DAYS = 252
-TREES = 20
 
 
 def query(fn: Query) -> Query:
@@ -45,6 +46,18 @@ def query(fn: Query) -> Query:
     return run
 
 
+def plain_ntz(name: str) -> Column:
+    return F.col(name).cast("timestamp_ntz").alias(name)
+
+
+def _points(name: str, *fields: str) -> Column:
+    """A list of structs as text, numbers with four places."""
+    def one(x):
+        return F.concat_ws("|", *[x[f].cast("string") if f == "date" else x[f].cast("decimal(18,4)").cast("string") for f in fields])
+
+    return F.array_join(F.transform(name, one), ";")
+
+
 def plain_time(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in columns})
 
@@ -474,6 +487,32 @@ def upsert_predictions(spark, sf):
                           "confidence_score": 4, "sentiment_score": 4})
 
 
+@query
+def upsert_sentiment(spark, sf):
+    """Twenty days of daily sentiment, then twenty by another lexicon merged in: ten are in both."""
+    rows = given.headlines(spark, sf)
+    target = sentiment.daily_sentiment(rows.where("date <= '2024-01-20'"), text.lexicon(POS, NEG))
+    source = sentiment.daily_sentiment(rows.where("date >= '2024-01-11'"), text.lexicon(NEG, POS))
+    done = merge.upsert_sentiment(target, source.drop("sentiment_negative"))
+    return rounded(done, {f"sentiment_{n}": 6 for n in ("compound", "positive", "negative")})
+
+
+@query
+def run_log(spark, sf):
+    """A load that passes its gate, and one that a repeated key stops."""
+    tables = Warehouse(spark, _run_dir(spark, "warehouse"))
+    good = lake.cleaned(spark, sf)
+    for run, df in (("r1", good), ("r2", good.unionByName(good))):
+        path = _run_dir(spark, "processed")
+        df.write.parquet(path)
+        try:
+            jobs.load_warehouse(spark, path, tables, run)
+        except jobs.ValidationFailed:
+            pass
+    log = tables.runs().select("dag_id", "run_id", "status", "rows_processed", "error_message")
+    return log.crossJoin(tables.read("stock_prices").agg(F.count(F.lit(1)).alias("stored")))
+
+
 @query
 def latest_with_ttl(spark, sf):
     t = given.ticks(spark, sf).withColumn("user", F.concat_ws(":", F.lit("price"), "symbol"))
@@ -639,7 +678,8 @@ def _as_text(record):
 
 @query
 def portfolio_record(spark, sf):
-    return _as_text(portfolio.optimize(_returns(spark, sf)))
+    made = records.portfolio_record(_returns(spark, sf))
+    return _as_text(made.withColumn("frontier", _points("frontier", "ret", "vol")))
 
 
 @query
@@ -809,14 +849,93 @@ def forecast_signal(spark, sf):
 
 @query
 def gbt_forecast(spark, sf):
-    matrix = lake.matrix(spark, sf)
-    return forecast.forecast(matrix, forecast.fit(matrix, trees=TREES), AS_OF)
+    return forecast.forecast(lake.matrix(spark, sf), lake.trees(spark, sf), AS_OF)
 
 
 @query
 def gbt_backtest(spark, sf):
+    return backtest.backtest_metrics(forecast.backtest_predictions(lake.matrix(spark, sf), lake.trees(spark, sf)))
+
+
+def _judged(spark, sf):
+    """A store with three judged rules; only the first passes whatever its ratio is."""
+    store, day = ModelStore(spark, _run_dir(spark, "models")), dt.datetime(1998, 12, 1)
     matrix = lake.matrix(spark, sf)
-    return backtest.backtest_metrics(forecast.backtest_predictions(matrix, TREES))
+    for k, (name, gate) in enumerate((("naive", -1e9), ("drift", 0.8), ("reversal", 0.8))):
+        store.save(name, forecast.rule(name))
+        tested = backtest.backtest_metrics(forecast.backtest_predictions(matrix, store.load(name)))
+        store.decide(name, backtest.retrain_summary(tested, gate), day + dt.timedelta(days=k))
+    return store
+
+
+@query
+def model_decisions(spark, sf):
+    done = _judged(spark, sf).decisions()
+    return rounded(done.select("model_version", "avg_sharpe", "avg_accuracy", "symbols", "best_symbol", "promoted"),
+                   {"avg_sharpe": 4, "avg_accuracy": 3})
+
+
+@query
+def batch_scoring(spark, sf):
+    """Every symbol scored by the promoted version and merged into the table of predictions."""
+    tables = Warehouse(spark, _run_dir(spark, "warehouse"))
+    jobs.score_symbols(lake.cleaned(spark, sf), tables, _judged(spark, sf), AS_OF)
+    done = tables.read("predictions").drop("created_at")
+    return done.withColumns({c: F.col(c).cast("double") for c, t in done.dtypes if "decimal" in t})
+
+
+@query
+def forecast_record(spark, sf):
+    """The record as readers get it from the table of values that expire."""
+    made = forecast.forecast(lake.matrix(spark, sf), forecast.rule("reversal"), AS_OF, "reversal")
+    values = records.as_values(made, "prediction", F.lit(AS_OF))
+    schema = made.drop("model_trained_at").schema
+    back = values.select("key", F.from_json("value", schema).alias("r"), plain_ntz("expires_at"))
+    return back.select("key", "expires_at", "r.*")
+
+
+@query
+def backtest_record(spark, sf):
+    made = records.backtest_record(forecast.drift(_targets(spark, sf)))
+    return made.withColumn("chart", _points("chart", "date", "actual", "predicted", "equity"))
+
+
+@query
+def sentiment_record(spark, sf):
+    """Aggregates of all articles of a symbol and the first fifteen of them."""
+    rows = given.headlines(spark, sf)
+    scored = sentiment.score_articles(
+        rows.select("symbol", F.col("doc_id").alias("seq"), F.col("headline").alias("title"), F.lit("").alias("publisher"),
+                    "url", F.col("date").cast("string").alias("published_at")), text.compound(POS, NEG))
+    numbered = selection.first_rows(scored, 15, order=("seq",)).withColumn("seq", F.lit(0))
+    per_symbol = sentiment.symbol_sentiment(scored, rows)
+    made = records.sentiment_record(numbered, per_symbol, 15)
+    shown = F.array_join(F.sort_array(F.transform("articles", lambda a: F.concat_ws(
+        "|", a["url"], a["sentiment_score"].cast("decimal(18,4)").cast("string"), a["sentiment_label"]))), ";")
+    return made.withColumn("articles", shown)
+
+
+@query
+def model_scaling(spark, sf):
+    """All features of the batch model and its target, scaled by their train rows."""
+    columns = [*forecast.BATCH_FEATURES, forecast.BATCH_TARGET]
+    done = backtest.minmax_scale(lake.batch_rows(spark, sf), columns)
+    names = [f"scaled_{c}" for c in columns]
+    return rounded(done.select("symbol", "date", "part", *names), {c: 6 for c in names})
+
+
+@query
+def model_sequences(spark, sf):
+    """Sequences of all scaled features, reduced to a checksum: every value times its place."""
+    columns = [*forecast.BATCH_FEATURES, forecast.BATCH_TARGET]
+    scaled = backtest.minmax_scale(lake.batch_rows(spark, sf), columns)
+    s = backtest.lookback_sequences(scaled, [f"scaled_{c}" for c in forecast.BATCH_FEATURES], f"scaled_{forecast.BATCH_TARGET}")
+    total = F.aggregate(
+        F.flatten(F.transform("sequence", lambda x, i: F.transform(x, lambda v: v * (i + 1)))),
+        F.lit(0.0), lambda acc, v: acc + v,
+    )
+    return s.select("symbol", "date", F.size("sequence").alias("len"), F.size(F.col("sequence")[0]).alias("features"),
+                    F.round(total, 3).alias("checksum"), F.round("label", 6).alias("label"))
 
 
 # -- ticks ---------------------------------------------------------------------
