@@ -3,6 +3,7 @@ import json
 import os
 import subprocess
 import sys
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +70,76 @@ def test_late_rows_beyond_the_watermark_are_dropped(spark, tmp_path):
     assert got.agg(F.sum("ticks")).first()[0] == 3
 
 
+def test_late_rows_are_counted_and_folders_stay_few(spark, tmp_path):
+    path = tmp_path / "in"
+    path.mkdir()
+    table, progress, seen = str(tmp_path / "t"), str(tmp_path / "p"), ticks.LateRows()
+    spark.streams.addListener(seen)
+    # Minutes of the ticks of each file; the watermark trails the newest by ten minutes.
+    files = [[0, 5, 600], [30, 599, 601], [1, 2, 3, 700], [650, 800], [789, 795, 900], [10, 1000], [1100], [1200], [1300]]
+    try:
+        for k, minutes in enumerate(files):
+            (path / f"{k}.json").write_text("\n".join(message(i, symbol="A") for i in minutes))
+            bars_ = ticks.stream_bars(ticks.parse_ticks(ticks.read_text(spark, str(path))), "1 minute", "10 minutes")
+            query = ticks.write_updates(bars_, table, progress, keys=["symbol", "window_start"], every=2)
+            query.awaitTermination()
+        for _ in range(100):
+            if seen.batches.get(str(query.id), 0) == len(files):
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(seen)
+    # 30 < 590; 1, 2, 3 < 591; 650 < 690; 789 < 790; 10 < 890. 599 and 795 are in time.
+    assert seen.dropped[str(query.id)] == 1 + 3 + 1 + 1 + 1
+    got = ticks.current(spark, table, ["symbol", "window_start"])
+    assert got.agg(F.sum("ticks")).first()[0] == sum(map(len, files)) - 7
+    batches = [n for n in os.listdir(table) if n.startswith("batch=")]
+    spark.read.parquet(table).count()
+    assert len(batches) <= 5 and len(os.listdir(os.path.join(table, "_base"))) <= 2
+
+
+def test_a_retried_batch_merges_the_same(spark, tmp_path):
+    table = str(tmp_path / "t")
+    for k in range(6):
+        spark.createDataFrame([("A", k), (f"S{k}", k)], "symbol string, v long").write.parquet(f"{table}/batch={k}")
+        if k % 2:
+            ticks.compact(spark, table, ["symbol"], k)
+            ticks.compact(spark, table, ["symbol"], k)
+    want = [("A", 5), *[(f"S{k}", k) for k in range(6)]]
+    assert rows(ticks.current(spark, table, ["symbol"])) == want
+    # A base whose job was lost is not read.
+    os.makedirs(f"{table}/_base/v9")
+    assert rows(ticks.current(spark, table, ["symbol"])) == want
+
+
+def test_prices_expire_and_late_ticks_do_not_revive_them(spark, tmp_path):
+    path = tmp_path / "in"
+    path.mkdir()
+    table, progress = str(tmp_path / "t"), str(tmp_path / "p")
+
+    def tick(symbol, second, price):
+        return message(0, symbol=symbol, price=price, timestamp=(T + dt.timedelta(seconds=second)).isoformat())
+
+    def feed(k, *messages):
+        (path / f"{k}.json").write_text("\n".join(messages))
+        stream = ticks.live_prices(ticks.parse_ticks(ticks.read_text(spark, str(path))), late="10 seconds")
+        ticks.write_updates(stream, table, progress, keys=["symbol"], every=3).awaitTermination()
+        now = ticks.current(spark, table, ["symbol"])
+        return {r.symbol: r.price for r in now.where("live").collect()}
+
+    assert feed(0, tick("A", 0, 1.0), tick("A", 5, 2.0), tick("B", 3, 7.0)) == {"A": 2.0, "B": 7.0}
+    # An older tick within the watermark changes nothing.
+    assert feed(1, tick("A", 4, 9.0), tick("B", 40, 8.0)) == {"A": 2.0, "B": 8.0}
+    # A's 60 seconds end at 65; the watermark is 70.
+    assert feed(2, tick("C", 80, 3.0)) == {"B": 8.0, "C": 3.0}
+    # Late ticks of A, one of them newer than its last, are beyond the watermark.
+    assert feed(3, tick("A", 6, 5.0), tick("A", 66, 6.0), tick("C", 81, 4.0)) == {"B": 8.0, "C": 4.0}
+    # A tick that is new itself brings it back; B's time ends at 100.
+    assert feed(4, tick("A", 120, 11.0)) == {"A": 11.0, "C": 4.0}
+    gone = ticks.current(spark, table, ["symbol"]).where("NOT live").first()
+    assert (gone.symbol, gone.price, gone.expires_at - gone.timestamp) == ("B", None, dt.timedelta(seconds=60))
+
+
 def test_stream_latest_and_quality(spark, folder, tmp_path):
     latest = ticks.latest_ticks(ticks.parse_ticks(ticks.read_text(spark, folder)))
     table = str(tmp_path / "latest")
