@@ -1,8 +1,10 @@
-"""Keyed warehouse tables as versioned parquet folders.
+"""Keyed warehouse tables as parquet, partitioned by the year and month of their date.
 
-A merge reads the current version and writes a new one; a small pointer table
-then names it. Readers see the old version or the new one, never a mix, and a
-job lost half-way leaves the old version current.
+A merge lists the months of its source, reads and joins only those of the table, and
+replaces only them (Spark's dynamic partition overwrite); the files of all other months are
+neither read nor touched. The merged rows are staged first, as a table cannot be overwritten
+while it is read. A merge that is lost between two months is mended by running it again, which
+gives the same rows.
 """
 
 from __future__ import annotations
@@ -17,9 +19,9 @@ from pyspark.sql import types as T
 from barline.operators.merge import (
     upsert_indicators, upsert_predictions, upsert_prices, upsert_sentiment,
 )
-from barline.schemas import (
-    PIPELINE_RUNS, PREDICTIONS, SENTIMENT, STOCK_PRICES, TECHNICAL_INDICATORS, conform,
-)
+from barline.schemas import PIPELINE_RUNS, PREDICTIONS, SENTIMENT, STOCK_PRICES, TECHNICAL_INDICATORS
+from barline.session import stage
+from barline.sinks.lake import write_partitions
 
 TABLES = {
     "stock_prices": STOCK_PRICES,
@@ -30,38 +32,42 @@ TABLES = {
 }
 
 
+DATES = {"stock_prices": "date", "technical_indicators": "date", "predictions": "prediction_date", "sentiment": "date"}
+_MONTH = "year * 100 + month"
+
+
+def by_month(df: DataFrame, date: str) -> DataFrame:
+    return df.withColumns({"year": F.year(date), "month": F.month(date)})
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
 
-    def _version(self, name: str) -> int:
+    def _table(self, name: str) -> DataFrame:
+        """All rows with their year and month; empty before the first merge."""
+        schema = T.StructType([*TABLES[name], T.StructField("year", T.IntegerType()), T.StructField("month", T.IntegerType())])
         try:
-            row = self.spark.read.schema("version int").parquet(f"{self.path}/{name}/_current").agg(
-                F.max("version")
-            ).first()
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return 0
-        return row[0] or 0
+            return self.spark.createDataFrame([], schema)
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, since: str | None = None) -> DataFrame:
+        """A table's rows. With ``since``, only those of that day or later; months before it
+        are not opened."""
         if name == "pipeline_runs":
             return self.runs()
-        version = self._version(name)
-        if version == 0:
-            return self.spark.createDataFrame([], TABLES[name])
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.path}/{name}/v{version}")
-
-    def replace(self, name: str, df: DataFrame) -> None:
-        version = self._version(name) + 1
-        df.write.mode("overwrite").parquet(f"{self.path}/{name}/v{version}")
-        pointer = self.spark.range(1).select(F.lit(version).alias("version"))
-        pointer.write.mode("append").parquet(f"{self.path}/{name}/_current")
+        rows = self._table(name)
+        if since is not None:
+            first = 100 * int(since[:4]) + int(since[5:7])
+            rows = rows.where((F.expr(_MONTH) >= first) & (F.col(DATES[name]) >= F.lit(since).cast("date")))
+        return rows.select(*TABLES[name].names)
 
     def _merge(self, name: str, source: DataFrame, merge: Callable, order: Sequence[str]) -> int:
-        """Merge and return the number of source rows, counted in the same job.
+        """Merge and return the number of source rows, counted as they are staged.
         Rows that do not say when they were made get the time of the merge."""
         seen = Observation()
         stamps = {c: F.current_timestamp() for c in ("created_at", "ingested_at")
@@ -69,7 +75,14 @@ class Warehouse:
         counted = conform_available(source.withColumns(stamps), TABLES[name], order).observe(
             seen, F.count(F.lit(1)).alias("rows")
         )
-        self.replace(name, merge(self.read(name), counted, order))
+        came = stage(counted, f"{name}-source")
+        # As many rows as the source has months: a calendar bounds them.
+        months = [r[0] for r in by_month(came, DATES[name]).select(F.expr(_MONTH).alias("m")).distinct().collect()]
+        dated, undated = [m for m in months if m is not None], None in months
+        touched = F.expr(_MONTH).isin(dated) | (F.col("year").isNull() if undated else F.lit(False))
+        target = self._table(name).where(touched).select(*TABLES[name].names)
+        merged = stage(by_month(merge(target, came, order), DATES[name]), f"{name}-merged")
+        write_partitions(merged, f"{self.path}/{name}", "year", "month")
         return int(seen.get["rows"])
 
     def upsert_prices(self, source: DataFrame, order: Sequence[str] = ()) -> int:
@@ -112,5 +125,3 @@ def conform_available(df: DataFrame, schema: T.StructType, extra: Sequence[str]
     known = [F.col(f.name).cast(f.dataType) for f in schema if f.name in df.columns]
     return df.select(*known, *[c for c in extra if c not in schema.names])
 
-
-__all__ = ["TABLES", "Warehouse", "conform", "conform_available"]

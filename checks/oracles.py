@@ -529,6 +529,12 @@ ORACLES: dict[str, str] = {
         {r('coalesce(f.low, o.low)', 4)} AS low, {r('coalesce(o.close, f.close)', 4)} AS close,
         {r('coalesce(o.close, f.close)', 4)} AS adjusted_close, coalesce(o.volume, f.volume) AS volume
         FROM bars_f f FULL JOIN bars_o o ON f.symbol = o.symbol AND f.date = o.date""",
+    "warehouse_upserts": f"""WITH {STATUS} SELECT coalesce(f.symbol, o.symbol) AS symbol, coalesce(f.date, o.date) AS date,
+        {r('coalesce(f.open, o.open)', 4)} AS open, {r('coalesce(f.high, o.high)', 4)} AS high,
+        {r('coalesce(f.low, o.low)', 4)} AS low, {r('coalesce(o.close, f.close)', 4)} AS close,
+        {r('coalesce(o.close, f.close)', 4)} AS adjusted_close, coalesce(o.volume, f.volume) AS volume
+        FROM bars_f f FULL JOIN bars_o o ON f.symbol = o.symbol AND f.date = o.date
+        WHERE coalesce(f.date, o.date) >= DATE '1994-07-15'""",
     "upsert_indicators": f"""WITH {STATUS}, {banded('bars_f', 'f')}, {banded('bars_o', 'o')}
         SELECT coalesce(f.symbol, o.symbol) AS symbol, coalesce(f.date, o.date) AS date,
         {r('CASE WHEN o.symbol IS NULL THEN f.bb_upper ELSE o.bb_upper END', 4)} AS bb_upper,
@@ -699,6 +705,9 @@ ORACLES: dict[str, str] = {
     "stream_tick_bars": HOUR_BARS,
     "latest_tick": LATEST_TICK,
     "stream_latest": LATEST_TICK,
+    "stream_live_prices": f"""SELECT symbol, CASE WHEN live THEN price END AS price, timestamp, live FROM (
+        SELECT *, timestamp + INTERVAL 60 SECONDS >= (SELECT max(ts) FROM events) - INTERVAL 10 SECONDS AS live
+        FROM ({LATEST_TICK}))""",
     "topic_backlog": """WITH o AS (SELECT event_type AS topic, user_id, min(event_id) AS b, max(event_id) AS e
           FROM events GROUP BY 1, 2)
         SELECT topic, CAST(sum(greatest(0, e - b)) AS BIGINT) AS retained,

@@ -211,6 +211,17 @@ def warehouse_load(spark, sf):
     return done.withColumns({c: F.col(c).cast("double") for c, t in kinds.items() if "decimal" in t})
 
 
+@query
+def warehouse_upserts(spark, sf):
+    """Two overlapping feeds merged one after the other by touched months, and read from a day on."""
+    tables = Warehouse(spark, _run_dir(spark, "warehouse"))
+    columns = ["symbol", "date", *OHLC, "adjusted_close", "volume"]
+    for status in ("F", "O"):
+        tables.upsert_prices(lake.by_status(spark, sf, status).select(*columns))
+    done = tables.read("stock_prices", since="1994-07-15").select(*columns)
+    return done.withColumns({c: F.col(c).cast("double") for c, t in done.dtypes if "decimal" in t})
+
+
 @query
 def processed_roundtrip(spark, sf):
     path = _run_dir(spark, "processed")
@@ -1026,6 +1037,15 @@ def stream_latest(spark, sf):
     return plain_time(done, "timestamp")
 
 
+@query
+def stream_live_prices(spark, sf):
+    """Last price of each symbol, and whether it has expired when the stream ends."""
+    changes = tick_ops.live_prices(given.tick_columns(_event_stream(spark, sf)), late="10 seconds")
+    table = _finish(changes, spark, "live", keys=["symbol"], every=4)
+    done = tick_ops.current(spark, table, ["symbol"])
+    return plain_time(done.select("symbol", "price", "timestamp", "live"), "timestamp")
+
+
 @query
 def stream_quality(spark, sf):
     m = _messages(_event_stream(spark, sf))

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,7 +63,64 @@ def test_snapshot_expires(spark):
     assert merge.live(snap, F.lit(T + dt.timedelta(seconds=65))).count() == 0
 
 
-def test_warehouse_versions_and_log(spark, tmp_path):
+def files(path):
+    """Data files below a folder with the time they were written."""
+    return {os.path.join(d, n): os.stat(os.path.join(d, n)).st_mtime_ns
+            for d, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_merges_touch_only_their_months(spark, tmp_path):
+    w, path = Warehouse(spark, str(tmp_path)), str(tmp_path / "stock_prices")
+    rows = bars(spark, walk(400)).withColumn("adjusted_close", F.col("close"))
+    w.upsert_prices(rows)
+    before = files(path)
+    assert len(before) == 14  # one file a month
+    day = dt.date(1990, 3, 5)
+    change = spark.createDataFrame([("A", day, 5.0, 5), ("B", dt.date(1993, 7, 1), 6.0, 6)],
+                                   "symbol string, date date, close double, volume long")
+    assert w.upsert_prices(change) == 2
+    after = files(path)
+    kept = {f: t for f, t in after.items() if f in before}
+    assert len(kept) == 13 and all(before[f] == t for f, t in kept.items())
+    new = sorted(f for f in after if f not in before)
+    assert ["year=1990/month=3" in f for f in new] == [True, False] and "year=1993/month=7" in new[1]
+    got = w.read("stock_prices")
+    assert got.count() == 401
+    changed = got.where(F.col("date") == day).first()
+    assert (float(changed.close), changed.volume) == (5.0, 5) and float(changed.open) != 5.0
+    late = w.read("stock_prices", since="1991-01-15")
+    assert late.count() == 22 and "PartitionFilters: [isnotnull" in late._jdf.queryExecution().executedPlan().toString()
+    # A row without a date conflicts with nothing and is kept.
+    assert w.upsert_sentiment(spark.createDataFrame([("A", None, 0.5)], "symbol string, date date, sentiment_compound double")) == 1
+    assert w.upsert_sentiment(spark.createDataFrame([("A", D, 0.5)], "symbol string, date date, sentiment_compound double")) == 1
+    assert w.read("sentiment").count() == 2
+    assert w.upsert_prices(change.limit(0)) == 0 and files(path) == after
+
+
+@pytest.mark.parametrize("days", [60, 600])
+def test_directories_get_one_file_until_they_are_large(spark, tmp_path, days):
+    df = bars(spark, walk(days)).union(bars(spark, walk(days), symbol="B")).repartition(7)
+    df = df.withColumns({"year": F.year("date"), "month": F.month("date")})
+    write_processed(df, str(tmp_path / "p"))
+    write_raw(df.drop("year", "month"), str(tmp_path / "r"), F.lit("2024-01-01").cast("date"))
+    found = files(str(tmp_path / "p"))
+    assert len(found) == len({os.path.dirname(f) for f in found}) == 2 * len({(d.year, d.month) for d in (
+        dt.date(1990, 1, 1) + dt.timedelta(days=i) for i in range(days))})
+    assert len(files(str(tmp_path / "r"))) == 2
+
+
+def test_a_large_directory_is_split(spark, tmp_path):
+    df = spark.range(200_000).select(F.lit("A").alias("symbol"), F.rand(1).alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        write_raw(df, str(tmp_path / "r"), F.lit("2024-01-01").cast("date"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(files(str(tmp_path / "r"))) > 1
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 200_000
+
+
+def test_warehouse_merges_and_log(spark, tmp_path):
     w = Warehouse(spark, str(tmp_path))
     assert w.read("stock_prices").count() == 0
     first = bars(spark, [1.0, 2.0]).withColumn("adjusted_close", F.col("close"))
