@@ -5,12 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.functions.scalar import ratio
+from barline.operators import blocks
 from barline.operators.backtest import YEAR_DAYS
 from barline.operators.series import LENGTH, POS
 from barline.session import stage
@@ -18,8 +17,6 @@ from barline.session import stage
 # Sampling defaults, horizons offered and their bounds.
 RISK_FREE, DRAWS, SEED, FRONTIER_POINTS = 0.02, 10_000, 42, 500
 HORIZONS, MIN_DAYS, MAX_DAYS = (60, 126, 252, 504), 60, 504
-# Largest matrix that every executor gets whole.
-BROADCAST_BYTES = 32 << 20
 
 
 def log_returns(bars: DataFrame) -> DataFrame:
@@ -79,40 +76,17 @@ def annual_mean(returns: DataFrame) -> DataFrame:
     return returns.groupBy("symbol").agg((F.avg("r") * YEAR_DAYS).alias("ann_mean"))
 
 
-def covariance_rows(returns: DataFrame) -> DataFrame:
-    """Per asset its yearly sample covariances with all assets, as an array in
-    asset order: ``(asset, ann_mean, assets, cov_row)``.
-
-    Each centred return meets its position's vector of returns and scales it;
-    the scaled vectors are summed per asset, map-side first. So no row stands
-    for an asset pair, and what is shuffled is as large as the matrix. All
-    assets need the same positions, as aligned returns have.
-    """
-    stats = returns.groupBy("symbol").agg(F.avg("r").alias("_mean"), F.count("r").alias("_rows"))
-    centred = returns.join(stats, "symbol").selectExpr(
-        "symbol AS asset", "rn", "r - _mean AS _d", "_mean", "_rows"
-    )
-    vectors = centred.groupBy("rn").agg(
-        F.sort_array(F.collect_list(F.struct("asset", "_d"))).alias("_v")
-    )
-    scaled = centred.join(vectors, "rn").selectExpr(
-        "asset", "_mean", "_rows", "_v.asset AS assets", "transform(_v._d, x -> x * _d) AS _x"
-    )
-    summed = scaled.groupBy("asset").agg(
-        (F.max("_mean") * YEAR_DAYS).alias("ann_mean"),
-        F.max("assets").alias("assets"),
-        F.max("_rows").alias("_rows"),
-        vector_to_array(Summarizer.sum(array_to_vector("_x"))).alias("_sums"),
-    )
-    yearly = f"transform(_sums, x -> x * {YEAR_DAYS} / (_rows - 1))"
-    return summed.selectExpr("asset", "ann_mean", "assets", f"{yearly} AS cov_row")
-
-
 def annual_covariance(returns: DataFrame) -> DataFrame:
-    """The matrix as rows ``(asset_i, asset_j, cov)``."""
-    return covariance_rows(returns).selectExpr(
-        "asset AS asset_i", "inline(arrays_zip(assets, cov_row)) AS (asset_j, cov)"
-    )
+    """The yearly sample covariance matrix as rows ``(asset_i, asset_j, cov)``."""
+    named = blocks.numbers(returns)
+    stats = returns.groupBy("symbol").count().agg(F.max("count").alias("n")).scalar()
+    found = blocks.covariance_blocks(blocks.return_blocks(returns, named, YEAR_DAYS))
+    cells = found.select("i", "j", F.posexplode("cells").alias("at", "x"))
+    cells = cells.selectExpr("i", "j", f"CAST(at DIV {blocks.ASSETS} AS INT) AS p", f"CAST(at % {blocks.ASSETS} AS INT) AS q", "x")
+    both = cells.unionByName(cells.where("i < j").selectExpr("j AS i", "i AS j", "q AS p", "p AS q", "x"))
+    first, second = (named.selectExpr(f"asset AS asset_{k}", f"block AS {k}", f"place AS {c}") for k, c in (("i", "p"), ("j", "q")))
+    rows = both.join(first, ["i", "p"]).join(second, ["j", "q"])
+    return rows.select("asset_i", "asset_j", (F.col("x") * YEAR_DAYS / (stats - 1)).alias("cov"))
 
 
 def uniform(key: str) -> str:
@@ -121,88 +95,47 @@ def uniform(key: str) -> str:
     return f"(CAST(conv(substring(md5({key}), 1, 13), 16, 10) AS BIGINT) + 1) / {float(1 << 52)}D"
 
 
-def _basket(returns: DataFrame) -> DataFrame:
-    """The asset names in order, as one row. A basket is a user's list."""
-    return returns.agg(F.sort_array(F.collect_set("symbol")).alias("assets"))
-
-
-def random_vectors(returns: DataFrame, draws: int = DRAWS, seed: int = SEED) -> DataFrame:
-    """``draws`` vectors ``(portfolio, assets, draw, total)``: a unit-mean
-    exponential per asset and their sum; a weight is ``draw / total``. Each
-    vector is made within its row, so they spread over all tasks without a
-    shuffle."""
-    key = f"concat('{int(seed)}:', portfolio, ':', a)"
-    rows = returns.sparkSession.range(draws).select(
-        F.col("id").cast("int").alias("portfolio"), _basket(returns).scalar().alias("assets")
-    )
-    return _with_total(rows.withColumn("draw", F.expr(f"transform(assets, a -> -ln({uniform(key)}))")))
-
-
-def equal_vector(returns: DataFrame) -> DataFrame:
-    rows = _basket(returns).selectExpr("-1 AS portfolio", "assets")
-    return _with_total(rows.withColumn("draw", F.expr("transform(assets, a -> 1D)")))
-
-
-def _with_total(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("total", F.expr("aggregate(draw, 0D, (acc, x) -> acc + x)"))
-
-
-def weights_of(vectors: DataFrame) -> DataFrame:
-    """Vectors as rows ``(portfolio, asset, w)``."""
-    rows = vectors.selectExpr("portfolio", "total", "inline(arrays_zip(assets, draw)) AS (asset, d)")
-    return rows.selectExpr("portfolio", "asset", "d / total AS w")
+def _draw(seed: int) -> str:
+    """SQL for a unit-mean exponential of portfolio ``p`` and asset ``a``."""
+    return f"-ln({uniform(f"concat('{int(seed)}:', p, ':', a)")})"
 
 
 def random_weights(returns: DataFrame, draws: int = DRAWS, seed: int = SEED) -> DataFrame:
-    return weights_of(random_vectors(returns, draws, seed))
+    """``draws`` portfolios as rows ``(portfolio, asset, w)``: exponentials over their sum."""
+    assets = returns.select(F.col("symbol").alias("a")).distinct()
+    rows = assets.select("a", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("p")).withColumn("draw", F.expr(_draw(seed)))
+    totals = rows.groupBy("p").agg(F.sum("draw").alias("total"))
+    return rows.join(totals, "p").selectExpr("p AS portfolio", "a AS asset", "draw / total AS w")
 
 
 def equal_weights(returns: DataFrame) -> DataFrame:
-    return weights_of(equal_vector(returns))
-
-
-def asset_stats(returns: DataFrame) -> DataFrame:
-    """Per asset its yearly mean and its covariance row, staged."""
-    return stage(covariance_rows(returns).select("asset", "ann_mean", "cov_row"), "asset_stats")
+    assets = returns.select(F.col("symbol").alias("asset")).distinct()
+    count = assets.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return assets.select(F.lit(-1).alias("portfolio"), "asset", (1 / count).alias("w"))
 
 
-def vectors_of(weights: DataFrame) -> DataFrame:
-    """Weight rows ``(portfolio, asset, w)`` as vectors."""
-    pairs = F.sort_array(F.collect_list(F.struct("asset", "w")))
-    packed = weights.groupBy("portfolio").agg(pairs.alias("_v"))
-    return packed.selectExpr("portfolio", "_v.asset AS assets", "_v.w AS draw", "1D AS total")
-
-
-def _sized(stats: DataFrame) -> DataFrame:
-    """Covariance rows are broadcast up to ``BROADCAST_BYTES``; beyond that both
-    sides are sorted. Spark's own choice would build on the draws, whose size it
-    takes from a range of ids."""
-    assets = stats.count()
-    return F.broadcast(stats) if 8 * assets * assets <= BROADCAST_BYTES else stats.hint("merge")
-
+def _moments(sums: DataFrame, risk_free: float) -> DataFrame:
+    """Return, volatility and Sharpe ratio per portfolio, its weights scaled to one."""
+    scaled = sums.selectExpr("portfolio", "mean / total AS ret", "sqrt(greatest(variance, 0D)) / total AS vol")
+    sharpe = F.when(F.col("vol") > 1e-10, (F.col("ret") - risk_free) / F.col("vol"))
+    return scaled.withColumn("sharpe", F.coalesce(sharpe, F.lit(0.0)))
 
-def vector_moments(vectors: DataFrame, stats: DataFrame, risk_free: float = RISK_FREE) -> DataFrame:
-    """Return, volatility and Sharpe ratio per portfolio.
 
-    Each asset of a vector meets its covariance row next to the whole vector,
-    so the quadratic form costs one join on the asset, and the rows of a
-    portfolio, which share a task, are summed before any shuffle.
-    """
-    rows = vectors.selectExpr(
-        "portfolio", "total", "draw", "inline(arrays_zip(assets, draw)) AS (asset, d)"
-    ).join(_sized(stats), "asset")
-    dot = "aggregate(zip_with(draw, cov_row, (a, b) -> a * b), 0D, (acc, x) -> acc + x)"
-    sums = rows.groupBy("portfolio").agg(
-        F.expr("sum(d * ann_mean) / max(total)").alias("ret"),
-        F.expr(f"sqrt(greatest(sum(d * {dot}), 0D)) / max(total)").alias("vol"),
-    )
-    sharpe = F.when(F.col("vol") > 1e-10, (F.col("ret") - risk_free) / F.col("vol"))
-    return sums.withColumn("sharpe", F.coalesce(sharpe, F.lit(0.0)))
+def draw_moments(returns: DataFrame, draws: int = DRAWS, seed: int = SEED, risk_free: float = RISK_FREE,
+                 equal: bool = False) -> DataFrame:
+    """Moments of the drawn portfolios and, as number -1, of ``equal`` weights."""
+    named = blocks.numbers(returns)
+    weights = blocks.drawn_blocks(named, draws, _draw(seed))
+    if equal:
+        weights = weights.unionByName(blocks.given_blocks(equal_weights(returns), named))
+    return _moments(blocks.portfolio_sums(weights, blocks.return_blocks(returns, named, YEAR_DAYS), YEAR_DAYS), risk_free)
 
 
 def portfolio_moments(weights: DataFrame, returns: DataFrame, risk_free: float = RISK_FREE) -> DataFrame:
-    """The same for given weights ``(portfolio, asset, w)``."""
-    return vector_moments(vectors_of(weights), asset_stats(returns), risk_free)
+    """Moments of given weights ``(portfolio, asset, w)``."""
+    named = blocks.numbers(returns)
+    found = blocks.portfolio_sums(blocks.given_blocks(weights, named), blocks.return_blocks(returns, named, YEAR_DAYS), YEAR_DAYS)
+    return _moments(found, risk_free)
 
 
 def best_portfolio(moments: DataFrame) -> DataFrame:
@@ -217,9 +150,7 @@ def optimize(returns: DataFrame, draws: int = DRAWS, seed: int = SEED,
              risk_free: float = RISK_FREE) -> DataFrame:
     """The response record: best weights, moments, equal-weight baseline and
     the improvement. Fewer than two assets give no row."""
-    vectors = random_vectors(returns, draws, seed)
-    both = vectors.unionByName(equal_vector(returns))
-    moments = vector_moments(both, asset_stats(returns), risk_free)
+    moments = draw_moments(returns, draws, seed, risk_free, equal=True)
     sampled = F.col("portfolio") >= 0
     rank = F.when(sampled, F.struct("sharpe", (-F.col("portfolio")).alias("first")))
     picked = moments.agg(
@@ -239,10 +170,14 @@ def optimize(returns: DataFrame, draws: int = DRAWS, seed: int = SEED,
         ).alias("sharpe_improvement"),
     )
     used = returns.agg((F.max("rn") + 1).alias("days_used")).scalar()
-    chosen = vectors.join(record, "portfolio").where(F.size("assets") >= 2)
+    # Of all portfolios only the best is drawn again, asset by asset.
+    assets = returns.select(F.col("symbol").alias("a")).distinct()
+    drawn = assets.withColumn("p", record.select("portfolio").scalar()).withColumn("draw", F.expr(_draw(seed)))
+    listed = drawn.agg(F.sort_array(F.collect_list(F.struct("a", "draw"))).alias("v"), F.sum("draw").alias("total"))
+    chosen = listed.join(record, F.size("v") >= 2)
     return chosen.select(
-        F.col("assets").alias("symbols"),
-        F.transform("draw", lambda d: F.round(d / F.col("total"), 4)).alias("weights"),
+        F.col("v.a").alias("symbols"),
+        F.transform("v", lambda x: F.round(x["draw"] / F.col("total"), 4)).alias("weights"),
         *[c for c in record.columns if c != "portfolio"],
         used.alias("days_used"),
     )
@@ -260,8 +195,7 @@ def optimize_horizons(bars: DataFrame, horizons: Sequence[int] = HORIZONS,
 
 def frontier(returns: DataFrame, points: int = FRONTIER_POINTS, seed: int = SEED) -> DataFrame:
     """Percent return and volatility of the first ``points`` draws."""
-    moments = vector_moments(random_vectors(returns, points, seed), asset_stats(returns))
-    return moments.select(
+    return draw_moments(returns, points, seed).select(
         "portfolio", F.round(F.col("ret") * 100, 2).alias("ret"),
         F.round(F.col("vol") * 100, 2).alias("vol"),
     )

@@ -669,14 +669,14 @@ def equal_weight_sharpe(spark, sf):
 @query
 def mc_portfolios(spark, sf):
     r = _returns(spark, sf)
-    m = portfolio.vector_moments(portfolio.random_vectors(r), portfolio.asset_stats(r))
+    m = portfolio.draw_moments(r)
     return rounded(m, {"ret": 6, "vol": 6, "sharpe": 6})
 
 
 @query
 def best_portfolio(spark, sf):
     r = _returns(spark, sf)
-    m = portfolio.vector_moments(portfolio.random_vectors(r), portfolio.asset_stats(r))
+    m = portfolio.draw_moments(r)
     return rounded(portfolio.best_portfolio(m), {"ret": 6, "vol": 6, "sharpe": 6})
 
 

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.functions import signals, text
-from barline.operators import backtest, forecast, portfolio, sentiment
+from barline.operators import backtest, blocks, forecast, portfolio, sentiment
 from barline.operators.series import BLOCK, index_series
 from tests.helpers import START, bars, by_date, walk
 
@@ -283,16 +283,34 @@ def test_a_new_listing_or_a_zero_price_empties_no_portfolio(spark):
     assert [r[0] for r in only.select("symbol").distinct().collect()] == ["B"]
 
 
-def test_large_matrices_are_not_broadcast(spark, monkeypatch):
+def test_large_blocks_are_not_broadcast(spark, monkeypatch):
     rows = indexed(spark, walk(70)).unionByName(indexed(spark, walk(70, seed=8), symbol="B"))
     returns = portfolio.aligned_returns(portfolio.align_positions(rows, 60))
-    stats, vectors = portfolio.asset_stats(returns), portfolio.random_vectors(returns, 20)
-    near = by_portfolio(portfolio.vector_moments(vectors, stats))
-    monkeypatch.setattr(portfolio, "BROADCAST_BYTES", 0)
-    far = portfolio.vector_moments(vectors, stats)
-    assert "BuildLeft" not in far._jdf.queryExecution().toString()
+    near = by_portfolio(portfolio.draw_moments(returns, 20))
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    far = portfolio.draw_moments(returns, 20)
+    assert "BroadcastHashJoin" not in far._jdf.queryExecution().toString()
     assert np.allclose(near, by_portfolio(far))
 
 
+def test_blocks_of_any_size_give_the_whole_matrix(spark, monkeypatch):
+    """Many small blocks: baskets and positions that no block holds alone."""
+    for name, size in (("ASSETS", 8), ("DAYS", 16), ("DRAWS", 4), ("HELD", 3)):
+        monkeypatch.setattr(blocks, name, size)
+    rng = np.random.default_rng(3)
+    m = rng.standard_normal((61, 37)) / 100
+    names = [f"N{i:02d}" for i in range(37)]
+    rows = [(names[j], i + 1, float(m[i, j])) for i in range(61) for j in range(37)]
+    r = spark.createDataFrame(rows, "symbol string, rn int, r double").repartition(5)
+    cov = portfolio.annual_covariance(r).toPandas().pivot(index="asset_i", columns="asset_j", values="cov")
+    assert list(cov.index) == names and np.allclose(cov.to_numpy(), np.cov(m.T) * 252, rtol=1e-9, atol=1e-12)
+    w = portfolio.random_weights(r, 11).toPandas().pivot(index="portfolio", columns="asset", values="w").to_numpy()
+    got = portfolio.draw_moments(r, 11, equal=True).toPandas().sort_values("portfolio")
+    w = np.vstack([np.full(37, 1 / 37), w])
+    assert list(got["portfolio"]) == [-1, *range(11)]
+    assert np.allclose(got["ret"], w @ m.mean(axis=0) * 252)
+    assert np.allclose(got["vol"], np.sqrt(np.einsum("pi,ij,pj->p", w, np.cov(m.T) * 252, w)))
+
+
 def by_portfolio(moments):
     return moments.toPandas().sort_values("portfolio").to_numpy(float)
