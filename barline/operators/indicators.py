@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from barline.operators.series import (
     BLK, BLOCK, BLOCK_OF, KEY, OFFSET, POS, Recurrence, index_series, keyless, over_block,
-    over_earlier_blocks, over_trailing, smoothing, warm, with_block, with_halo,
+    earlier_blocks, over_trailing, smoothing, warm, with_block, with_halo,
 )
 from barline.schemas import INDICATORS
 
@@ -77,9 +77,9 @@ def _carries(bars: DataFrame) -> DataFrame:
     zero = ", ".join(f"'{n}', 0D" for n in names)
     moved = ", ".join(f"'{n}', {step[n]}" for n in names)
     reach = max(r.reach for r in rec.values())
-    earlier = f"collect_list(struct({', '.join(names)})) {over_earlier_blocks(reach)}"
-    fold = f"aggregate({earlier}, named_struct({zero}), (a, x) -> named_struct({moved}))"
-    return totals.selectExpr(KEY, BLK, f"{fold} AS _carry")
+    listed = earlier_blocks(totals, f"struct({', '.join(names)})", "_earlier", reach)
+    fold = f"aggregate(_earlier, named_struct({zero}), (a, x) -> named_struct({moved}))"
+    return listed.selectExpr(KEY, BLK, f"{fold} AS _carry")
 
 
 def _locals(own: bool) -> list[str]:

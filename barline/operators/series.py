@@ -8,7 +8,9 @@ its past reaches it in one of two ways:
 * a halo: the last rows of the previous block are copied into it, enough for
   every fixed-length frame;
 * a carry: one summary row per block is scanned in block order, and the result
-  is joined back on ``(key, block)``.
+  is joined back on ``(key, block)``. Blocks are scanned by chapters of ``CHAPTER`` blocks:
+  a state that fades reads a halo of block summaries from the chapter before, one that does
+  not takes the scan of whole chapters as its start. So no task gets all blocks of a series.
 """
 
 from __future__ import annotations
@@ -24,6 +26,11 @@ from pyspark.sql import functions as F
 BLOCK_BITS = 9
 BLOCK = 1 << BLOCK_BITS
 
+# Blocks per chapter, as a power of two.
+CHAPTER_BITS = 9
+# Rows of a bucket that one task sorts; a larger one is cut into so many pieces by its counts.
+BUCKET_ROWS, PIECES = 1 << 14, 64
+
 KEY, POS, LENGTH, BLK = "symbol", "pos", "n", "blk"
 
 
@@ -39,12 +46,16 @@ def index_series(
 
     ``order`` must be unique within a key. Rows without a key or an order have
     no place in a series and are left out; ``keyless`` has them. ``bucket`` cuts a series into pieces
-    that one task can sort; it must not decrease with ``order``. The default,
-    the calendar year, holds at most 366 rows of daily data; pass a finer one
-    for intraday rows. Only one row per bucket is scanned across a whole key.
+    that one task can sort; it must not decrease with ``order``. The default is the calendar
+    year: at most 366 rows if ``order`` is a date. A time has no such bound, so years
+    of more than ``BUCKET_ROWS`` rows are cut where their counts say; see ``measured_buckets``.
+    Only one row per bucket is scanned across a whole key.
     """
     rows = df.where(F.col(key).isNotNull() & F.col(order).isNotNull())
-    bucketed = rows.withColumn("_bucket", F.year(order) if bucket is None else bucket)
+    if bucket is None and dict(df.dtypes)[order] != "date":
+        bucketed = measured_buckets(rows, key, order)
+    else:
+        bucketed = rows.withColumn("_bucket", F.year(order) if bucket is None else bucket)
     summary = [F.count(F.lit(1)).alias("_rows")]
     for c in neighbours:
         summary += [F.min_by(c, order).alias(f"_first_{c}"), F.max_by(c, order).alias(f"_last_{c}")]
@@ -84,6 +95,24 @@ def index_series(
     )
 
 
+def measured_buckets(rows: DataFrame, key: str = KEY, order: str = "timestamp") -> DataFrame:
+    """Add ``_bucket``: the year, and within a year of more than ``BUCKET_ROWS`` rows the piece.
+
+    Pieces end at quantiles of the year's own times, so they hold about as many rows each,
+    however the rows crowd. Quantiles come from a sketch that is combined map-side; where they
+    lie decides only who sorts a row, never its position.
+    """
+    time = F.unix_micros(F.col(order).cast("timestamp"))
+    timed = rows.withColumns({"_year": F.year(order), "_time": time})
+    shares = [k / PIECES for k in range(1, PIECES)]
+    ends = timed.groupBy(key, "_year").agg(
+        F.count(F.lit(1)).alias("_rows"), F.percentile_approx("_time", shares, 1000).alias("_ends")
+    ).select(key, "_year", F.when(F.col("_rows") > BUCKET_ROWS, F.col("_ends")).alias("_ends"))
+    passed = " + ".join(f"CAST(_time > _ends[{k}] AS INT)" for k in range(PIECES - 1))
+    piece = f"_year * {2 * PIECES} + CASE WHEN _ends IS NULL THEN 0 ELSE {passed} END"
+    return timed.join(ends, [key, "_year"]).selectExpr(*rows.columns, f"{piece} AS _bucket")
+
+
 def keyless(df: DataFrame, key: str = KEY, order: str = "date") -> DataFrame:
     """The rows that ``index_series`` leaves out."""
     return df.where(F.col(key).isNull() | F.col(order).isNull())
@@ -123,10 +152,33 @@ def over_trailing(rows: int, key: str = KEY) -> str:
     return over_block(f"ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW", key)
 
 
-def over_earlier_blocks(reach: int | None = None, key: str = KEY) -> str:
-    """Block summaries before the current one, at most ``reach`` of them."""
-    start = "UNBOUNDED" if reach is None else str(reach)
-    return f"OVER (PARTITION BY {key} ORDER BY {BLK} ROWS BETWEEN {start} PRECEDING AND 1 PRECEDING)"
+def earlier_blocks(totals: DataFrame, value: str, out: str, reach: int, key: str = KEY) -> DataFrame:
+    """Add ``out``, the list of ``value`` of the ``reach`` blocks before each, in order.
+
+    A chapter also gets the summaries that its first blocks reach back to.
+    """
+    homes = f"sequence(shiftright({BLK}, {CHAPTER_BITS}), shiftright({BLK} + {reach}, {CHAPTER_BITS}))"
+    placed = totals.selectExpr("*", f"explode({homes}) AS _chapter")
+    over = f"OVER (PARTITION BY {key}, _chapter ORDER BY {BLK} ROWS BETWEEN {reach} PRECEDING AND 1 PRECEDING)"
+    listed = placed.selectExpr("*", f"collect_list({value}) {over} AS {out}")
+    return listed.where(f"_chapter = shiftright({BLK}, {CHAPTER_BITS})").drop("_chapter")
+
+
+def over_all_earlier(blocks: DataFrame, value: Column, out: str, kind: str, key: str = KEY) -> DataFrame:
+    """Add ``out``, the product or max (``kind``) of ``value`` over all blocks before each.
+
+    Two levels: within its chapter, and over whole chapters before it.
+    """
+    combine = {"product": F.product, "max": F.max}[kind]
+    chapter = Window.partitionBy(key, "_chapter")
+    before = chapter.orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
+    placed = blocks.withColumn("_chapter", F.shiftright(BLK, CHAPTER_BITS)).withColumn("_v", value)
+    within = placed.withColumn("_within", combine("_v").over(before))
+    across = Window.partitionBy(key).orderBy("_chapter").rowsBetween(Window.unboundedPreceding, -1)
+    whole = placed.groupBy(key, "_chapter").agg(combine("_v").alias("_whole"))
+    starts = whole.select(key, "_chapter", combine("_whole").over(across).alias("_start"))
+    both = {"product": "coalesce(_start, 1D) * coalesce(_within, 1D)", "max": "greatest(_start, _within)"}[kind]
+    return within.join(starts, [key, "_chapter"]).selectExpr(*blocks.columns, f"{both} AS {out}")
 
 
 def warm(value: str, rows: int) -> str:
@@ -202,9 +254,8 @@ def ewm(df: DataFrame, value: str, alpha: float, out: str, min_rows: int = 1, st
     """
     r = smoothing(value, alpha, start)
     totals = df.groupBy(key, F.expr(BLOCK_OF).alias(BLK)).agg(F.expr(r.total()).alias("_total"))
-    earlier = f"collect_list(_total) {over_earlier_blocks(r.reach, key)}"
-    fold = f"aggregate({earlier}, 0D, (a, x) -> a * {r.block_decay}D + x)"
-    carries = totals.selectExpr(key, BLK, f"{fold} AS _carry")
+    fold = f"aggregate(_earlier, 0D, (a, x) -> a * {r.block_decay}D + x)"
+    carries = earlier_blocks(totals, "_total", "_earlier", r.reach, key).selectExpr(key, BLK, f"{fold} AS _carry")
     local = with_block(df).withColumn("_local", F.expr(r.local(key)))
     y = warm(r.full("_local", "_carry"), start + min_rows)
     return local.join(carries, [key, BLK]).selectExpr(*df.columns, f"{y} AS {out}")
@@ -220,28 +271,26 @@ def running_product(df: DataFrame, factor: str, out: str, key: str = KEY,
     block = Window.partitionBy(key, BLK).orderBy(POS)
     up_to = block.rowsBetween(Window.unboundedPreceding, 0)
     ahead = block.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = Window.partitionBy(key).orderBy(BLK).rowsBetween(Window.unboundedPreceding, -1)
     one = F.lit(1.0)
     local = with_block(df).withColumn("_p", F.product(factor).over(up_to))
-    ends = [F.max_by("_p", POS).alias("_end")]
     made = [f"_c * _p AS {out}"]
     if before:
         local = local.withColumn("_b", F.coalesce(F.product(factor).over(ahead), one))
         made.append(f"_c * _b AS {before}")
+    kept = ["_c"]
     if peak:
         # A carry may be negative, so the peak of a scaled block can come from
         # its lowest local product.
         local = local.withColumns({"_hi": F.max("_p").over(up_to), "_lo": F.min("_p").over(up_to)})
-        ends += [F.max("_p").alias("_top"), F.min("_p").alias("_bottom")]
         made.append(f"greatest(_peak, _c * _hi, _c * _lo) AS {peak}")
-    carries = (
-        local.groupBy(key, BLK)
-        .agg(*ends)
-        .withColumn("_c", F.coalesce(F.product("_end").over(blocks), one))
-    )
-    kept = ["_c"]
-    if peak:
+        ends = local.groupBy(key, BLK).agg(
+            F.max_by("_p", POS).alias("_end"), F.max("_p").alias("_top"), F.min("_p").alias("_bottom"))
+        carries = over_all_earlier(ends, F.col("_end"), "_c", "product", key)
         top = F.greatest(F.col("_c") * F.col("_top"), F.col("_c") * F.col("_bottom"))
-        carries = carries.withColumn("_peak", F.max(top).over(blocks))
+        carries = over_all_earlier(carries, top, "_peak", "max", key)
         kept.append("_peak")
+    else:
+        # A product per block needs no order, so it is combined map-side from the rows.
+        ends = with_block(df).groupBy(key, BLK).agg(F.product(factor).alias("_end"))
+        carries = over_all_earlier(ends, F.col("_end"), "_c", "product", key)
     return local.join(carries.select(key, BLK, *kept), [key, BLK]).selectExpr(*df.columns, *made)

@@ -150,3 +150,57 @@ def test_bars_without_a_key_are_kept(spark):
     assert got.count() == 63
     assert got.where("symbol IS NULL").count() == 2 and got.where("date IS NULL").count() == 1
     assert got.where("symbol IS NULL OR date IS NULL").where("atr_14 IS NOT NULL").count() == 0
+
+
+def long_series(spark, rows, symbol="A"):
+    """Closes that come from the row number, numbered already."""
+    x = 100 + 10 * np.sin(np.arange(rows) / 50) + np.cos(np.arange(rows) * 1.7)
+    df = spark.range(rows).selectExpr(
+        f"'{symbol}' AS symbol", "id AS pos", f"{rows}L AS n", "100 + 10 * sin(id / 50) + cos(id * 1.7D) AS close")
+    return df, x
+
+
+@pytest.mark.parametrize("rows", [48 * BLOCK + 7, 514 * BLOCK + 3])
+def test_carries_over_many_blocks(spark, rows):
+    """Beyond the reach of a carry, and beyond a chapter of blocks."""
+    df, x = long_series(spark, rows)
+    got = ewm(df, "close", 1 / 14, "y").orderBy("pos").select("y").toPandas()["y"]
+    close_to(got, pd.Series(x).ewm(alpha=1 / 14, adjust=False).mean())
+    slow = ewm(df, "close", 0.0005, "y").orderBy("pos").select("y").toPandas()["y"]  # reaches 2 900 blocks back
+    close_to(slow, pd.Series(x).ewm(alpha=0.0005, adjust=False).mean())
+    factors = df.withColumn("f", F.expr("1 + sin(id * 0.37) / 100".replace("id", "pos")))
+    want = np.cumprod(1 + np.sin(np.arange(rows) * 0.37) / 100)
+    p = running_product(factors, "f", "p", before="b", peak="top").orderBy("pos").select("p", "b", "top").toPandas()
+    np.testing.assert_allclose(p["p"], want, rtol=1e-8)
+    np.testing.assert_allclose(p["b"], np.r_[1.0, want[:-1]], rtol=1e-8)
+    np.testing.assert_allclose(p["top"], np.maximum.accumulate(want), rtol=1e-8)
+    plain = running_product(factors, "f", "p").agg(F.max("p")).first()[0]
+    np.testing.assert_allclose(plain, want.max(), rtol=1e-8)
+
+
+def test_chapters_hold_no_whole_series(spark, monkeypatch):
+    monkeypatch.setattr(series, "CHAPTER_BITS", 2)
+    df, x = long_series(spark, 37 * BLOCK + 11)
+    got = ewm(df, "close", 0.01, "y").orderBy("pos").select("y").toPandas()["y"]
+    close_to(got, pd.Series(x).ewm(alpha=0.01, adjust=False).mean())
+    totals = df.groupBy("symbol", F.expr(series.BLOCK_OF).alias("blk")).agg(F.count(F.lit(1)).alias("v"))
+    lists = series.earlier_blocks(totals, "v", "e", 3).selectExpr("blk", "size(e) AS s").collect()
+    assert sorted((r.blk, r.s) for r in lists) == [(b, min(b, 3)) for b in range(38)]
+
+
+def test_a_crowded_day_is_numbered_in_pieces(spark):
+    """A million ticks of one symbol in one day, most of them within a minute."""
+    crowd = spark.range(1_000_000).selectExpr(
+        "'HOT' AS symbol", "timestamp_micros(1704103200000000 + CASE WHEN id < 950000 THEN id * 60 "
+        "ELSE 57000000 + (id - 950000) * 800000 END) AS date", "CAST(id AS DOUBLE) AS close").repartition(8)
+    few = spark.range(300).selectExpr("'S' AS symbol", "timestamp_seconds(1704103200 + id * 86400) AS date", "CAST(id AS DOUBLE) AS close")
+    df = crowd.unionByName(few)
+    sizes = series.measured_buckets(df, order="date").groupBy("symbol", "_bucket").count().toPandas()
+    hot = sizes[sizes["symbol"] == "HOT"]["count"]
+    assert len(hot) == series.PIECES and hot.max() < 3 * 1_000_000 / series.PIECES
+    assert len(sizes[sizes["symbol"] == "S"]) == 1
+    got = index_series(df, neighbours=["close"])
+    wrong = got.where("pos <> close OR n <> CASE WHEN symbol = 'HOT' THEN 1000000 ELSE 300 END "
+                      "OR NOT (prev_close <=> CASE WHEN pos > 0 THEN close - 1 END) "
+                      "OR NOT (next_close <=> CASE WHEN pos < n - 1 THEN close + 1 END)")
+    assert got.count() == 1_000_300 and wrong.count() == 0
