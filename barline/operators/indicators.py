@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.operators.series import (
-    BLK, BLOCK, BLOCK_OF, KEY, OFFSET, POS, Recurrence, index_series, keyless, over_block,
+    BLK, BLOCK, BLOCK_BITS, BLOCK_OF, KEY, LENGTH, OFFSET, POS, Recurrence, index_series, keyless, over_block,
     earlier_blocks, over_trailing, smoothing, warm, with_block, with_halo,
 )
 from barline.schemas import INDICATORS
@@ -163,12 +163,26 @@ def recursive(bars: DataFrame, *names: str) -> DataFrame:
     return _finish(framed, bars).selectExpr(*bars.columns, *_named(RECURSIVE, names or RECURSIVE))
 
 
-def features(bars: DataFrame) -> DataFrame:
-    """Add every indicator and moving average in one pass over the blocks."""
-    framed = with_halo(bars, BAND_ROWS - 1).selectExpr("*", *FRAMES, *_locals(own=True))
+def features(bars: DataFrame, last: int | None = None) -> DataFrame:
+    """Add every indicator and moving average in one pass over the blocks.
+
+    With ``last``, only for the last so many rows of each series, which are returned alone: blocks
+    before theirs only sum into the carries, and are neither dealt out, sorted nor framed.
+    """
+    rows = bars
+    if last is not None:
+        first = f"shiftright(greatest({LENGTH} - {last}, 0), {BLOCK_BITS})"
+        rows = bars.where(f"{BLOCK_OF} >= {first} - 1")
+    placed = with_halo(rows, BAND_ROWS - 1)
+    if last is not None:
+        placed = placed.where(f"{BLK} >= {first}")
+    framed = placed.selectExpr("*", *FRAMES, *_locals(own=True))
     columns = {**ROLLED, **RECURSIVE}
     names = [*INDICATORS, "ema_12", "sma_10", "sma_20", "vol_ratio"]
-    return _finish(framed.where("own"), bars).selectExpr(*bars.columns, *_named(columns, names))
+    done = _finish(framed.where("own"), bars)
+    if last is not None:  # only now: the states of a block sum over all its rows
+        done = done.where(f"{POS} >= {LENGTH} - {last}")
+    return done.selectExpr(*bars.columns, *_named(columns, names))
 
 
 def add_indicators(bars: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barline.operators.indicators import features
@@ -18,14 +18,15 @@ def market_view(bars: DataFrame, days: int = 90, scope: str = "window") -> DataF
     """Last ``days`` bars per symbol with five indicators, rounded.
 
     ``scope="window"`` starts the indicators at the first shown bar, so warm-up
-    rows are empty; ``"history"`` computes them over the whole series first.
+    rows are empty; ``"history"`` computes them as over the whole series, whose earlier
+    blocks give only their carries.
     """
     if not 1 <= days <= 365:
         raise ValueError("days must be in 1..365")
     if scope == "window":
         shown = features(tail(bars, days))
     elif scope == "history":
-        shown = tail(features(bars), days)
+        shown = tail(features(bars, last=days), days)
     else:
         raise ValueError("scope must be 'window' or 'history'")
     return shown.select(
@@ -63,6 +64,3 @@ def last_volatility(bars: DataFrame, rows: int = 20) -> DataFrame:
         F.stddev_samp("close").alias("std"), F.max_by("close", "date").alias("current_price")
     )
 
-
-def in_last(rows: int) -> Column:
-    return F.col("pos") >= F.col("n") - rows

@@ -204,3 +204,36 @@ def test_a_crowded_day_is_numbered_in_pieces(spark):
                       "OR NOT (prev_close <=> CASE WHEN pos > 0 THEN close - 1 END) "
                       "OR NOT (next_close <=> CASE WHEN pos < n - 1 THEN close + 1 END)")
     assert got.count() == 1_000_300 and wrong.count() == 0
+
+
+@pytest.mark.parametrize("last", [1, 30, BLOCK, 5000])
+def test_last_rows_equal_those_of_the_whole_series(spark, last):
+    ix = indexed(spark, walk(3 * BLOCK + 40)).unionByName(indexed(spark, walk(25, seed=2), symbol="B")).cache()
+    whole = features(ix).where(F.col("pos") >= F.col("n") - last)
+    a, b = by_date(features(ix, last=last)), by_date(whole)
+    assert list(a["pos"]) == list(b["pos"])
+    for c in [*INDICATORS, "sma_10", "sma_20", "vol_ratio", "ema_12"]:
+        close_to(a[c], b[c])
+
+
+def test_only_the_blocks_of_the_last_rows_are_framed(spark):
+    ix = indexed(spark, walk(6 * BLOCK + 40)).cache()
+    ix.count()
+    done = features(ix, last=30)
+    done.collect()
+    plan = done._jdf.queryExecution().executedPlan()
+    found, todo = [], [plan]
+    while todo:  # rows that each generator of halos put out
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+        if node.nodeName() == "Generate" and "own" not in node.nodeName():
+            text = node.simpleString(500)
+            if "[blk" in text:
+                found.append(node.metrics().apply("numOutputRows").value())
+    # The last block, the one before it, and its halo: not all seven.
+    assert found and max(found) <= 2 * BLOCK + 40 + 19
