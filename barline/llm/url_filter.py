@@ -26,7 +26,7 @@ RULES = (
 )
 
 #: Labels of hosts whose pages the standard list is made from.
-SPAM_LABELS = ("spam-farm", "cheap-pills", "casino")
+SPAM_LABELS = ("spam-farm", "cheap-pills", "casino-win", "free-bets", "ads-track", "adult-x")
 
 
 def lower_ascii(c: Column) -> Column:
@@ -117,7 +117,8 @@ def judge_urls(pages: DataFrame, listed: DataFrame, id_col: str = "page_id", url
 
     ``listed`` has one column ``canonical``. A null URL or one without ``://`` has an
     empty host and path, fits no rule and is never listed, so it is allowed. Repeated
-    rows stay repeated; an empty list blocks nothing; null ids are passed on.
+    rows stay repeated; an empty list blocks nothing, a table without rows gives none; null
+    ids are passed on; other columns are ignored; URLs are read whole.
     """
     rows = pages.select(F.col(id_col).alias(id_col), F.col(url_col).alias("_url"))
     rows = rows.select(id_col, host_of(F.col("_url")).alias("host"), path_of(F.col("_url")).alias("path"))
@@ -151,7 +152,7 @@ c AS (
          WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
          WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
          WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM hp),
-l AS (SELECT DISTINCT canonical FROM c WHERE list_has_any(string_split(host, '.'), ['spam-farm', 'cheap-pills', 'casino']))
+l AS (SELECT DISTINCT canonical FROM c WHERE list_has_any(string_split(host, '.'), ['spam-farm', 'cheap-pills', 'casino-win', 'free-bets', 'ads-track', 'adult-x']))
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
        WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,

@@ -370,6 +370,20 @@ def test_urls(spark):
     assert url_filter.judge_urls(pages.limit(0), url_filter.spam_list(pages.limit(0))).count() == 0
 
 
+def test_every_label_of_the_list_has_a_hit(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    got = url_filter.judge_urls(pages, url_filter.spam_list(pages)).where("listed")
+    labels = {x for r in got.select("host").distinct().collect() for x in r.host.split(".")}
+    assert set(url_filter.SPAM_LABELS) <= labels
+
+
+def test_the_exact_join_removes_what_the_filter_lets_through(spark):
+    listed = spark.range(300).selectExpr("concat('h/', id) AS canonical")
+    asked = spark.range(200, 60_000).selectExpr("concat('h/', id) AS canonical")
+    one_block = url_filter.in_list(asked, listed, "canonical", 1)  # far too small a filter: nearly all pass it
+    assert {r[0] for r in one_block.collect()} == {f"h/{i}" for i in range(200, 300)}
+
+
 def test_packing_holds_everything_once(spark):
     rng = random.Random(1)
     rows = [(i, rng.choice([1, 5, 300, 512, 700, 4096, 9000])) for i in range(500)] + [(1, 5), (None, 9), (3, None), (4, 0)]
