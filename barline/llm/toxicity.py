@@ -25,8 +25,11 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 1.0
 STEMS = (4, 6)
 
 
-def features(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(text, slot) of each word, pair and skip pair, sorted and different per text."""
+def features(column: pa.Array, bits: int = BITS, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, slot) of each word, pair and skip pair, sorted and different per text.
+
+    ``only`` marks the slots that are wanted: those with a weight, of which there are few.
+    """
     offsets, flat = words(pc.utf8_lower(pc.replace_substring_regex(column, r"[!-/:-@\[-`{-~]+", "")))
     h, who = word_hashes(flat), owner(offsets)
     grams, owners = [mix(h)], [who]
@@ -40,8 +43,14 @@ def features(column: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray
                 pair = mix(h[:-gap] * np.uint64(3) + mix(h[gap:] + np.uint64(gap)))
             grams.append(pair[near])
             owners.append(who[:-gap][near])
-    slots = (np.concatenate(grams) >> np.uint64(64 - bits)).astype(np.int64)
-    keys = np.unique((np.concatenate(owners) << bits) | slots)
+    found = []
+    for gram, text in zip(grams, owners):
+        slots = (gram >> np.uint64(64 - bits)).astype(np.int64)
+        if only is not None:
+            wanted = np.flatnonzero(only[slots])
+            slots, text = slots[wanted], text[wanted]
+        found.append((text << bits) | slots)
+    keys = np.unique(np.concatenate(found))
     return keys >> bits, keys & ((1 << bits) - 1)
 
 
@@ -126,10 +135,13 @@ def fit_weights(docs: DataFrame, labels: DataFrame, bits: int = BITS, fit_rows:
 
 def _score_batches(model, bits):
     def score(batches):
-        weights, bias = model.value
+        there, weight, bias = model.value
+        weights = np.zeros(1 << bits)
+        weights[there] = weight
+        only = weights != 0
         for batch in batches:
             for part in slices(batch, "text"):
-                who, slots = features(texts(part.column("text")), bits)
+                who, slots = features(texts(part.column("text")), bits, only)
                 total = np.bincount(who, weights=weights[slots], minlength=part.num_rows) + bias
                 p = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(p)], ["doc_id", "score"])
@@ -140,14 +152,15 @@ def _score_batches(model, bits):
 def score_toxicity(docs: DataFrame, labels: DataFrame, bits: int = BITS, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score and predicted of each row, from its whole text alone.
 
-    A null or empty text gets the score of the bias. Repeated rows and null ids stay.
+    A null or empty text gets the score of the bias. Repeated rows and null ids stay; a
+    table without rows gives none; texts are read whole, however long; other columns are
+    ignored. Only weights that are not zero are broadcast, and only their slots are looked for.
     """
     model = fit_weights(docs, labels, bits, fit_rows).toPandas()  # at most 2 ** bits + 1 numbers
-    weights = np.zeros(1 << bits)
     there = model[model["slot"] >= 0]
-    weights[there["slot"].to_numpy()] = there["weight"].to_numpy()
     bias = float(model.loc[model["slot"] == -1, "weight"].sum()) if len(model) else 0.0
-    shared = docs.sparkSession.sparkContext.broadcast((weights.astype(np.float32), bias))
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (there["slot"].to_numpy(np.int64), there["weight"].to_numpy(np.float32).astype(np.float64), bias))
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()
     scored = rows.mapInArrow(_score_batches(shared, bits), f"doc_id {id_type}, score double")

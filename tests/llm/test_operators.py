@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -311,6 +312,40 @@ def test_toxicity_learns_from_the_end_of_long_texts(spark):
     assert any(weights.get(int(s), 0) > 0 for s in slots)
 
 
+def test_toxicity_equals_a_plain_ftrl(spark):
+    """The same online steps with dictionaries, over the features of each text, and the same scores."""
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choices([f"w{k}" for k in range(40)] + ["vile"] * (2 if i % 3 == 0 else 0), k=25))) for i in range(120)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int("vile" in t.split())) for i, t in rows], "doc_id long, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(table, marks).collect()}
+    who, slots = toxicity.features(pa.array([t for _, t in rows], pa.large_string()))
+    bags = [list(map(int, slots[who == i])) for i in range(120)]
+    train = [i for i in range(120) if zlib.crc32(str(i).encode()) % 5]
+    by_id = [train[k] for k in np.random.default_rng(0).permutation(len(train))]
+    labels = {i: int("vile" in t.split()) for i, t in rows}
+    z, n = {}, {}
+    def weight(s):
+        zs = z.get(s, 0.0)
+        return 0.0 if abs(zs) <= toxicity.L1 else -(zs - np.sign(zs) * toxicity.L1) / (
+            (toxicity.BETA + n.get(s, 0.0) ** 0.5) / toxicity.ALPHA + toxicity.L2)
+    share = np.mean([labels[i] for i in train])
+    bias, bias_n = np.log(share / (1 - share)), 1.0
+    for _ in range(toxicity.EPOCHS):
+        for i in by_id:
+            w = {s: weight(s) for s in bags[i]}
+            g = 1 / (1 + np.exp(-(bias + sum(w.values())))) - labels[i]
+            for s in bags[i]:
+                step = ((n.get(s, 0.0) + g * g) ** 0.5 - n.get(s, 0.0) ** 0.5) / toxicity.ALPHA
+                z[s] = z.get(s, 0.0) + g - step * w[s]
+                n[s] = n.get(s, 0.0) + g * g
+            bias_n += g * g
+            bias -= 0.05 * g / bias_n ** 0.5
+    for i in range(120):
+        assert got[i] == pytest.approx(1 / (1 + np.exp(-(bias + sum(map(weight, bags[i]))))), rel=1e-5)
+    assert len({s for b in bags for s in b if weight(s)}) < len({s for b in bags for s in b}) / 2
+
+
 def test_pieces_are_the_best_and_cuts_do_not_matter(spark):
     texts = [None, "", " ", "Hello world, don't panic!", "a" * 700, "naïve 漢字 \U0001f600\n\ttabs  two", "word " * 300]
     table = docs(spark, texts)
