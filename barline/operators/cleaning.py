@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from barline.functions.scalar import missing
+from barline.schemas import INDICATOR_RECORD
 
 Rules = dict[str, Column]
 
@@ -112,6 +113,21 @@ def tick_rules() -> Rules:
     }
 
 
+def indicator_record(df: DataFrame) -> DataFrame:
+    """Landed rows as ``INDICATOR_RECORD`` with ``reasons``: a symbol and a date are needed, any
+    indicator may be missing, but one that is there must be a number."""
+    def read(f):
+        return F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType)
+
+    unread = []
+    for f in INDICATOR_RECORD:
+        bad = read(f).isNull() if not f.nullable else F.lit(False)
+        if f.name in df.columns:
+            bad = bad | (F.col(f.name).isNotNull() & read(f).isNull())
+        unread.append(F.when(bad, f.name))
+    return df.select(*[read(f).alias(f.name) for f in INDICATOR_RECORD], F.array_compact(F.array(*unread)).alias("reasons"))
+
+
 def drop_incomplete(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Keep rows where none of ``columns`` is NULL or NaN."""
     types = dict(df.dtypes)

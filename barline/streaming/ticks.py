@@ -160,6 +160,28 @@ def backlog(offsets: DataFrame) -> DataFrame:
 
 # -- progress -------------------------------------------------------------------
 
+_OFFSETS = "map<string, map<string, bigint>>"
+
+
+def progress_offsets(progress: DataFrame) -> DataFrame:
+    """Offsets for ``backlog`` from the progress of our own queries over a broker.
+
+    ``progress`` has one JSON text ``value`` a batch (``query.lastProgress.json``). The broker's
+    newest offset is ``end``, and what the batch has read up to is ``committed``; a partition
+    that the batch starts with has its start as ``begin``.
+    """
+    source = "struct<startOffset: string, endOffset: string, latestOffset: string>"
+    read = progress.select(F.explode(F.from_json("value", f"struct<sources: array<{source}>>")["sources"]).alias("s"))
+    maps = read.select(*[F.from_json(f"s.{n}Offset", _OFFSETS).alias(n) for n in ("start", "end", "latest")])
+    topics = maps.select("start", "end", F.explode("latest").alias("topic", "newest"))
+    parts = topics.select("topic", F.explode("newest").alias("partition", "newest"),
+                          F.try_element_at("start", "topic").alias("s"), F.try_element_at("end", "topic").alias("e"))
+    at = F.coalesce(F.try_element_at("e", "partition"), F.lit(0))
+    return parts.select(
+        "topic", F.col("partition").cast("int").alias("partition"),
+        F.coalesce(F.try_element_at("s", "partition"), F.lit(0)).alias("begin"),
+        F.col("newest").alias("end"), at.alias("committed"))
+
 
 class LateRows(StreamingQueryListener):
     """Rows that each query's watermark has dropped, and its batches, summed as progress comes.

@@ -529,6 +529,17 @@ ORACLES: dict[str, str] = {
         {r('coalesce(f.low, o.low)', 4)} AS low, {r('coalesce(o.close, f.close)', 4)} AS close,
         {r('coalesce(o.close, f.close)', 4)} AS adjusted_close, coalesce(o.volume, f.volume) AS volume
         FROM bars_f f FULL JOIN bars_o o ON f.symbol = o.symbol AND f.date = o.date""",
+    "etl_counts": f"""WITH {IX}, c AS (SELECT count(*) AS written FROM clean), b AS (SELECT count(*) AS read FROM bars)
+        SELECT symbol, count(*) AS rows, count(*) FILTER (WHERE pos >= 13) AS rated, read, written
+        FROM ix, c, b GROUP BY symbol, read, written""",
+    "indicator_records": f"""WITH RECURSIVE {IND} SELECT symbol, CASE WHEN day(date) = 13 THEN 'macd' ELSE '' END AS reasons,
+        count(*) AS rows, count(macd) FILTER (WHERE day(date) <> 13) AS macds, CAST(0 AS BIGINT) AS returns,
+        {r('sum(rsi_14)', 2)} AS rsi_total FROM ind GROUP BY symbol, day(date) = 13""",
+    "scorer_plug": f"""WITH {HEADLINES}, n AS (SELECT symbol, date, length(headline) - length(replace(headline, 'e', '')) AS g,
+          length(headline) - length(replace(headline, 'a', '')) AS b FROM headlines)
+        SELECT symbol, date, {r('avg((g - b) / greatest(g + b, 1))', 6)} AS sentiment_compound,
+          {r('avg(g / greatest(g + b, 1))', 6)} AS sentiment_positive, {r('avg(b / greatest(g + b, 1))', 6)} AS sentiment_negative,
+          count(*) AS article_count FROM n GROUP BY symbol, date""",
     "warehouse_upserts": f"""WITH {STATUS} SELECT coalesce(f.symbol, o.symbol) AS symbol, coalesce(f.date, o.date) AS date,
         {r('coalesce(f.open, o.open)', 4)} AS open, {r('coalesce(f.high, o.high)', 4)} AS high,
         {r('coalesce(f.low, o.low)', 4)} AS low, {r('coalesce(o.close, f.close)', 4)} AS close,

@@ -6,7 +6,8 @@ import datetime as dt
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from barline.functions import signals, text
@@ -16,6 +17,7 @@ from barline.operators import (
     sentiment, series,
 )
 from barline.plans import jobs
+from barline.schemas import INDICATOR_RECORD
 from barline.session import shared_dir
 from barline.sinks import lake as lake_sink
 from barline.sinks.models import ModelStore
@@ -231,6 +233,31 @@ def processed_roundtrip(spark, sf):
     return rounded(back.select("symbol", "date", "close", "rsi_14"), {"close": 4, "rsi_14": 4})
 
 
+@query
+def etl_counts(spark, sf):
+    """One ETL run from a written lake: rows read, rows written, and rows found."""
+    source, target = _run_dir(spark, "lake"), _run_dir(spark, "processed")
+    # One directory a symbol: the run is measured here, not the layout.
+    lake.raw(spark, sf).withColumns({c: F.col(c).cast("timestamp") for c in ("date", "ingested_at")}).write.partitionBy("symbol").parquet(source)
+    before, after = Observation(), Observation()
+    done = jobs.processed_bars(lake_source.read_raw(spark, source), before, after)
+    done.write.parquet(target)
+    found = spark.read.parquet(target).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"), F.count("rsi_14").alias("rated"))
+    return found.withColumns({"read": F.lit(int(before.get["rows"])), "written": F.lit(int(after.get["rows"]))})
+
+
+@query
+def indicator_records(spark, sf):
+    """Indicators as landed text; one of them is no number on every thirteenth of a month."""
+    names = [f.name for f in INDICATOR_RECORD]
+    landed = lake.featured(spark, sf).select(*[F.col(c).cast("string").alias(c) for c in names if c != "return_5d"])
+    landed = landed.withColumn("macd", F.when(F.col("date").endswith("-13"), "n/a").otherwise(F.col("macd")))
+    done = cleaning.indicator_record(landed)
+    return done.groupBy("symbol", F.array_join("reasons", ",").alias("reasons")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count("macd").alias("macds"), F.count("return_5d").alias("returns"),
+        F.round(F.sum("rsi_14"), 2).alias("rsi_total"))
+
+
 # -- indicators ----------------------------------------------------------------
 
 
@@ -758,6 +785,19 @@ def _daily(spark, sf):
     return sentiment.daily_sentiment(given.headlines(spark, sf), text.lexicon(POS, NEG))
 
 
+@query
+def scorer_plug(spark, sf):
+    """A scorer that a user brings: an Arrow UDF over batches of texts in place of the lexicon."""
+    @F.pandas_udf("positive double, negative double, neutral double, compound double")
+    def score(texts: pd.Series) -> pd.DataFrame:
+        good, bad = texts.str.count("e"), texts.str.count("a")
+        total = (good + bad).clip(lower=1)
+        return pd.DataFrame({"positive": good / total, "negative": bad / total, "neutral": 0.0, "compound": (good - bad) / total})
+
+    done = sentiment.daily_sentiment(given.headlines(spark, sf), score)
+    return rounded(done, {c: 6 for c in SCORES if c != "sentiment_neutral"})
+
+
 @query
 def sentiment_daily(spark, sf):
     return rounded(_daily(spark, sf), {c: 6 for c in SCORES if c != "sentiment_neutral"})

@@ -142,3 +142,12 @@ def test_aliases_and_lists(spark):
 
     text = spark.createDataFrame([(" aapl,, msft ,",)], "t string")
     assert text.select(symbol_list(F.col("t"))).first()[0] == ["AAPL", "MSFT"]
+
+
+def test_indicator_records(spark):
+    rows = [("A", "2024-01-01", "55.5", None, None), (None, "2024-01-01", "1", "2", "x"), ("A", "junk", None, "n/a", "1"),
+            ("B", "2024-01-02", "NaN", "-1e3", None)]
+    df = spark.createDataFrame(rows, "symbol string, date string, rsi_14 string, macd string, other string")
+    got = cleaning.indicator_record(df).collect()
+    assert [r.reasons for r in got] == [[], ["symbol"], ["date", "macd"], []]
+    assert got[0].rsi_14 == 55.5 and got[3].macd == -1000.0 and got[0].atr_14 is None and "other" not in got[0]

@@ -198,6 +198,19 @@ def feeds(spark, closes_a, closes_b):
     return spark.createDataFrame(prices, schema), spark.createDataFrame(news, schema)
 
 
+def test_backlog_of_our_own_queries(spark):
+    source = {"description": "KafkaV2[Subscribe[t,u]]", "startOffset": {"t": {"0": 5, "1": 0}},
+              "endOffset": {"t": {"0": 50, "1": 7}, "u": {"0": 1}},
+              "latestOffset": {"t": {"0": 20_050, "1": 7}, "u": {"0": 1, "1": 4}}}
+    first = {"sources": [source | {"startOffset": None}]}
+    df = spark.createDataFrame([(json.dumps({"id": "x", "sources": [source]}),)], "value string")
+    got = rows(ticks.progress_offsets(df))
+    assert got == [("t", 0, 5, 20_050, 50), ("t", 1, 0, 7, 7), ("u", 0, 0, 1, 1), ("u", 1, 0, 4, 0)]
+    assert rows(ticks.backlog(ticks.progress_offsets(df))) == [("t", 20_052, 20_000, True), ("u", 5, 4, False)]
+    fresh = ticks.progress_offsets(spark.createDataFrame([(json.dumps(first),)], "value string"))
+    assert fresh.where("topic = 't' AND partition = 0").first()["begin"] == 0
+
+
 def test_batch_flow_from_text_to_run_log(spark, tmp_path):
     root = str(tmp_path / "root")
     prices, news = feeds(spark, walk(150), walk(140, seed=3))
