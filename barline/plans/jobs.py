@@ -17,7 +17,7 @@ from barline.operators.indicators import features
 from barline.operators.selection import MIN_ROWS, ingest_totals, union_frames
 from barline.operators.series import index_series, keyless
 from barline.schemas import INDICATORS
-from barline.session import stage
+from barline.session import stage, staging
 from barline.sinks.lake import write_processed, write_raw
 from barline.sinks.models import ModelStore
 from barline.sinks.warehouse import Warehouse
@@ -48,8 +48,8 @@ def processed_bars(raw: DataFrame, before: Observation | None = None,
 def run_etl(spark: SparkSession, lake_path: str, output_path: str) -> EtlCounts:
     """Raw lake to processed table. Row counts come out of the job itself."""
     before, after = Observation(), Observation()
-    done = processed_bars(read_raw(spark, lake_path), before, after)
-    write_processed(done, output_path)
+    with staging(spark):
+        write_processed(processed_bars(read_raw(spark, lake_path), before, after), output_path)
     return EtlCounts(int(before.get["rows"]), int(after.get["rows"]))
 
 

@@ -20,7 +20,7 @@ from barline.operators.merge import (
     upsert_indicators, upsert_predictions, upsert_prices, upsert_sentiment,
 )
 from barline.schemas import PIPELINE_RUNS, PREDICTIONS, SENTIMENT, STOCK_PRICES, TECHNICAL_INDICATORS
-from barline.session import stage
+from barline.session import stage, staging
 from barline.sinks.lake import write_partitions
 
 TABLES = {
@@ -67,6 +67,10 @@ class Warehouse:
         return rows.select(*TABLES[name].names)
 
     def _merge(self, name: str, source: DataFrame, merge: Callable, order: Sequence[str]) -> int:
+        with staging(self.spark):
+            return self._merge_months(name, source, merge, order)
+
+    def _merge_months(self, name: str, source: DataFrame, merge: Callable, order: Sequence[str]) -> int:
         """Merge and return the number of source rows, counted as they are staged.
         Rows that do not say when they were made get the time of the merge."""
         seen = Observation()

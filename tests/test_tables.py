@@ -229,6 +229,25 @@ def test_news_in_two_shapes(spark):
     assert [tuple(r)[2:] for r in got[:3]] == [("n", "p", "u", "d"), ("c", "", "k", ""), ("f", "q", "v", "5")]
 
 
+def test_jobs_leave_no_staged_tables(spark, tmp_path):
+    from barline import session
+    from barline.plans import jobs
+
+    shared = session.shared_dir(spark)
+    before = set(os.listdir(shared))
+    raw = bars(spark, walk(60)).withColumns({"date": F.col("date").cast("timestamp"), "adjusted_close": F.col("close"), "ingested_at": F.lit(T)})
+    write_raw(raw, str(tmp_path / "lake"), F.lit("2024-01-01").cast("date"))
+    assert jobs.run_etl(spark, str(tmp_path / "lake"), str(tmp_path / "processed")) == (60, 60)
+    jobs.load_warehouse(spark, str(tmp_path / "processed"), Warehouse(spark, str(tmp_path / "wh")), "r1")
+    assert set(os.listdir(shared)) == before
+    with pytest.raises(ValueError), session.staging(spark):
+        session.stage(raw, "lost")
+        raise ValueError
+    assert set(os.listdir(shared)) == before
+    session.stage(raw, "kept")
+    assert len(os.listdir(shared)) == len(before) + 1
+
+
 def test_shared_dir_needs_the_setting_on_a_cluster(spark, monkeypatch):
     from barline import session
 
