@@ -448,6 +448,14 @@ ORACLES: dict[str, str] = {
     "validate_quotes": f"WITH {QUOTES}, q AS (SELECT symbol, date, price AS close, volume FROM quotes) "
         + checks("q", LIGHT),
     "validate_expectations": f"WITH RECURSIVE {IND} " + checks("ind", EXPECT),
+    "expectations_broken": f"""WITH RECURSIVE {IND}, broken AS (SELECT
+          CASE WHEN day(date) <> 7 THEN symbol END AS symbol, CASE WHEN day(date) <> 8 THEN date END AS date,
+          CASE WHEN day(date) = 3 THEN -close WHEN day(date) <> 4 THEN close END AS close,
+          CASE WHEN day(date) = 5 THEN -volume ELSE volume END AS volume,
+          CASE WHEN day(date) = 6 THEN rsi_14 + 100.5 ELSE rsi_14 END AS rsi_14 FROM ind),
+        c AS ({checks('broken', EXPECT)})
+        SELECT c.*, t.* FROM c, (SELECT count(*) FILTER (WHERE passed) AS successful, count(*) AS evaluated,
+          bool_and(passed) AS all_passed FROM c) t""",
     "validation_statistics": f"WITH RECURSIVE {IND}, c AS ({checks('ind', EXPECT)}) "
         "SELECT count(*) FILTER (WHERE passed) AS successful, count(*) AS evaluated, "
         "bool_and(passed) AS success FROM c",
@@ -716,6 +724,7 @@ ORACLES: dict[str, str] = {
     "stream_tick_bars": HOUR_BARS,
     "latest_tick": LATEST_TICK,
     "stream_latest": LATEST_TICK,
+    "stream_batches": f"SELECT *, true AS several FROM ({HOUR_BARS})",
     "stream_live_prices": f"""SELECT symbol, CASE WHEN live THEN price END AS price, timestamp, live FROM (
         SELECT *, timestamp + INTERVAL 60 SECONDS >= (SELECT max(ts) FROM events) - INTERVAL 10 SECONDS AS live
         FROM ({LATEST_TICK}))""",

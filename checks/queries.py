@@ -157,6 +157,22 @@ def validate_expectations(spark, sf):
     return quality.validate_expectations(lake.featured(spark, sf))
 
 
+@query
+def expectations_broken(spark, sf):
+    """Each expectation fails on some bars: the checks count them, and the statistics say so."""
+    day = F.dayofmonth("date")
+    bars = lake.featured(spark, sf).withColumns({
+        "close": F.when(day == 3, -F.col("close")).when(day == 4, None).otherwise(F.col("close")),
+        "volume": F.when(day == 5, -F.col("volume")).otherwise(F.col("volume")),
+        "rsi_14": F.when(day == 6, F.col("rsi_14") + 100.5).otherwise(F.col("rsi_14")),
+        "symbol": F.when(day == 7, None).otherwise(F.col("symbol")),
+        "date": F.when(day == 8, None).otherwise(F.col("date")),
+    })
+    found = quality.validate_expectations(bars)
+    total = quality.statistics(found)
+    return found.join(total.withColumnRenamed("success", "all_passed"), F.lit(True))
+
+
 @query
 def validation_statistics(spark, sf):
     return quality.statistics(quality.validate_expectations(lake.featured(spark, sf)))
@@ -1070,6 +1086,22 @@ def stream_tick_bars(spark, sf):
     return plain_time(done, "window_start")
 
 
+@query
+def stream_batches(spark, sf):
+    """The events as six files, one a micro-batch: bars grow over batches and their updates merge."""
+    feed = _run_dir(spark, "feed")
+    events = given.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events.repartition(6, "event_id").write.parquet(feed)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    # Files hold all days mixed, so only a watermark longer than the month loses nothing.
+    bars = tick_ops.stream_bars(given.tick_columns(stream), "1 hour", "40 days", "event_id")
+    keys = ["symbol", "window_start"]
+    table = _finish(bars, spark, "batches", keys=keys, every=2)
+    batches = spark.read.parquet(table).agg(F.max("batch").alias("last"))
+    done = plain_time(tick_ops.current(spark, table, keys), "window_start")
+    return done.join(batches.select((F.col("last") >= 1).alias("several")), F.lit(True))
+
+
 @query
 def stream_latest(spark, sf):
     latest = tick_ops.latest_ticks(given.tick_columns(_event_stream(spark, sf)), "event_id")
