@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 import zstandard
@@ -89,6 +90,19 @@ class Novelty:
         return (len(self._compress(a + b"\n" + b)) - len(self._compress(a))) / max(1, len(candidate))
 
 
+class _Cover:
+    """Whether one of some spans holds a given one; asked in order of start, it takes linear time."""
+
+    def __init__(self, spans):
+        self._spans, self._at, self._end = sorted(spans), 0, -1
+
+    def __call__(self, a: int, b: int) -> bool:
+        while self._at < len(self._spans) and self._spans[self._at][0] <= a:
+            self._end = max(self._end, self._spans[self._at][1])
+            self._at += 1
+        return b <= self._end
+
+
 def novel_spans(text: str, novelty: Novelty, known=(), threshold: float = NOVELTY,
                 around: int = AROUND) -> list[tuple[int, int, str]]:
     """Spans of kind ``novel``: incompressible tokens that follow a sensitive word, or lie in an armoured key.
@@ -98,25 +112,26 @@ def novel_spans(text: str, novelty: Novelty, known=(), threshold: float = NOVELT
     """
     armour = [m.span(1) for m in _ARMOUR.finditer(text)] if "-----BEGIN " in text else []
     found = []
+    in_known, in_armour = _Cover((s, e) for s, e, _ in known), _Cover(armour)
     for m in _CANDIDATE.finditer(text):
         a, b = m.span()
         name = _NAME.match(text, a, b)
         if name:
             a = name.end()
-        if b - a < 16 or any(s <= a and b <= e for s, e, _ in known):
+        if b - a < 16 or in_known(a, b):
             continue
         token = text[a:b]
         if token.isalpha() and (token.islower() or token.istitle() or token.isupper()):
             continue  # one plain word, however long
-        inside = any(s <= a and b <= e for s, e in armour)
-        if not inside and _SENSITIVE.search(text, max(0, a - BEFORE), a) is None:
+        if not in_armour(a, b) and _SENSITIVE.search(text, max(0, a - BEFORE), a) is None:
             continue
         if novelty.per_char(text[max(0, a - around):a], token, text[b:b + around]) >= threshold:
             found.append((a, b, "novel"))
     # The last line of an armoured key can be too short for a candidate.
+    starts = [a for a, _, _ in found]
     for s, e in armour:
         lines = {m.start(): m.end() for m in _BODY.finditer(text, s, e)}
-        for a, b, _ in [f for f in found if s <= f[0] < e]:
+        for a, b, _ in found[bisect_left(starts, s):bisect_left(starts, e)]:
             after = re.compile(r"[ \t\r]*\n[ \t]*").match(text, b, e)
             if after and after.end() in lines and lines[after.end()] - after.end() < 16:
                 found.append((after.end(), lines[after.end()], "novel"))
@@ -159,7 +174,8 @@ def scan_secrets(docs: DataFrame, threshold: float = NOVELTY) -> DataFrame:
     """Counts, digest and spans of each row's text; offsets are code points, ends exclusive.
 
     A null or empty text has no spans: zeros, the digest of the empty text, an empty
-    string. Repeated rows and null ids come out as they are; other columns are ignored.
+    string. Repeated rows and null ids come out as they are; other columns are ignored; a
+    table without rows gives none. Texts are read whole, in time linear in their length.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     id_type = rows.schema["doc_id"].dataType.simpleString()

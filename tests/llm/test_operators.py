@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -187,6 +188,29 @@ def test_secret_base_spans(spark):
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(s[2] == k for s in spans) for k in range(3)]
 
 
+def test_many_secrets_take_linear_time():
+    novelty, rng = secret_scan.Novelty(), random.Random(1)
+    def text(n):
+        return "\n".join(f"token = {rng.randbytes(9).hex()}Zq{i}" for i in range(n))
+    took = []
+    for n in (4_000, 32_000):
+        t = text(n)
+        began = time.process_time()
+        assert len(secret_scan.all_spans(t, novelty)) >= n
+        took.append(time.process_time() - began)
+    assert took[1] < 20 * max(took[0], 0.05)
+
+
+def test_covered_spans_are_those_within_one():
+    rng = random.Random(2)
+    for _ in range(200):
+        spans = [(a, a + rng.randrange(30)) for a in rng.choices(range(100), k=rng.randrange(8))]
+        cover = secret_scan._Cover(spans)
+        for a in sorted(rng.choices(range(100), k=12)):
+            b = a + rng.randrange(1, 20)
+            assert cover(a, b) == any(s <= a and b <= e for s, e in spans)
+
+
 def test_novel_secret_is_added_and_redacted():
     novelty = secret_scan.Novelty()
     text = "the bearer Zk8qP1vR7tYx3LmN0wQe5uHs goes here; key configurationconfiguration stays"
