@@ -5,15 +5,18 @@ size, and each shard is packed by itself, so a shard costs at most one partly
 filled bin per capacity more than one global packing would.
 
 Within a shard, longest first: a sequence goes to the open bin with the least
-room that still holds it. If there is none, a bin is opened whose size has the
-least cost per token that is likely to be used: the cost of a size is its fixed
-overhead plus its length, spread over the tokens that remain and could fill it.
+room that still holds it. If there is none, a bin is opened. Every permitted size that
+holds the sequence is tried against the sequences that remain: filled with the longest
+that fit, again and again, then shrunk to its content. The size with the least cost per
+token so filled is opened. A size costs its fixed overhead, its tokens, and a part that grows
+with its square, as attention does; so a large bin pays only if it is filled better.
 At the end each bin shrinks to the smallest permitted size that holds its content.
 """
 
 from __future__ import annotations
 
 import bisect
+from collections import Counter
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,42 +24,77 @@ from pyspark.sql import functions as F
 
 #: Permitted sequence lengths, in tokens.
 CAPACITIES = (512, 1024, 2048, 4096)
-#: What opening a bin costs besides its tokens.
+#: What opening a bin costs besides its tokens, and the size at which the square costs as much as them.
 OVERHEAD = 32
+EVEN = 8192
 #: Pieces that one shard holds on average; bounds a task's memory.
 SHARD_PIECES = 8192
 
 OUT = "shard long, bin int, capacity int, position int, start_in_bin int, doc_id long, piece int, start long, length int"
 
 
-def best_fit(lengths: list[int], capacities=CAPACITIES, overhead: int = OVERHEAD) -> tuple[list[int], list[int]]:
+def cost(size: int, overhead: int = OVERHEAD, even: int = EVEN) -> float:
+    """What a bin of one size costs."""
+    return overhead + size + size * size / even
+
+
+class _Rest:
+    """The sequences still to be placed, as counts by length."""
+
+    def __init__(self, lengths: list[int]):
+        self.count = Counter(lengths)
+        self.kinds = sorted(self.count)
+
+    def take(self, n: int) -> None:
+        self.count[n] -= 1
+        if not self.count[n]:
+            del self.kinds[bisect.bisect_left(self.kinds, n)]
+
+    def fill(self, room: int) -> int:
+        """Tokens that a room would get from the longest sequences that fit."""
+        got, at = 0, len(self.kinds)
+        while room and (at := bisect.bisect_right(self.kinds, room, 0, at)):
+            n = self.kinds[at - 1]
+            times = min(self.count[n], room // n)
+            got += times * n
+            room -= times * n
+            at -= 1
+        return got
+
+
+def best_fit(lengths: list[int], capacities=CAPACITIES, overhead: int = OVERHEAD, even: int = EVEN) -> tuple[list[int], list[int]]:
     """Bin of each sequence and final size of each bin. Lengths come in falling order."""
-    sizes, left = sorted(capacities), sum(lengths)
+    sizes, rest = sorted(capacities), _Rest(lengths)
+    price = {s: cost(s, overhead, even) for s in sizes}
     rooms: list[tuple[int, int]] = []  # (free, bin), sorted
     used: list[int] = []
     where: list[int] = []
+
+    def per_token(size: int, n: int) -> tuple[float, int]:
+        filled = n + rest.fill(size - n)
+        return price[sizes[bisect.bisect_left(sizes, filled)]] / filled, size
+
     for n in lengths:
+        rest.take(n)
         at = bisect.bisect_left(rooms, (n, -1))
         if at < len(rooms):
             free, b = rooms.pop(at)
         else:
-            fits = [s for s in sizes if s >= n]
             b = len(used)
             used.append(0)
-            free = min(fits, key=lambda s: ((overhead + s) / min(s, left), -s))
+            free = min(sizes[bisect.bisect_left(sizes, n):], key=lambda s: per_token(s, n))
         used[b] += n
-        left -= n
         where.append(b)
         if free > n:
             bisect.insort(rooms, (free - n, b))
-    return where, [min(s for s in sizes if s >= u) for u in used]
+    return where, [sizes[bisect.bisect_left(sizes, u)] for u in used]
 
 
-def _packer(capacities, overhead):
+def _packer(capacities, overhead, even):
     def pack(shard: pd.DataFrame) -> pd.DataFrame:
         rows = shard.sort_values(["length", "doc_id", "piece", "start"], ascending=[False, True, True, True],
                                  kind="stable", na_position="last")
-        where, sizes = best_fit(rows["length"].tolist(), capacities, overhead)
+        where, sizes = best_fit(rows["length"].tolist(), capacities, overhead, even)
         rows = rows.assign(bin=where, capacity=[sizes[b] for b in where])
         by_bin = rows.groupby("bin")["length"]
         return rows.assign(position=rows.groupby("bin").cumcount(),
@@ -66,17 +104,18 @@ def _packer(capacities, overhead):
     return pack
 
 
-def pack_lengths(items: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD,
+def pack_lengths(items: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD, even: int = EVEN,
                  shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """One row per piece: shard, bin, the bin's size, place in it, doc_id, piece, start, length.
 
     ``items`` has doc_id and n_tokens. A sequence longer than the largest size is cut
     into pieces of that size and a rest. Null or zero lengths have no piece and no row.
     Repeated rows and null ids are packed like any others; ties go by doc_id and piece.
-    The result depends on the rows alone, not on how they are partitioned.
+    The result depends on the rows alone, not on how they are partitioned. Other columns are
+    ignored; a table without rows gives none.
     """
-    if min(capacities) < 1 or overhead < 0:
-        raise ValueError("sizes must be positive and the overhead not negative")
+    if min(capacities) < 1 or overhead < 0 or even <= 0:
+        raise ValueError("sizes must be positive and costs not negative")
     top = max(capacities)
     n = F.col("n_tokens").cast("long")
     pieces = (
@@ -88,7 +127,7 @@ def pack_lengths(items: DataFrame, capacities=CAPACITIES, overhead: int = OVERHE
     total = items.select(F.sum(F.when(n > 0, F.floor((n - 1) / top) + 1))).first()[0] or 0
     shards = max(1, -(-int(total) // shard_pieces))
     dealt = pieces.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)))
-    return dealt.groupBy("shard").applyInPandas(_packer(tuple(capacities), overhead), OUT)
+    return dealt.groupBy("shard").applyInPandas(_packer(tuple(capacities), overhead, even), OUT)
 
 
 def word_tokens(docs: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 import re
 import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -458,6 +459,62 @@ def test_packing_holds_everything_once(spark):
     assert packing.pack_lengths(spark.createDataFrame([], "doc_id long, n_tokens long")).count() == 0
 
 
+def bins_cost(sizes):
+    return sum(packing.cost(s) for s in sizes)
+
+
+def cheapest(lengths, capacities):
+    """The least cost of any way to deal the sequences into bins."""
+    best = {0: 0.0}
+    full = (1 << len(lengths)) - 1
+    total = [sum(n for i, n in enumerate(lengths) if m >> i & 1) for m in range(full + 1)]
+    for done in range(full):
+        if done not in best:
+            continue
+        rest = full & ~done
+        low, part = rest & -rest, rest
+        while part:  # every part that holds the first sequence that is left
+            if part & low and total[part] <= max(capacities):
+                price = best[done] + packing.cost(min(c for c in capacities if c >= total[part]))
+                best[done | part] = min(best.get(done | part, np.inf), price)
+            part = (part - 1) & rest
+    return best[full]
+
+
+def test_packing_is_near_the_cheapest_and_opens_several_sizes():
+    rng = random.Random(3)
+    ours = least = single = 0.0
+    opened = set()
+    for _ in range(150):
+        lengths = sorted((rng.choice([rng.randrange(1, 500), rng.randrange(200, 1100), rng.randrange(900, 4097)])
+                          for _ in range(rng.randrange(1, 9))), reverse=True)
+        where, sizes = packing.best_fit(lengths)
+        used = [sum(n for n, b in zip(lengths, where) if b == k) for k in range(len(sizes))]
+        assert sizes == [min(c for c in packing.CAPACITIES if c >= u) for u in used]
+        best = cheapest(lengths, packing.CAPACITIES)
+        assert best - 1e-6 <= bins_cost(sizes) <= 1.6 * best
+        ours, least = ours + bins_cost(sizes), least + best
+        # Bins of the largest size alone, shrunk as well.
+        alone, _ = packing.best_fit(lengths, (4096,))
+        filled = Counter()
+        for n, b in zip(lengths, alone):
+            filled[b] += n
+        single += bins_cost(min(c for c in packing.CAPACITIES if c >= u) for u in filled.values())
+        opened |= set(sizes)
+    assert ours < 1.06 * least and ours < 0.97 * single and opened == set(packing.CAPACITIES)
+
+
+def test_a_bin_is_filled_from_what_remains():
+    rng = random.Random(4)
+    for _ in range(300):
+        lengths, room = rng.choices(range(1, 40), k=rng.randrange(10)), rng.randrange(100)
+        want, left = 0, sorted(lengths, reverse=True)
+        for n in left:
+            if n <= room - want:
+                want += n
+        assert packing._Rest(lengths).fill(room) == want
+
+
 def test_main_text_of_new_layouts(spark, sf):
     made, want = [], {}
     rng = np.random.default_rng(77)
