@@ -31,8 +31,13 @@ EPOCHS, BATCH, RATE = 8, 48, 0.01
 PATH_DIM, WORD_DIM, MEASURES, HIDDEN = 96, 24, 6, 16
 DIM = PATH_DIM + WORD_DIM + MEASURES
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTR = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_OPEN = re.compile(r"<[a-zA-Z/!?]")
+_NAME = re.compile(r"[^\s/>]*+")
+_GAP = re.compile(r"[\s/]*+")
+_ATTRIBUTE = re.compile(r"(=?[^\s/>=]*+)\s*+(=\s*+)?+")
+_UNQUOTED = re.compile(r"[^\s>]*+")
+#: Attributes whose words belong to a block's path.
+_NAMED = ("class", "id", "role")
 _DIGIT = re.compile(r"\d")
 _HIDDEN = ("script", "style", "head", "template", "noscript", "svg", "iframe", "object", "title")
 #: What may stand in a head; any other element, or text, ends an open one.
@@ -49,6 +54,63 @@ _CLOSES_P = frozenset(
     "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
+class _Tags:
+    """The tags of a page in order, by the rules of HTML for names, quotes and comments.
+
+    Every character is passed once: what is not closed is never looked for twice. A tag, comment
+    or declaration that the page's end cuts off drops the rest. A quote that is never closed
+    ends at the tag's ``>``, so that one slip does not take the rest of the page.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.at, self.open_quotes = page, 0, set()
+
+    def next(self) -> tuple[str, str, bool, list[tuple[str, str]], bool] | None:
+        """Text up to the next tag, then its name (empty for a comment, or at the end), whether it
+        closes, its attributes and whether it closes itself. None after the end."""
+        page, n = self.page, len(self.page)
+        if self.at >= n:
+            return None
+        m = _OPEN.search(page, self.at)
+        if m is None:
+            text, self.at = page[self.at:], n
+            return text, "", False, [], False
+        text, at = page[self.at:m.start()], m.end() - 1
+        closing = page[at] == "/"
+        if closing:
+            at += 1
+        if not page[at:at + 1].isascii() or not page[at:at + 1].isalpha():
+            mark = "-->" if page.startswith("!--", at) else ">"
+            stop = page.find(mark, at + (1 if mark == "-->" else 0))
+            self.at = stop + len(mark) if stop >= 0 else n
+            return text, "", False, [], False
+        m = _NAME.match(page, at)
+        name, at, found = m[0].lower(), m.end(), []
+        while True:
+            at = _GAP.match(page, at).end()
+            if at >= n:
+                self.at = n
+                return text, "", False, [], False
+            if page[at] == ">":
+                self.at = at + 1
+                return text, name, closing, found, page[at - 1] == "/"
+            m = _ATTRIBUTE.match(page, at)
+            at, value = m.end(), ""
+            if m[2] and at < n and page[at] in "\"'":
+                quote = page[at]
+                stop = -1 if quote in self.open_quotes else page.find(quote, at + 1)
+                if stop < 0:
+                    self.open_quotes.add(quote)
+                    stop = page.find(">", at)
+                    self.at = stop + 1 if stop >= 0 else n
+                    return (text, name, closing, found, False) if stop >= 0 else (text, "", False, [], False)
+                value, at = page[at + 1:stop], stop + 1
+            elif m[2]:
+                u = _UNQUOTED.match(page, at)
+                value, at = u[0], u.end()
+            found.append((m[1].lower(), value))
+
+
 def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
     """(text, words of the path, share of characters in links) of each leaf block that has text."""
     out: list[tuple[str, tuple[str, ...], float]] = []
@@ -59,7 +121,7 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
     def flush():
         nonlocal linked
         if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 path = tuple(w for _, words in stack for w in words)
                 out.append((text, path, min(1.0, linked / len(text))))
@@ -78,34 +140,23 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
     def say(text: str):
         nonlocal linked
         if text and not hidden:
-            parts.append(text)
+            parts.append(html.unescape(text) if "&" in text else text)
             linked += len(text) if in_link else 0
 
-    at, end = 0, len(page)
-    while at < end:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            rest = page[at:]
-            cut = re.search(r"<[a-zA-Z/!]", rest)  # a tag that the page's end cuts off
-            rest = rest[:cut.start()] if cut else rest
-            if rest.strip() and stack and stack[-1][0] == "head":
-                close(len(stack) - 1)
-            say(rest)
-            break
-        between = page[at:m.start()]
-        at = m.end()
-        tag = (m[2] or "").lower()
+    tags = _Tags(page)
+    while (token := tags.next()) is not None:
+        between, tag, closing, attributes, closed = token
         if stack and stack[-1][0] == "head":
             if between.strip():
                 close(len(stack) - 1)
             say(between)
-            if stack[-1:] and stack[-1][0] == "head" and tag and not m[1] and tag not in _IN_HEAD:
+            if stack[-1:] and stack[-1][0] == "head" and tag and not closing and tag not in _IN_HEAD:
                 close(len(stack) - 1)
         else:
             say(between)
         if not tag:
             continue
-        if m[1]:
+        if closing:
             for i in range(len(stack) - 1, -1, -1):
                 if stack[i][0] == tag:
                     close(i)
@@ -127,17 +178,18 @@ def blocks(page: str) -> list[tuple[str, tuple[str, ...], float]]:
                 if stack[i][0] in ("ul", "ol", "table", "dl", "article", "main", "section", "div", "body", "aside", "nav") and stack[i][0] not in shut:
                     break
             flush()
-        if tag == "svg" and (m[3] or "").endswith("/"):
+        if tag == "svg" and closed:
             continue
         words = [tag]
-        for a in _ATTR.finditer(m[3] or ""):
-            words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", a[1] or a[2] or a[3] or "").lower())
+        for name, value in attributes:
+            if name in _NAMED:
+                words += re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())
         stack.append((tag, tuple(words)))
         hidden += tag in _HIDDEN
         in_link += tag == "a"
-        if tag in _RAW and not (m[3] or "").endswith("/"):
-            stop = _RAW[tag].search(page, at)
-            at = stop.start() if stop else end
+        if tag in _RAW and not closed:
+            stop = _RAW[tag].search(page, tags.at)
+            tags.at = stop.start() if stop else len(page)
     close(0)
     flush()
     return out

@@ -552,6 +552,32 @@ def test_open_heads_and_closed_drawings_hide_no_text():
     assert said("<article>a<svg width='1'/> b<svg><path d='x'/><text>no</text></svg> c</article>") == ["a", "b", "c"]
 
 
+def test_no_markup_reaches_the_text():
+    def said(page):
+        return [t for t, _, _ in block_labeller.blocks(page)]
+    assert said('<article><p title="a>hello</p><p>more</p>') == ["hello", "more"]
+    assert said("<p>a<img alt='it's'>b</p>") == ["a b"]
+    assert said("<p title='x>y'>a</p><p data-x=\"1 > 0\" class=q>b") == ["a", "b"]
+    assert said("&am<!-- -->p; x &amp;amp; y &lt;b&gt;") == ["&amp; x &amp; y <b>"]
+    assert said("a < b <3 c</ d>e<!x y>f<?z ?>g<!-->h<!--->i<!-- j") == ["a < b <3 cefghi"]
+    assert said("<p>one<div") == ["one"] and said("<p>one<a href='x") == ["one"] and said("<p>one</p") == ["one"]
+    assert said("<p =a b==c d = e / f>one<br/>two</P >three") == ["one two", "three"]
+    rng = random.Random(3)
+    parts = ["<", ">", "<p", "</p>", " a=", '"', "'", "/", "<!--", "-->", "word ", "&amp;", "<b>", "=", "<br/>", "\n"]
+    for _ in range(3000):
+        page = "".join(rng.choices(parts, k=rng.randrange(25)))
+        for text in said(page):
+            assert not re.search(r"<(p|/p|b>|br|!--)", text)
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a b='", '<p title="x>', "<!--", "</", "<a b=c", "<p>x", "<", "<a/", "&amp;", "<!", "<i>x</i> "])
+def test_malformed_pages_take_linear_time(unit):
+    page = unit * (5_000_000 // len(unit) if unit not in ("<p>x", "<i>x</i> ") else 100_000)
+    began = time.process_time()
+    block_labeller.blocks(page)
+    assert time.process_time() - began < 30
+
+
 def test_fit_and_vectors_read_whole_pages(spark):
     late = [f"<html><head><script>{'x' * 30_000}</script></head><body><nav><a>menu {i}</a></nav>"
             f"<article><p>Words of page {i} that tell a story.</p></article></body></html>" for i in range(5)]
