@@ -610,3 +610,24 @@ def test_pipeline_stages(spark, sf):
         assert frame.columns == names and 0 < frame.count() <= before
     bins = corpus_pipeline.run(spark, sf)
     assert bins.select("doc_id").distinct().count() == frame.count()
+
+
+def test_pipeline_on_odd_rows(spark, sf):
+    import corpus_pipeline
+
+    rng = random.Random(5)
+    def prose(n):
+        return " ".join(f"word{rng.randrange(500)}" for _ in range(n))
+    a, b, c = prose(60), prose(60), prose(60)
+    rows = [(1, a), (1, b), (2, a), (2, a), (3, c), (3, c), (4, c + " more"), (None, a), (5, None), (6, ""), (7, prose(20_000))]
+    schema = "doc_id long, text string, lang string, source string, kept int, component_id string"
+    frame = spark.createDataFrame([(i, t, "en", f"s{k}", 1, "x") for k, (i, t) in enumerate(rows)], schema)
+    left = corpus_pipeline.near_duplicates(spark, frame.where("doc_id IS NOT NULL AND text <> ''"), sf)
+    assert sorted((r.doc_id, r.text[:20]) for r in left.collect()) == sorted(
+        [(1, a[:20]), (1, b[:20]), (3, c[:20]), (7, rows[-1][1][:20])])
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        done = step(spark, frame, sf)
+        assert done.columns == frame.columns and done.count() <= len(rows)
+        assert step(spark, frame.limit(0), sf).count() == 0
+    assert corpus_pipeline.quality_rules(spark, frame, sf).where("doc_id IS NULL OR doc_id IN (5, 6)").count() == 0
+    assert corpus_pipeline.best_fit_packing(spark, frame.limit(0), sf).count() == 0
