@@ -147,10 +147,11 @@ def best_portfolio(moments: DataFrame) -> DataFrame:
 
 
 def optimize(returns: DataFrame, draws: int = DRAWS, seed: int = SEED,
-             risk_free: float = RISK_FREE) -> DataFrame:
+             risk_free: float = RISK_FREE, moments: DataFrame | None = None) -> DataFrame:
     """The response record: best weights, moments, equal-weight baseline and
-    the improvement. Fewer than two assets give no row."""
-    moments = draw_moments(returns, draws, seed, risk_free, equal=True)
+    the improvement. Fewer than two assets give no row. ``moments`` are those of the
+    draws and the equal weights, if a caller has them already."""
+    moments = draw_moments(returns, draws, seed, risk_free, equal=True) if moments is None else moments
     sampled = F.col("portfolio") >= 0
     rank = F.when(sampled, F.struct("sharpe", (-F.col("portfolio")).alias("first")))
     picked = moments.agg(
@@ -193,9 +194,12 @@ def optimize_horizons(bars: DataFrame, horizons: Sequence[int] = HORIZONS,
     return reduce(DataFrame.unionByName, records)
 
 
-def frontier(returns: DataFrame, points: int = FRONTIER_POINTS, seed: int = SEED) -> DataFrame:
-    """Percent return and volatility of the first ``points`` draws."""
-    return draw_moments(returns, points, seed).select(
+def frontier(returns: DataFrame, points: int = FRONTIER_POINTS, seed: int = SEED,
+             moments: DataFrame | None = None) -> DataFrame:
+    """Percent return and volatility of the first ``points`` draws; ``moments`` are those of
+    at least as many draws, if a caller has them already."""
+    moments = draw_moments(returns, points, seed) if moments is None else moments
+    return moments.where(F.col("portfolio").between(0, points - 1)).select(
         "portfolio", F.round(F.col("ret") * 100, 2).alias("ret"),
         F.round(F.col("vol") * 100, 2).alias("vol"),
     )

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from barline.operators import backtest, portfolio
 from barline.operators.merge import TTL, snapshot
+from barline.session import stage
 
 #: The key of each kind of record, after the kind itself.
 KEYS = {"prediction": "symbol", "sentiment": "symbol", "backtest": "symbol", "portfolio": "symbols"}
@@ -28,10 +29,12 @@ def backtest_record(predictions: DataFrame, fraction: float = 0.8) -> DataFrame:
 def portfolio_record(returns: DataFrame, draws: int = portfolio.DRAWS,
                      points: int = portfolio.FRONTIER_POINTS, seed: int = portfolio.SEED) -> DataFrame:
     """The best portfolio with ``points`` sampled ``(ret, vol)`` pairs in order of draw."""
-    sampled = portfolio.frontier(returns, points, seed)
+    moments = stage(portfolio.draw_moments(returns, max(draws, points), seed, equal=True), "moments")
+    sampled = portfolio.frontier(returns, points, seed, moments)
     ordered = sampled.agg(F.sort_array(F.collect_list(F.struct("portfolio", "ret", "vol"))).alias("p"))
     frontier = ordered.select(F.transform("p", lambda x: F.struct(x["ret"].alias("ret"), x["vol"].alias("vol")))).scalar()
-    return portfolio.optimize(returns, draws, seed).withColumn("frontier", frontier)
+    best = portfolio.optimize(returns, draws, seed, moments=moments.where(F.col("portfolio") < draws))
+    return best.withColumn("frontier", frontier)
 
 
 def sentiment_record(scored: DataFrame, per_symbol: DataFrame, shown: int) -> DataFrame:
