@@ -6,9 +6,10 @@ longest matching prefix, then all trees ascend together, one bit at a time, unti
 their ranges hold enough candidates; those are scored exactly.
 
 Vectors that are equal share one entry. The index is dealt into shards of bounded
-size, queries into blocks, and every block meets every shard; the best of each
-shard merge in one small aggregate. Candidates wanted are a share of the shard,
-as vectors without structure have no shorter way to high recall.
+size that stay where they are: every query visits every shard of its vector length,
+in a stream that a task reads after it has built the shard's trees, and the best of each
+shard merge in one small aggregate. Candidates wanted are a share of the shard and some
+more for every answer, as vectors without structure have no shorter way to high recall.
 """
 
 from __future__ import annotations
@@ -20,12 +21,12 @@ from pyspark.sql import functions as F
 
 TREES = 128
 LENGTH = 24
-#: Entries of a shard and queries of a block, on average.
-SHARD_ROWS = 65_536
+#: Entries of a shard, on average, and queries that are answered together.
+SHARD_ROWS = 16_384
 BLOCK_QUERIES = 1_024
-#: Candidates wanted per query and shard: this share of it, or this many if more.
+#: Candidates wanted per query and shard: this share of it and so many for each answer.
 SHARE = 0.25
-LEAST = 4_096
+PER_ANSWER = 12
 
 
 def planes(dim: int, trees: int = TREES, length: int = LENGTH, seed: int = 11) -> np.ndarray:
@@ -42,82 +43,97 @@ def hash_strings(x: np.ndarray, trees: int = TREES, length: int = LENGTH) -> np.
     return out
 
 
-def search(index: np.ndarray, ids: np.ndarray, strings: np.ndarray, queries: np.ndarray, query_strings: np.ndarray,
-           k: int, share: float = SHARE, least: int = LEAST, length: int = LENGTH):
-    """For each query the positions and scores of its ``k`` best candidates, ties by ``ids``."""
-    n, trees = strings.shape
-    order = np.argsort(strings, axis=0, kind="stable")
-    sorted_strings = np.take_along_axis(strings, order, 0)
-    wanted = min(n, max(least, int(share * n)))
-    low = np.zeros((length + 1, len(queries), trees), np.int32)
-    high = np.full((length + 1, len(queries), trees), n, np.int32)
-    for t in range(trees):
-        for level in range(1, length + 1):
-            rest = np.uint32((1 << (length - level)) - 1)
-            low[level, :, t] = np.searchsorted(sorted_strings[:, t], query_strings[:, t] & ~rest)
-            high[level, :, t] = np.searchsorted(sorted_strings[:, t], query_strings[:, t] | rest, side="right")
-    for q in range(len(queries)):
-        seen = np.zeros(n, bool)
-        for level in range(length, -1, -1):
-            size = high[level, q] - low[level, q]
-            # Different entries that ranges of these sizes hold, if they met at random.
-            if level and n * (1 - np.prod(1 - size / n)) < wanted and size.sum() < trees * n:
-                continue
-            if level == 0:
-                seen[:] = True
-                break
-            for t in range(trees):
-                seen[order[low[level, q, t]:high[level, q, t], t]] = True
-            if seen.sum() >= wanted:
-                break
-        at = np.flatnonzero(seen)
-        scores = index[at] @ queries[q]
-        if len(at) > k:
-            worst = np.partition(scores, len(at) - k)[len(at) - k]
-            keep = scores >= worst  # with all ties, so that ids can decide
-            at, scores = at[keep], scores[keep]
-        best = np.lexsort((ids[at], -scores))[:k]
-        yield at[best], scores[best]
-
-
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+class Forest:
+    """The sorted strings of a shard's entries, one array a tree."""
+
+    def __init__(self, index: np.ndarray, ids: np.ndarray, trees: int = TREES, length: int = LENGTH):
+        self.index, self.ids, self.trees, self.length = index, ids, trees, length
+        strings = hash_strings(index, trees, length)
+        self.order = np.argsort(strings, axis=0, kind="stable").astype(np.int32).T.copy()
+        self.sorted = np.take_along_axis(strings.T, self.order, 1)
+
+    def _ranges(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By level, query and tree, the range of the entries whose first bits are the query's."""
+        low = np.zeros((self.length + 1, len(strings), self.trees), np.int32)
+        high = np.full((self.length + 1, len(strings), self.trees), len(self.ids), np.int32)
+        for t in range(self.trees):
+            for level in range(1, self.length + 1):
+                rest = np.uint32((1 << (self.length - level)) - 1)
+                low[level, :, t] = np.searchsorted(self.sorted[t], strings[:, t] & ~rest)
+                high[level, :, t] = np.searchsorted(self.sorted[t], strings[:, t] | rest, side="right")
+        return low, high
+
+    def nearest(self, queries: np.ndarray, k: int, share: float = SHARE, per_answer: int = PER_ANSWER):
+        """For each query the positions and scores of its ``k`` best candidates, ties by ``ids``."""
+        n = len(self.ids)
+        wanted = min(n, int(share * n) + per_answer * k)
+        low, high = self._ranges(hash_strings(queries, self.trees, self.length))
+        for q in range(len(queries)):
+            seen = np.zeros(n, bool)
+            for level in range(self.length, -1, -1):
+                size = high[level, q] - low[level, q]
+                # Different entries that ranges of these sizes hold, if they met at random.
+                if level and n * (1 - np.prod(1 - size / n)) < wanted and size.sum() < self.trees * n:
+                    continue
+                if level == 0:
+                    seen[:] = True
+                    break
+                for t in range(self.trees):
+                    seen[self.order[t, low[level, q, t]:high[level, q, t]]] = True
+                if seen.sum() >= wanted:
+                    break
+            at = np.flatnonzero(seen)
+            scores = self.index[at] @ queries[q]
+            if len(at) > k:
+                worst = np.partition(scores, len(at) - k)[len(at) - k]
+                keep = scores >= worst  # with all ties, so that ids can decide
+                at, scores = at[keep], scores[keep]
+            best = np.lexsort((self.ids[at], -scores))[:k]
+            yield at[best], scores[best]
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 
 
-def _strings(column: pa.ChunkedArray) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(len(column), -1)
-
-
-def _hash_batches(batches):
-    for batch in batches:
-        if batch.num_rows:
-            codes = hash_strings(_matrix(batch.column("vector")))
-            strings = pa.array([c.tobytes() for c in codes], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, strings], [*batch.schema.names, "strings"])
-
-
 _FOUND = pa.schema([("query", pa.int64()), ("score", pa.float64()), ("ids", pa.list_(pa.int64()))])
 
 
-def _searcher(k):
-    def run(key, queries: pa.Table, index: pa.Table) -> pa.Table:
-        if not queries.num_rows or not index.num_rows:
-            return _FOUND.empty_table()
-        entry, asked = index.column("entry").to_numpy(), queries.column("entry").to_numpy()
-        members = index.column("ids").to_pylist()
-        x, q = _matrix(index.column("vector")), _matrix(queries.column("vector"))
-        out = ([], [], [])
-        found = search(x, entry, _strings(index.column("strings")), q, _strings(queries.column("strings")), k)
-        for who, (at, scores) in zip(asked, found):
-            out[0].append(np.full(len(at), who))
-            out[1].append(scores)
-            out[2].extend(members[i] for i in at)
-        return pa.Table.from_arrays(
-            [pa.array(np.concatenate(out[0])), pa.array(np.concatenate(out[1])), pa.array(out[2], _FOUND.field("ids").type)],
-            schema=_FOUND)
+def _search_batches(k):
+    """Answers of the queries of a partition whose rows are sorted by shard, entries before queries."""
+
+    def answers(forest, members, asked, queries):
+        for a in range(0, len(asked), BLOCK_QUERIES):
+            out = ([], [], [])
+            for who, (at, scores) in zip(asked[a:a + BLOCK_QUERIES], forest.nearest(queries[a:a + BLOCK_QUERIES], k)):
+                out[0].append(np.full(len(at), who))
+                out[1].append(scores)
+                out[2].extend(members[i] for i in at)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(out[0])), pa.array(np.concatenate(out[1])), pa.array(out[2], _FOUND.field("ids").type)],
+                schema=_FOUND)
+
+    def run(batches):
+        shard, forest, vectors, entries, members = None, None, [], [], []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("size", "shard", "asks")])
+            starts = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)])
+            for a, b in zip(starts, np.r_[starts[1:], batch.num_rows]):
+                rows, here = batch.slice(int(a), int(b - a)), tuple(keys[:2, a])
+                if here != shard:
+                    shard, forest, vectors, entries, members = here, None, [], [], []
+                entry, x = rows.column("entry").to_numpy(), _matrix(rows.column("vector"))
+                if not keys[2, a]:
+                    vectors.append(x)
+                    entries.append(entry)
+                    members.extend(rows.column("ids").to_pylist())
+                elif members:
+                    if forest is None:
+                        forest, vectors = Forest(np.concatenate(vectors), np.concatenate(entries)), []
+                    yield from answers(forest, members, entry, x)
 
     return run
 
@@ -125,15 +141,15 @@ def _searcher(k):
 def usable(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, vector) of the rows that take part.
 
-    Left out: null ids, null or zero vectors, null or non-finite components, and vectors
-    whose length is not the commonest one. Exactly repeated rows count once.
+    Left out: null ids, null, empty or zero vectors, and null or non-finite components.
+    Vectors of any length stay. Exactly repeated rows count once; extra columns are ignored.
     """
     v = F.col(vector_col)
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fine = rows.where(F.col(id_col).isNotNull() & v.isNotNull()).where(~bad & F.exists(v, lambda x: x != 0))
-    fine = fine.select(F.col(id_col).cast("long").alias("vec_id"), v.cast("array<float>").alias("vector"))
-    size = fine.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return fine.where(F.size("vector") == (size["d"] if size else 0)).dropDuplicates(["vec_id", "vector"])
+    kind = "float" if rows.schema[vector_col].dataType.elementType.simpleString() == "float" else "double"
+    fine = fine.select(F.col(id_col).cast("long").alias("vec_id"), v.cast(f"array<{kind}>").alias("vector"))
+    return fine.dropDuplicates(["vec_id", "vector"])
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
@@ -141,27 +157,25 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     ``rows`` and ``queries`` are tables of :func:`usable`; queries are among the rows.
     Scores are inner products in double precision; ties go to the smaller id. A row never
-    answers itself. Equal vectors are one entry with its ``k + 1`` smallest ids: no answer
-    can need more of them.
+    answers itself, and only vectors of its own length answer it. Equal vectors are one entry
+    with its ``k + 1`` smallest ids: no answer can need more of them. Empty tables give no rows,
+    and a query with fewer than ``k`` others gets them all.
     """
     by_vector = Window.partitionBy("vector").orderBy("vec_id")
     entries = (
         rows.withColumn("_n", F.row_number().over(by_vector)).where(F.col("_n") <= k + 1)
         .groupBy("vector").agg(F.min("vec_id").alias("entry"), F.sort_array(F.collect_list("vec_id")).alias("ids"))
+        .withColumn("size", F.size("vector"))
     )
+    shards = entries.groupBy("size").agg(F.greatest(F.lit(1), F.round(F.count(F.lit(1)) / SHARD_ROWS)).cast("long").alias("shards"))
     asked = queries.join(entries.select("vector", "entry"), "vector").select("vec_id", "entry", "vector")
-    n_index, n_asked = entries.count(), asked.select("entry").distinct().count()
-    shards, blocks = max(1, round(n_index / SHARD_ROWS)), max(1, -(-n_asked // BLOCK_QUERIES))
-    schema = "entry long, vector array<float>, ids array<long>, strings binary"
-    index = entries.select("entry", "vector", "ids").mapInArrow(_hash_batches, schema)
-    index = index.select("*", F.pmod(F.xxhash64("entry"), F.lit(shards)).alias("shard"),
-                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    probes = asked.dropDuplicates(["entry"]).select("entry", "vector").mapInArrow(
-        _hash_batches, "entry long, vector array<float>, strings binary")
-    probes = probes.select("*", F.pmod(F.xxhash64("entry", F.lit(7)), F.lit(blocks)).cast("int").alias("block"),
-                           F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard"))
-    found = probes.groupBy("shard", "block").cogroup(index.groupBy("shard", "block")).applyInArrow(
-        _searcher(k + 1), "query long, score double, ids array<long>")
+    index = entries.join(shards, "size").select(
+        "size", F.pmod(F.xxhash64("entry"), "shards").alias("shard"), F.lit(0).alias("asks"), "entry", "vector", "ids")
+    probes = asked.dropDuplicates(["entry"]).withColumn("size", F.size("vector")).join(shards, "size").select(
+        "size", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)).alias("shard"), F.lit(1).alias("asks"),
+        "entry", "vector", F.lit(None).cast("array<long>").alias("ids"))
+    found = index.unionByName(probes).repartition("size", "shard").sortWithinPartitions("size", "shard", "asks").mapInArrow(
+        _search_batches(k + 1), "query long, score double, ids array<long>")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     pairs = found.select("query", "score", F.explode("ids").alias("vec_id"))
     pairs = pairs.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k + 1)

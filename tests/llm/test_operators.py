@@ -141,34 +141,63 @@ def test_word_model_equals_a_plain_restatement_without_the_text(spark):
         assert got[i] == pytest.approx(np.exp(-total / at), rel=1e-5)
 
 
+def best_of(x, q, k=20):
+    """The k best others of row q by brute force, ties to the smaller row, and their scores."""
+    s = x @ x[q]
+    return [(i, s[i]) for i in np.lexsort((np.arange(len(x)), -s)) if i != q][:k]
+
+
+def recall(got, x, first=0):
+    """Share of the brute-force answers found; scores and ranks must be exact."""
+    found = asked = 0
+    for q, part in got.groupby("query_id"):
+        want = best_of(x, q - first)
+        ranked = part.sort_values("rank")
+        assert list(ranked["rank"]) == list(range(1, len(want) + 1))
+        assert np.allclose(ranked["score"], [x[i - first] @ x[q - first] for i in ranked["vec_id"]], rtol=1e-12)
+        order = list(zip(-ranked["score"], ranked["vec_id"]))
+        assert order == sorted(order) and q not in set(ranked["vec_id"])
+        found += (ranked["score"].to_numpy() >= want[-1][1] - 1e-12).sum()
+        asked += len(want)
+    return found / asked
+
+
 def test_forest_recall_ties_and_bad_vectors(spark):
     rng = np.random.default_rng(0)
     x = rng.standard_normal((600, 16)).astype(np.float32)
     x[40:140] = x[40]
     rows = [(i, [float(v) for v in x[i]], 0) for i in range(600)]
-    rows += [(1000, None, 0), (1020, [0.0] * 16, 0), (1040, [float("nan")] * 16, 0), (1060, [1.0] * 3, 0),
+    rows += [(1000, None, 0), (1020, [0.0] * 16, 0), (1040, [float("nan")] * 16, 0), (1060, [1.0] * 3, 0), (1100, [], 0),
              (1080, [None] + [1.0] * 15, 0), (None, [1.0] * 16, 0), rows[5]]
-    table = prefix_forest.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank int"))
+    table = prefix_forest.usable(spark.createDataFrame(rows, "vec_id long, embedding array<float>, size int"))
     got = prefix_forest.nearest(table, table.where("vec_id % 20 = 0")).toPandas()
-    y = x.astype(np.float64)
-    for q, part in got.groupby("query_id"):
-        s = y @ y[q]
-        want = [i for i in np.lexsort((np.arange(600), -s)) if i != q][:20]
-        ranked = part.sort_values("rank")
-        assert np.allclose(np.sort(ranked["score"]), np.sort(s[want]))
-        assert list(ranked["rank"]) == list(range(1, 21))
+    assert set(got["query_id"]) == set(range(0, 600, 20))
+    assert recall(got, x.astype(np.float64)) >= 0.9
     assert list(got[got.query_id == 60].sort_values("rank")["vec_id"])[:20] == list(range(40, 60))
     assert prefix_forest.nearest(table.limit(0), table.limit(0)).count() == 0
 
 
-def test_forest_searches_beyond_the_least(spark):
+def test_forest_serves_every_length_from_many_shards(spark, monkeypatch):
+    """Vectors of two lengths, dealt into several shards; a few of a third length all answer one another."""
+    monkeypatch.setattr(prefix_forest, "SHARD_ROWS", 400)
+    rng = np.random.default_rng(2)
+    long, short, few = rng.standard_normal((2000, 24)), rng.standard_normal((900, 8)), rng.standard_normal((7, 5))
+    rows = [(first + i, v.tolist(), "x") for first, part in ((0, long), (4000, short), (6000, few)) for i, v in enumerate(part)]
+    table = prefix_forest.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>, shard string"))
+    got = prefix_forest.nearest(table, table.where("vec_id % 20 = 0")).toPandas()
+    assert got["query_id"].nunique() == 100 + 45 + 1
+    assert recall(got[got.query_id < 4000], long) >= 0.9
+    assert recall(got[got.query_id.between(4000, 5999)], short, 4000) >= 0.9
+    assert list(got[got.query_id == 6000].sort_values("rank")["vec_id"]) == [6000 + i for i, _ in best_of(few, 0)]
+
+
+def test_forest_needs_no_exhaustive_search():
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((40, 32))
     x = centres[rng.integers(40, size=3000)] + 0.1 * rng.standard_normal((3000, 32))
-    codes = prefix_forest.hash_strings(x, trees=32)
     hit = 0
-    found = prefix_forest.search(x, np.arange(3000), codes, x[:50], codes[:50], 10, share=0.05, least=100)
-    for q, (at, _) in enumerate(found):
+    forest = prefix_forest.Forest(x, np.arange(3000), trees=32)
+    for q, (at, _) in enumerate(forest.nearest(x[:50], 10, share=0.05, per_answer=0)):
         hit += len(set(at) & set(np.argsort(-(x @ x[q]))[:10]))
     assert hit / 500 >= 0.9
 
