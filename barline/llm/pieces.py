@@ -7,11 +7,15 @@ piece. Between such two a text can be cut without any effect on its ids: before
 word marks always, and often within long runs without blanks.
 
 Each different word is merged once per batch, many words in step, one merge of each
-at a time. What stays long after cutting is merged with a heap. Giant documents are
-cut into chunks of such parts, which are encoded by themselves and joined in order.
-
-``forward``, ``encode_unit`` and ``combine`` restate the segmentation of greatest total
-score, which bounds that of the ids; the ids are not taken from them.
+at a time. What stays long after cutting is merged with a heap.
+
+Giant documents are cut every ``CHUNK`` characters, wherever that falls, and encoded by a
+max-plus scan. Pieces in a row are the model's encoding of their text exactly if every two
+neighbours encode, by themselves, to those two. So an encoding is a path through pieces whose
+steps weigh 0 if the neighbours agree and -inf if not, and one path alone weighs 0. The state
+at a cut is the piece that reaches or crosses it; a chunk gives the matrix of path weights from
+the states of its first cut to those of its last. Matrices combine associatively to the one
+state of every cut, and each chunk then walks its own stretch of the path by itself.
 """
 
 from __future__ import annotations
@@ -122,44 +126,83 @@ def marked(text: str) -> str:
     return MARK + text.replace(" ", MARK) if text else ""
 
 
-def forward(v: Vocabulary, text: str, start: int, end: int):
-    """Best scores of covering ``text[start:j]`` and the last piece's start, for j up to ``end + longest``.
+class Neighbours:
+    """Which pieces can stand side by side; answers are remembered, up to a bound."""
 
-    Pieces begin before ``end``; they may reach beyond it into what follows in ``text``.
-    """
-    reach = min(len(text), end + v.longest - 1) - start
-    best, back = np.full(reach + 1, NONE), np.full(reach + 1, -1, np.int64)
-    best[0] = 0.0
-    for i in range(end - start):
-        if best[i] == NONE:
-            continue
-        alone = False
-        for n in range(1, min(v.longest, reach - i) + 1):
-            piece = v.ids.get(text[start + i:start + i + n])
-            if piece is None:
-                continue
-            alone |= n == 1
-            s = best[i] + v.scores[piece]
-            if s > best[i + n]:
-                best[i + n], back[i + n] = s, i
-        if not alone and best[i] + v.fallback > best[i + 1]:
-            best[i + 1], back[i + 1] = best[i] + v.fallback, i
-    return best, back
-
-
-def trace(v: Vocabulary, text: str, start: int, back: np.ndarray, at: int) -> list[int]:
-    out: list[list[int]] = []
-    while at:
-        i = int(back[at])
-        piece = text[start + i:start + at]
-        out.append([v.ids[piece]] if piece in v.ids else v.byte_ids(piece))
-        at = i
-    return [x for ids in reversed(out) for x in ids]
-
-
-def encode_unit(v: Vocabulary, unit: str) -> tuple[list[int], float]:
-    best, back = forward(v, unit, 0, len(unit))
-    return trace(v, unit, 0, back, len(unit)), float(best[len(unit)])
+    def __init__(self, v: Vocabulary, remember: int = 400_000):
+        self.v, self.remember, self.known = v, remember, {}
+
+    def merged(self, text: str) -> list[str]:
+        """The pieces of a short text."""
+        v, parts = self.v, list(text)
+        while len(parts) > 1:
+            ids = [v.ids.get(a + b, -1) for a, b in zip(parts, parts[1:])]
+            at = int(v.rank[ids].argmax())  # the leftmost of equal ones
+            if ids[at] < 0:
+                break
+            parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        return parts
+
+    def agree(self, left: str, right: str) -> bool:
+        """Whether the two encode to themselves; with an empty ``left``, whether ``right`` does."""
+        got = self.known.get((left, right))
+        if got is None:
+            if len(self.known) >= self.remember:
+                self.known = {}
+            got = self.known[left, right] = self.merged(left + right) == ([left, right] if left else [right])
+        return got
+
+    def pieces(self, text: str, start: int):
+        """Ends of the pieces, or the single character, that ``text`` has from ``start`` on."""
+        for end in range(start + 1, min(start + self.v.longest, len(text)) + 1):
+            if (end == start + 1 or text[start:end] in self.v.ids) and self.agree("", text[start:end]):
+                yield end
+
+    def states(self, text: str, cut: int) -> list[tuple[int, int]]:
+        """Spans of the pieces that begin before ``cut`` and reach or cross it; at an end of the text, the cut itself."""
+        if cut <= 0 or cut >= len(text):
+            return [(cut, cut)]
+        return [(s, e) for s in range(max(0, cut - self.v.longest), cut) for e in self.pieces(text, s) if e >= cut]
+
+    def reach(self, text: str, states: list[tuple[int, int]], end: int) -> dict[tuple[int, int], int]:
+        """Spans of the pieces that reach or cross ``end``, each with the set (bits) of ``states`` that paths to it begin with."""
+        at: dict[int, dict[int, int]] = {}
+        for k, (s, e) in enumerate(states):
+            at.setdefault(e, {})[s] = at.get(e, {}).get(s, 0) | 1 << k
+        for here in range(min((e for _, e in states), default=end), end):
+            before = at.pop(here, None)
+            for e in self.pieces(text, here) if before else ():
+                origins = 0
+                for s, bits in before.items():
+                    if self.agree(text[s:here], text[here:e]):
+                        origins |= bits
+                if origins:
+                    at.setdefault(e, {})[here] = origins
+        return {(s, e): bits for e, spans in at.items() if e >= end for s, bits in spans.items()}
+
+    def transfer(self, text: str, start: int, end: int) -> np.ndarray:
+        """Path weights (0 or -inf) from the states of the cut at ``start`` to those of the cut at ``end``.
+
+        ``text`` has at least ``longest`` characters before and after, unless it begins or ends there.
+        Where no piece crosses a place in between, all paths meet, and the matrix is a sum of two vectors.
+        """
+        first, last = self.states(text, start), self.states(text, end)
+        meet = self.v.safe_cut(text, start)
+        if meet >= end:
+            return self._weights(self.reach(text, first, end), len(first), last)
+        again = end - 1
+        while again > meet and text[again - 1:again + 1] in self.v.together:
+            again -= 1
+        left = self._weights(self.reach(text, first, meet), len(first), [(meet, meet)])
+        return left + self._weights(self.reach(text, [(again, again)], end), 1, last)
+
+    @staticmethod
+    def _weights(found: dict[tuple[int, int], int], n: int, last: list[tuple[int, int]]) -> np.ndarray:
+        out, column = np.full((n, len(last)), NONE), {span: j for j, span in enumerate(last)}
+        for span, bits in found.items():
+            j = column[span] if last[0][0] < last[0][1] else 0  # a place where all paths meet is one state
+            out[[k for k in range(n) if bits >> k & 1], j] = 0.0
+        return out
 
 
 def merge_words(v: Vocabulary, words: list[str]) -> list[bytes]:
@@ -288,6 +331,29 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a[:, :, None] + b[None, :, :]).max(axis=1)
 
 
+def boundary_states(matrices: list[np.ndarray]) -> list[int]:
+    """The state at every cut, both ends included, on the one path of weight 0 through all chunks.
+
+    Products of neighbours are combined up a tree; states are then chosen down it.
+    """
+    levels = [matrices]
+    while len(levels[-1]) > 1:
+        low = levels[-1]
+        levels.append([combine(*low[k:k + 2]) if k + 1 < len(low) else low[k] for k in range(0, len(low), 2)])
+    if levels[-1][0][0, 0] != 0:
+        raise ValueError("no path through the chunks")
+    at = [0, 0]
+    for low in levels[-2::-1]:
+        states = [at[0]]
+        for k in range(0, len(low), 2):
+            i, j = at[k // 2], at[k // 2 + 1]
+            if k + 1 < len(low):
+                states.append(int((low[k][i] + low[k + 1][:, j]).argmax()))
+            states.append(j)
+        at = states
+    return at
+
+
 def _ids_column(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
     flat = np.concatenate([*rows, np.zeros(0, np.int32)])
@@ -306,25 +372,63 @@ def _encode_batches(vocabulary):
     return run
 
 
-def _cut_batches(vocabulary, chunk):
+def _cut_batches(around, chunk):
+    """Chunks of marked texts, each with ``around`` characters of what comes before and after it."""
+
     def run(batches):
         for batch in batches:
             for key, text in zip(batch.column("key").to_pylist(), batch.column("text").to_pylist()):
-                cut = parts(vocabulary.value, marked(text), chunk)
+                text = marked(text)
+                starts = range(0, len(text), chunk)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(starts), pa.int64()), pa.array(range(len(starts)), pa.int32()),
+                     pa.array([min(a, around) for a in starts], pa.int32()),
+                     pa.array([min(a, around) + min(chunk, len(text) - a) for a in starts], pa.int32()),
+                     pa.array([text[max(0, a - around):a + chunk + around] for a in starts], pa.string())],
+                    ["key", "chunk", "start", "end", "text"])
+
+    return run
+
+
+def _spans(batch: pa.RecordBatch):
+    return zip(*(batch.column(c).to_pylist() for c in ("text", "start", "end")))
+
+
+def _transfer_batches(vocabulary):
+    def run(batches):
+        near = Neighbours(vocabulary.value)
+        for batch in batches:
+            for part in slices(batch, "text", 8_000_000):
+                found = [near.transfer(*row) == 0 for row in _spans(part)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * len(cut), pa.int64()), pa.array(range(len(cut)), pa.int32()), pa.array(cut, pa.string())],
-                    ["key", "chunk", "text"])
+                    [part.column("key"), part.column("chunk"), pa.array([m.shape[0] for m in found], pa.int32()),
+                     pa.array([np.packbits(m).tobytes() for m in found], pa.binary()),
+                     pa.array([m.shape[1] for m in found], pa.int32())], ["key", "chunk", "n", "bits", "m"])
 
     return run
 
 
-def _chunk_batches(vocabulary):
+def _scan_table(table: pa.Table) -> pa.Table:
+    """The states at the cuts of one text, from the matrices of its chunks; these are smaller than the text."""
+    table = table.sort_by("chunk")
+    matrices = [np.where(np.unpackbits(np.frombuffer(bits, np.uint8), count=n * m).reshape(n, m), 0.0, NONE)
+                for n, bits, m in zip(*(table.column(c).to_pylist() for c in ("n", "bits", "m")))]
+    states = pa.array(boundary_states(matrices), pa.int32())
+    return pa.table({"key": table.column("key"), "chunk": table.column("chunk"), "first": states[:-1], "last": states[1:]})
+
+
+def _walk_batches(vocabulary):
+    """The ids of each chunk's stretch of the path: from the end of its first state's piece to that of its last one's."""
+
     def run(batches):
-        enc = Encoder(vocabulary.value)
+        enc, near = Encoder(vocabulary.value), Neighbours(vocabulary.value)
         for batch in batches:
             for part in slices(batch, "text", 8_000_000):
-                ids = _ids_column(enc.marked(part.column("text").to_pylist()))
-                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("chunk"), ids], ["key", "chunk", "ids"])
+                states = zip(part.column("first").to_pylist(), part.column("last").to_pylist())
+                own = [text[near.states(text, start)[i][1]:near.states(text, end)[j][1]]
+                       for (text, start, end), (i, j) in zip(_spans(part), states)]
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("chunk"), _ids_column(enc.marked(own))],
+                                                 ["key", "chunk", "ids"])
 
     return run
 
@@ -345,8 +449,9 @@ def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT, chunk: int =
     """doc_id, ids, text_sha256 and n_tokens of each row's whole text.
 
     The ids are those of the model's own encoder. ``text_sha256`` is the digest of the text
-    that they decode to. A null or empty text has no ids. Repeated rows and null ids stay;
-    extra columns are ignored. ``giant`` and ``chunk`` change how the work is cut, never the ids.
+    that they decode to. A null or empty text has no ids; an empty table gives no rows. Repeated
+    rows and null ids stay; extra columns are ignored. Texts of more than ``giant`` characters are
+    encoded in chunks of ``chunk``; both change how the work is cut, never the ids.
     """
     v = load(model)
     vocabulary = docs.sparkSession.sparkContext.broadcast(v)  # the model's own size
@@ -358,9 +463,12 @@ def encode(docs: DataFrame, model: str = MODEL, giant: int = GIANT, chunk: int =
     # Equal giant texts are encoded once.
     big = rows.where(long).withColumn("key", F.xxhash64("text", F.length("text")))
     cut = big.dropDuplicates(["key"]).select("key", "text").mapInArrow(
-        _cut_batches(vocabulary, chunk), "key long, chunk int, text string")
+        _cut_batches(v.longest, max(chunk, v.longest + 1)), "key long, chunk int, start int, end int, text string")
     cut = stage(cut.repartition("key", "chunk"), "chunks")
-    joined = cut.mapInArrow(_chunk_batches(vocabulary), "key long, chunk int, ids array<int>").groupBy("key").agg(
+    states = cut.mapInArrow(_transfer_batches(vocabulary), "key long, chunk int, n int, bits binary, m int").groupBy("key").applyInArrow(
+        _scan_table, "key long, chunk int, first int, last int")
+    walked = cut.join(states, ["key", "chunk"]).mapInArrow(_walk_batches(vocabulary), "key long, chunk int, ids array<int>")
+    joined = walked.groupBy("key").agg(
         F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("chunk", "ids"))), lambda r: r["ids"])).alias("ids"))
     joined = joined.mapInArrow(_digest_batches(vocabulary), "key long, ids array<int>, text_sha256 string")
     giants = big.select("doc_id", "key").join(joined, "key").select("doc_id", "ids", "text_sha256")
