@@ -102,7 +102,8 @@ def quality_rules(docs: DataFrame, host_col: str = "source", max_rate: float = M
     A document is kept if it passes the base rule and its host's shrunk rate of
     rule failures (base rule, or more than one symbol to two words) is at most
     ``max_rate``. Null text: no words, so the base rule fails. Null host: a host
-    of its own. Repeated rows count and come out once each; extra columns are ignored.
+    of its own. Repeated rows count and come out once each; null ids stay; a table without
+    rows gives none; texts are read whole, however long; extra columns are ignored.
     """
     base, symbols = _failed()
     counted = document_counts(docs, host_col).withColumn("base_failed", base).withColumn("failed", base | symbols)
