@@ -308,6 +308,36 @@ def test_join_finds_every_link(spark, seed):
     assert got == want
 
 
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Blocks of some sets each find what the whole bucket holds, and every link is found through them."""
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 4)
+    rng = np.random.default_rng(3)
+    base, rows, sets = rng.integers(1, 1 << 62, 40), [], {}
+    for i in range(60):
+        x = base.copy()
+        x[rng.choice(40, rng.integers(0, 5), replace=False)] = rng.integers(1, 1 << 62)
+        x = np.unique(x).astype(np.uint64)
+        sets[2 * i] = (i % 5, len(x), np.frombuffer(jaccard_join.sketch(x), np.uint64))
+        rows += [(b, 2 * i, i % 5, len(x), bytearray(jaccard_join.sketch(x))) for b in ({7, 8} if i % 2 else {7})]
+    frame = spark.createDataFrame(rows, "bucket long, sid long, root long, n long, sketch binary")
+
+    def far(a, b):
+        apart, total = int(np.bitwise_count(sets[a][2] ^ sets[b][2]).sum()), sets[a][1] + sets[b][1]
+        return apart / total if sets[a][0] != sets[b][0] and apart <= total * 25 // 175 else None
+
+    every, closest = set(), set()
+    for members in ([r[1] for r in rows if r[0] == b] for b in (7, 8)):
+        for a in members:
+            found = sorted((far(a, b), b) for b in members if a != b and far(a, b) is not None)
+            every |= {(min(a, b), max(a, b)) for _, b in found}
+            closest |= {(min(a, b), max(a, b)) for _, b in found[:1]}
+    assert closest and {tuple(r) for r in jaccard_join.across(frame, 75, False).collect()} == every
+    assert {tuple(r) for r in jaccard_join.across(frame, 75, True).collect()} == closest
+    texts = near_texts(2)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(docs(spark, texts)).collect())
+    assert got == [(i, n, c) for i, (n, c) in enumerate(brute_components(texts))]
+
+
 def test_signatures_meet_for_every_link():
     """The pigeonhole, with subsets left out and deletions added: linked sets share a signature."""
     rng = np.random.default_rng(4)
