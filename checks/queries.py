@@ -804,13 +804,12 @@ def _daily(spark, sf):
 @query
 def scorer_plug(spark, sf):
     """A scorer that a user brings: an Arrow UDF over batches of texts in place of the lexicon."""
-    @F.pandas_udf("positive double, negative double, neutral double, compound double")
     def score(texts: pd.Series) -> pd.DataFrame:
         good, bad = texts.str.count("e"), texts.str.count("a")
         total = (good + bad).clip(lower=1)
         return pd.DataFrame({"positive": good / total, "negative": bad / total, "neutral": 0.0, "compound": (good - bad) / total})
 
-    done = sentiment.daily_sentiment(given.headlines(spark, sf), score)
+    done = sentiment.daily_sentiment(given.headlines(spark, sf), text.batch_scorer(score))
     return rounded(done, {c: 6 for c in SCORES if c != "sentiment_neutral"})
 
 

@@ -219,6 +219,42 @@ def test_scorer_may_be_a_pandas_udf(spark):
     assert sentiment.daily_sentiment(news, model).first()["sentiment_compound"] == 4.0
 
 
+def test_batches_of_texts_reach_a_scorer_in_bounded_parts(spark, monkeypatch):
+    import pandas as pd
+
+    def model(s: pd.Series) -> pd.DataFrame:
+        n = s.str.len().astype(float)
+        return pd.DataFrame({"positive": n, "negative": n.sum(), "neutral": 0.0, "compound": n}, index=s.index)
+
+    monkeypatch.setattr(text, "SCORED_BYTES", 100)
+    rows = [("A", START, None if i % 10 == 3 else "x" * (i % 40), i) for i in range(300)] + [("A", START, "y" * 500, 300)]
+    news = spark.createDataFrame(rows, "symbol string, date date, headline string, i int").repartition(1)
+    got = {r["i"]: r for r in sentiment.score_headlines(news, text.batch_scorer(model)).collect()}
+    for _, _, s, i in rows:
+        assert got[i]["sentiment_positive"] == (None if s is None else len(s)) and got[i]["sentiment_neutral"] == 0.0
+        assert got[i]["sentiment_negative"] < 100 + max(len(s or ""), 40) + (500 if i > 259 else 0)
+    assert sentiment.score_headlines(news.limit(0), text.batch_scorer(model)).count() == 0
+
+
+def test_scored_texts_are_freed_part_by_part(spark, monkeypatch):
+    """A series whose ``.str`` was used refers to itself: nothing but the collector frees it."""
+    import pandas as pd
+
+    def model(s: pd.Series) -> pd.DataFrame:
+        import gc
+
+        kept = sum(isinstance(o, pd.Series) and o.name == "seen" for o in gc.get_objects())
+        s.name = "seen"
+        n = s.str.len().astype(float)
+        return pd.DataFrame({"positive": n, "negative": float(kept), "neutral": 0.0, "compound": n})
+
+    monkeypatch.setattr(text, "SCORED_BYTES", 100)
+    rows = [("A", START, "x" * 60) for _ in range(40)]
+    news = spark.createDataFrame(rows, "symbol string, date date, headline string").repartition(1)
+    scored = sentiment.score_headlines(news, text.batch_scorer(model))
+    assert scored.agg(F.max("sentiment_negative")).first()[0] == 0.0
+
+
 def test_signals(spark):
     df = spark.createDataFrame([(100.0, 101.0, 2.0), (0.0, 1.0, 0.0), (100.0, 100.0, 200.0)],
                                "cur double, pred double, sd double")
