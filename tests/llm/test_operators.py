@@ -339,6 +339,22 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert got == [(i, n, c) for i, (n, c) in enumerate(brute_components(texts))]
 
 
+def test_sketches_tell_large_unlike_sets_apart_and_keep_every_link(spark):
+    """Sets of other sizes have sketches of other sizes, which are compared folded to the smaller one."""
+    rng = np.random.default_rng(8)
+    base = rng.integers(1, 1 << 62, 4_000).astype(np.uint64)
+    sets = [base, np.unique(np.r_[base[:3_600], rng.integers(1, 1 << 62, 700).astype(np.uint64)]), base[:3_050],
+            *(rng.integers(1, 1 << 62, n).astype(np.uint64) for n in (4_000, 3_100)), base[:1_000], base[:1_300], base[:0],
+            np.resize(base, 90_000) + np.arange(90_000, dtype=np.uint64)]
+    assert [len(jaccard_join.sketch(s)) * 8 for s in sets] == [4096, 8192, 4096, 4096, 4096, 1024, 2048, 1024, 1 << 16]
+    known = spark.createDataFrame([(i, len(s), bytearray(jaccard_join.sketch(s))) for i, s in enumerate(sets)], "sid long, n long, sketch binary")
+    pairs = spark.createDataFrame([(a, b) for a in range(len(sets)) for b in range(a)], "a long, b long")
+    got = {tuple(r) for r in jaccard_join.possible(pairs, known, 75).select("b", "a").collect()}
+    assert got - {(1, 2)} == {(0, 1), (0, 2), (5, 6)}  # the two others that are 70 % alike may stay
+    for a, b in got:
+        assert 100 * len(np.intersect1d(sets[a], sets[b])) >= 70 * len(np.union1d(sets[a], sets[b]))
+
+
 def test_signatures_meet_for_every_link():
     """The pigeonhole, with subsets left out and deletions added: linked sets share a signature."""
     rng = np.random.default_rng(4)
