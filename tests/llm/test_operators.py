@@ -339,6 +339,22 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert got == [(i, n, c) for i, (n, c) in enumerate(brute_components(texts))]
 
 
+def test_few_links_need_no_rounds_and_many_give_the_same_components(spark, monkeypatch):
+    """A chain, a star and loose pairs: one task finds their components; dealt over tasks, rounds find the same."""
+    rng = random.Random(9)
+    sid = rng.sample(range(-10 ** 15, 10 ** 15), 120)
+    links = [*zip(sid[:40], sid[1:40]), *((sid[40], x) for x in sid[41:80]), *zip(sid[80::2], sid[81::2])]
+    rng.shuffle(links)
+    want = {x: min(g) for g in (sid[:40], sid[40:80], *(sid[i:i + 2] for i in range(80, 120, 2))) for x in g}
+    frame = spark.createDataFrame([tuple(rng.sample(x, 2)) for x in links], "a long, b long")
+    names, stage = [], jaccard_join.stage
+    monkeypatch.setattr(jaccard_join, "stage", lambda df, name: names.append(name) or stage(df, name))
+    assert sorted(map(tuple, jaccard_join.components(frame).collect())) == sorted(want.items()) and names == ["forest"]
+    assert jaccard_join.components(frame.limit(0)).collect() == []
+    monkeypatch.setattr(jaccard_join, "TASK_LINKS", 10)
+    assert sorted(map(tuple, jaccard_join.components(frame).collect())) == sorted(want.items()) and "parents" in names
+
+
 def test_sketches_tell_large_unlike_sets_apart_and_keep_every_link(spark):
     """Sets of other sizes have sketches of other sizes, which are compared folded to the smaller one."""
     rng = np.random.default_rng(8)
