@@ -141,6 +141,18 @@ def test_word_model_equals_a_plain_restatement_without_the_text(spark):
         assert got[i] == pytest.approx(np.exp(-total / at), rel=1e-5)
 
 
+def test_counted_rows_hold_words_alone_and_give_the_keys_that_texts_ask_by():
+    text = "a b a b c  a b\nb a"
+    t, _ = ngram_lm.tokens(text)
+    g3, c3, g2, c2 = (x.view(np.int64).tolist() for x in ngram_lm.word_grams(t))
+    rows, = ngram_lm._word_count_batches([pa.RecordBatch.from_pydict({"text": [text, text + " a", ""], "copies": [2, 1, 4]})])
+    assert rows.schema.names == ["before2", "before", "word", "c"] and sum(rows.column("c").to_pylist()) == 3 * len(t) + 1
+    top, = ngram_lm._gram_batches(3)([rows])
+    pairs, = ngram_lm._gram_batches(2)([rows.select(["before", "word", "c"])])
+    assert {*zip(g3, c3)} < {*zip(*(top.column(c).to_pylist() for c in ("gram", "context")))}
+    assert {*zip(g2, c2)} < {*zip(*(pairs.column(c).to_pylist() for c in ("gram", "context")))}
+
+
 def best_of(x, q, k=20):
     """The k best others of row q by brute force, ties to the smaller row, and their scores."""
     s = x @ x[q]
