@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import re
 import time
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from barline.llm import (block_labeller, host_rules, jaccard_join, ngram_lm, packing, pieces, prefix_forest,
                          secret_scan, toxicity, url_filter)
 from barline.llm.queries import ORACLES, QUERIES
+from barline.session import shared_dir
 from checks.compare import compare, connect
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, host string, block int"
@@ -153,6 +155,57 @@ def test_counted_rows_hold_words_alone_and_give_the_keys_that_texts_ask_by():
     assert {*zip(g2, c2)} < {*zip(*(pairs.column(c).to_pylist() for c in ("gram", "context")))}
 
 
+def test_slices_learn_the_counts_of_all_trusted_rows(spark):
+    """Whatever slices texts fall into, each one gets for its own grams what the plain tables hold."""
+    rng = random.Random(12)
+    texts = [" ".join(rng.choices("a b c dd ee ff gg".split(), k=rng.randint(0, 30))) for _ in range(40)]
+    texts += [texts[0], " ", "\t a  b \n", "é  x a b", "a", None]
+    rows = [(t, i % 3 > 0) for i, t in enumerate(texts)]
+    table = spark.createDataFrame(rows, "text string, trusted boolean").repartition(4)
+    parts = table.mapInArrow(ngram_lm._slice_batches, "size long, rows binary").select(F.monotonically_increasing_id().alias("slice"), "size", "rows").localCheckpoint()
+    found, d, root = ngram_lm.gram_answers(parts, 3)
+    good = [t for t, trusted in rows if trusted and t]
+    plain, cuts, sums = ngram_lm.word_counts(spark.createDataFrame([(t, good.count(t)) for t in sorted(set(good))], "text string, copies long"))
+    plain = {r.gram: (r.c, r.total, r.cut) for r in plain.collect()}
+    assert d == cuts and root == pytest.approx(sums)
+    told = {r.slice: r for r in found.collect()}
+    slices, seen = parts.collect(), set()
+    assert len(slices) == 4
+    for r in slices:
+        part = ngram_lm._Slice(r.rows)
+        words = [ngram_lm.tokens(t or "") for t in part.rows.column("text").to_pylist()]
+        assert part.words.tolist() == [w for t, _ in words for w in t.tolist()] and part.lengths.tolist() == [n for _, m in words for n in m.tolist()]
+        for n in (3, 2, 1):
+            keys = part.grams(n)[0].view(np.int64).tolist()
+            got = ngram_lm._answers(told[r.slice][f"found{n}"], n)
+            for key, x in zip(keys, got.T.tolist(), strict=True):
+                c, total, cut = plain.get(key, (0, 0, 0.0))
+                assert x[0] == c
+                if n < 3:
+                    assert x[1] == total and sum(a * b for a, b in zip(d[n], x[2:5])) == pytest.approx(cut)
+            seen |= set(keys)
+    assert seen >= set(plain)
+
+
+def test_asked_grams_move_packed():
+    rng = random.Random(13)
+    rows = pa.RecordBatch.from_pydict({"text": [" ".join(rng.choices([f"w{i}" for i in range(5000)], k=200)) for _ in range(1000)], "trusted": [True] * 1000})
+    part, = ngram_lm._slice_batches([rows])
+    ask, = ngram_lm._ask_batches(3, 4)([pa.RecordBatch.from_pydict({"slice": [7], "rows": part.column("rows")})])
+    assert ask.column("shard").to_pylist() == [0, 1, 2, 3]
+    assert sum(map(len, ask.column("packed").to_pylist())) < 7 * 200_000
+
+
+def test_scoring_leaves_its_scores_alone_on_disk(spark):
+    def there():
+        at = shared_dir(spark).removeprefix("file:")
+        return set(os.listdir(at)) if os.path.isdir(at) else set()
+    before = there()
+    table = docs(spark, ["a b c", "a b d", None])
+    ngram_lm.classify(table, spark.createDataFrame([(0, 1), (1, 1)], "doc_id long, quality int")).collect()
+    assert [x.split("-")[0] for x in there() - before] == ["perplexity"]
+
+
 def best_of(x, q, k=20):
     """The k best others of row q by brute force, ties to the smaller row, and their scores."""
     s = x @ x[q]
